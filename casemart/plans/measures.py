@@ -183,9 +183,10 @@ class Mart:
         history = self.slice(
             self.star.fact_disease_cases.join(self.star.dim_date.select("date_key", "month_start"), "date_key"), free
         ).groupBy("month_start", *others).agg(F.sum("total_cases").alias(name))
-        return history.join(targets, "month_start").select(
-            *[F.col(f"_at_{c}").alias(c) if c in dates else F.col(c) for c in context.by], name
-        )
+        earlier = history.join(targets, "month_start")
+        if not context.by:
+            return earlier.agg(F.sum(name).alias(name))
+        return earlier.select(*[F.col(f"_at_{c}").alias(c) if c in dates else F.col(c) for c in context.by], name)
 
     def cases_previous_month(self, context: Context) -> DataFrame:
         return self.cases_months_before(context, 1, "cases_previous_month")

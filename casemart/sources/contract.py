@@ -12,6 +12,7 @@ from casemart.operators.columns import quoted
 from casemart.operators.cases import SOURCE_FILE
 from casemart.reference_values import CASE_CSV_FIELDS, CASE_JSON_FIELDS, DISTRICTS, POPULATION_FIELDS
 from casemart.sources.files import CORRUPT, csv_groups, read_csv
+from casemart.sources.paths import file_path
 
 
 def json_contract(spark: SparkSession, paths: Sequence[str], fields: Sequence[str] = CASE_JSON_FIELDS) -> DataFrame:
@@ -20,7 +21,7 @@ def json_contract(spark: SparkSession, paths: Sequence[str], fields: Sequence[st
     A JSON array has no split points, so a file is parsed by one task, as Spark's own JSON reader does.
     """
     documents = spark.read.text(list(paths), wholetext=True).select(
-        F.col("_metadata.file_path").alias("path"),
+        file_path().alias("path"),
         F.from_json("value", "array<map<string,string>>").alias("records"),
     )
     expected = F.array_sort(F.array(*[F.lit(field) for field in fields]))
@@ -41,7 +42,10 @@ def json_contract(spark: SparkSession, paths: Sequence[str], fields: Sequence[st
 def csv_contract(
     spark: SparkSession, paths: Sequence[str], fields: Sequence[str] = CASE_CSV_FIELDS, multi_line: bool = True
 ) -> DataFrame:
-    """`path, records, ragged_records, status` per CSV file: the header set, and as many cells in every row."""
+    """`path, records, ragged_records, blank_records, status` per CSV file.
+
+    The header must be the field set, every row must have as many cells, and there must be a row.
+    """
     reports = [
         csv_group_contract(spark, group, names, encoding, fields, multi_line)
         for (encoding, names), group in csv_groups(spark, paths).items()
@@ -54,8 +58,9 @@ def csv_group_contract(spark, paths, names, encoding, fields, multi_line) -> Dat
     positional = [f"c{i}" for i in range(len(names))]
     rows = read_csv(spark, paths, positional, encoding, multi_line, corrupt=True)
     # Both short and long rows are kept in the corrupt-record column.
+    blank = F.coalesce(*positional).isNull()
     counted = rows.groupBy(F.col(SOURCE_FILE).alias("path")).agg(
-        F.count("*").alias("records"), F.count(CORRUPT).alias("ragged_records")
+        F.count("*").alias("records"), F.count(CORRUPT).alias("ragged_records"), F.count_if(blank).alias("blank_records")
     )
     every_file = spark.createDataFrame([(path,) for path in paths], "path string")
     status = (
@@ -65,6 +70,7 @@ def csv_group_contract(spark, paths, names, encoding, fields, multi_line) -> Dat
     return every_file.join(counted, "path", "left").select(
         "path", F.coalesce("records", F.lit(0)).alias("records"),
         F.coalesce("ragged_records", F.lit(0)).alias("ragged_records"),
+        F.coalesce("blank_records", F.lit(0)).alias("blank_records"),
     ).withColumn("status", status)
 
 

@@ -16,7 +16,7 @@ from casemart.operators.columns import clean_headers, quoted
 from casemart.operators.identity import record_identity
 from casemart.reference_values import ENVELOPE_KEYS
 from casemart.sources.catalog import chosen_files
-from casemart.sources.paths import SourceNotFound
+from casemart.sources.paths import SourceNotFound, file_path
 
 UTF8, SINGLE_BYTE_THAI = "UTF-8", "ISO-8859-1"
 CORRUPT = "_corrupt_record"
@@ -42,7 +42,7 @@ def string_schema(names: Sequence[str], corrupt: bool = False) -> T.StructType:
 def file_heads(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
     """`path, head, valid_utf8` per file, in one job that keeps only two small values per file."""
     lines = spark.read.text(list(paths)).select(
-        F.col("_metadata.file_path").alias("path"),
+        file_path().alias("path"),
         F.col("_metadata.file_block_start").alias("_start"),
         F.monotonically_increasing_id().alias("_line"),
         "value",
@@ -98,7 +98,7 @@ def read_csv(
         .option("columnNameOfCorruptRecord", CORRUPT)
         .csv(list(paths))
     )
-    frame = frame.select("*", F.col("_metadata.file_path").alias(SOURCE_FILE))
+    frame = frame.select("*", file_path().alias(SOURCE_FILE))
     if encoding == SINGLE_BYTE_THAI:
         latin, thai = thai_code_page()
         frame = frame.select(*[F.translate(quoted(n), latin, thai).alias(n) for n in names], SOURCE_FILE)
@@ -111,7 +111,7 @@ def read_json(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
         spark.read.option("multiLine", "true").option("mode", "PERMISSIVE").option("primitivesAsString", "true")
         .json(list(paths))
     )
-    return flatten_envelope(frame.select("*", F.col("_metadata.file_path").alias(SOURCE_FILE)))
+    return flatten_envelope(frame.select("*", file_path().alias(SOURCE_FILE)))
 
 
 def flatten_envelope(df: DataFrame, keys: Sequence[str] = ENVELOPE_KEYS) -> DataFrame:

@@ -3,13 +3,19 @@
 from __future__ import annotations
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 class SourceNotFound(FileNotFoundError):
     """Nothing matches a path; callers with optional inputs may go on without it."""
 
 
+def file_path() -> Column:
+    """The path of the file a row was read from, as readers accept it (the metadata column is URL-encoded)."""
+    return F.url_decode(F.replace("_metadata.file_path", F.lit("+"), F.lit("%2B")))
+
+
 def list_files(spark: SparkSession, location: str, name_glob: str | None = None, recursive: bool = False) -> DataFrame:
     """`path, length, modificationTime` of the files at a folder or glob; their content is not read."""
     reader = spark.read.format("binaryFile")
