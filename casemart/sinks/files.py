@@ -16,6 +16,12 @@ from casemart.operators.storage import has_at_most
 # Rows up to which one output file, and so one writing task, is acceptable.
 SINGLE_FILE_ROWS = 1_000_000
 
+# Text is written as it is: blanks kept, quotes doubled.
+CSV_OPTIONS = {
+    "header": "true", "encoding": "UTF-8", "quote": '"', "escape": '"',
+    "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false",
+}
+
 
 def write_parquet(df: DataFrame, path: str, partition_by: Sequence[str] = (), overwrite: bool = True) -> None:
     """Snappy Parquet directory; refuses an existing target unless `overwrite`."""
@@ -32,7 +38,7 @@ def write_export(df: DataFrame, path: str, fmt: str, overwrite: bool = True) ->
     if fmt not in ("csv", "parquet"):
         raise ValueError(f"unsupported export format {fmt}")
     mode = "overwrite" if overwrite else "errorifexists"
-    options = {"header": "true", "encoding": "UTF-8"} if fmt == "csv" else {"compression": "snappy"}
+    options = CSV_OPTIONS if fmt == "csv" else {"compression": "snappy"}
     small = has_at_most(df, SINGLE_FILE_ROWS)
     if is_remote(path) or not small:
         (df.coalesce(1) if small else df).write.mode(mode).options(**options).format(fmt).save(path)

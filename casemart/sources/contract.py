@@ -16,24 +16,26 @@ from casemart.sources.paths import file_path
 
 
 def json_contract(spark: SparkSession, paths: Sequence[str], fields: Sequence[str] = CASE_JSON_FIELDS) -> DataFrame:
-    """`path, records, wrong_records, status` per JSON file; every record must have exactly the fields.
+    """`path, records, wrong_records, status` per JSON file.
 
     A JSON array has no split points, so a file is parsed by one task, as Spark's own JSON reader does.
     """
-    documents = spark.read.text(list(paths), wholetext=True).select(
-        file_path().alias("path"),
-        F.from_json("value", "array<map<string,string>>").alias("records"),
-    )
+    documents = spark.read.text(list(paths), wholetext=True).select(file_path().alias("path"), "value")
+    return json_document_contract(documents, fields)
+
+
+def json_document_contract(documents: DataFrame, fields: Sequence[str]) -> DataFrame:
+    """The contract over `path, value`: a non-empty array of records, each with exactly the fields."""
     expected = F.array_sort(F.array(*[F.lit(field) for field in fields]))
-    wrong = F.filter("records", lambda record: ~F.coalesce(F.array_sort(F.map_keys(record)) == expected, F.lit(False)))
-    counted = documents.select(
+    wrong = F.filter("_parsed", lambda record: ~F.coalesce(F.array_sort(F.map_keys(record)) == expected, F.lit(False)))
+    counted = documents.select("path", F.from_json("value", "array<map<string,string>>").alias("_parsed")).select(
         "path",
-        F.coalesce(F.size("records"), F.lit(0)).cast("long").alias("records"),
-        F.coalesce(F.size(wrong), F.lit(0)).cast("long").alias("wrong_records"),
-        F.isnull("records").alias("_unreadable"),
+        F.coalesce(F.array_size("_parsed"), F.lit(0)).cast("long").alias("records"),
+        F.coalesce(F.array_size(wrong), F.lit(0)).cast("long").alias("wrong_records"),
+        F.isnull("_parsed").alias("_unreadable"),
     )
     status = (
-        F.when(F.col("_unreadable"), "not_json").when(F.col("records") <= 0, "empty")
+        F.when(F.col("_unreadable"), "not_json").when(F.col("records") == 0, "empty")
         .when(F.col("wrong_records") > 0, "wrong_fields").otherwise("ok")
     )
     return counted.withColumn("status", status).drop("_unreadable")
