@@ -6,6 +6,7 @@ from casemart.functions.numbers import (
     cumulative_rate,
     incidence,
     safe_ratio,
+    to_buddhist,
     to_numeric,
 )
 from casemart.functions.dates import (
@@ -30,5 +31,5 @@ __all__ = [
     "NameRules", "age_band", "alias_key", "buddhist_year", "case_share", "cumulative_rate", "incidence", "lineage_year",
     "lookup",
     "map_literal", "month_key", "month_label", "parse_report_date", "safe_ratio", "shift_months",
-    "standardize_alias", "standardize_name", "to_numeric", "year_from_path",
+    "standardize_alias", "standardize_name", "to_buddhist", "to_numeric", "year_from_path",
 ]

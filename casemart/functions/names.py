@@ -26,17 +26,17 @@ class NameRules:
     aliases: Mapping[str, str] = field(default_factory=dict)
 
 
+# Prefix and suffix go in one pass; inner blanks go last, after doubled marks have been repaired.
 DISTRICT_RULES = NameRules(
     steps=(
-        (r"\s+", " "), (ref.DISTRICT_PREFIX, ""), (ref.CITY_SUFFIX, ""),
-        ref.SPLIT_VOWEL, ref.DOUBLED_MARK, (r"\s+", ""),
+        (f"{ref.DISTRICT_PREFIX}|{ref.CITY_SUFFIX}", ""), ref.SPLIT_VOWEL, ref.DOUBLED_MARK, (r"\s+", ""),
     ),
     aliases=ref.DISTRICT_ALIASES,
 )
 DENOMINATOR_RULES = NameRules(
     steps=(
-        (r"\ufeff", ""), (r"[\s\u00a0]+", " "), (r"^ | $", ""), (ref.LOCAL_OFFICE_PREFIX, ""),
-        (ref.DISTRICT_PREFIX, ""), (ref.CITY_SUFFIX, ""), ref.SPLIT_VOWEL, ref.DOUBLED_MARK, (r"\s+", ""),
+        (r"\ufeff", ""), (r"^[\s\u00a0]+|[\s\u00a0]+\z", ""), (ref.LOCAL_OFFICE_PREFIX, ""),
+        (f"{ref.DISTRICT_PREFIX}|{ref.CITY_SUFFIX}", ""), ref.SPLIT_VOWEL, ref.DOUBLED_MARK, (r"[\s\u00a0]+", ""),
     ),
     aliases=ref.DENOMINATOR_DISTRICT_ALIASES,
 )
@@ -59,7 +59,8 @@ def lookup(value: Column, values: Mapping[str, str]) -> Column:
 def standardize_name(value: Column, rules: NameRules = DISTRICT_RULES) -> Column:
     text = F.trim(value.cast("string"))
     for pattern, replacement in rules.steps:
-        text = F.regexp_replace(text, pattern, replacement)
+        plain = not re.search(r"[\\\[(.*+?^$|]", pattern)
+        text = F.replace(text, F.lit(pattern), F.lit(replacement)) if plain else F.regexp_replace(text, pattern, replacement)
     return F.coalesce(lookup(text, rules.aliases), text)
 
 

@@ -9,18 +9,22 @@ from casemart.reference_values import BUDDHIST_OFFSET
 
 # What is dropped from a number before it is read, and what then counts as one.
 NUMBER_NOISE = r"[,\s\u00a0]+"
-NUMBER_SHAPE = r"^-?\d+(\.\d+)?$"
+NUMBER_SHAPE = r"^(-?\d+(?:\.\d+)?)$"
 
 
 def to_numeric(value: Column) -> Column:
     """Text such as `1,234` or ` 12.5 ` as double; anything else is NULL."""
     digits = F.regexp_replace(value.cast("string"), NUMBER_NOISE, "")
-    return F.when(digits.rlike(NUMBER_SHAPE), digits.try_cast("double"))
+    return F.regexp_extract(digits, NUMBER_SHAPE, 1).try_cast("double")
 
 
 def buddhist_year(value: Column) -> Column:
     """A common-era year (1900-2200) moved to the Buddhist calendar; other years stay as they are."""
-    year = to_numeric(value).try_cast("int")
+    return to_buddhist(to_numeric(value).try_cast("int"))
+
+
+def to_buddhist(year: Column) -> Column:
+    """The calendar shift on a year that is already a number."""
     return year + F.when(year.between(1900, 2200), BUDDHIST_OFFSET).otherwise(0)
 
 

@@ -6,14 +6,18 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from casemart.domain import CaseDomain
-from casemart.functions import buddhist_year, lineage_year, parse_report_date, to_numeric, year_from_path
+from casemart.functions import lineage_year, parse_report_date, to_buddhist, to_numeric, year_from_path
 from casemart.operators.columns import column_or, quoted, required_column
 
 SOURCE_FILE = "_source_file"
 
 
 def canonical_cases(raw: DataFrame, domain: CaseDomain) -> DataFrame:
-    """Typed cases under fixed names. Absent columns get defaults: one case, everything else NULL."""
+    """Typed cases under fixed names. Absent columns get defaults: one case, everything else NULL.
+
+    Parsed values become columns before they are used again: an expression that repeats a parse is
+    evaluated repeatedly, and a generated method beyond 8,000 bytes is never compiled by the JVM.
+    """
     spelled = domain.case_columns
     nothing = F.lit(None).cast("string")
     disease = quoted(required_column(raw, spelled["disease_name"], "disease_name"))
@@ -22,7 +26,7 @@ def canonical_cases(raw: DataFrame, domain: CaseDomain) -> DataFrame:
     typed = raw.select(
         column_or(raw, spelled["case_id"], nothing).cast("string").alias("case_id"),
         parse_report_date(column_or(raw, spelled["report_date"], nothing)).alias("report_date"),
-        buddhist_year(column_or(raw, spelled["year"], nothing)).alias("_explicit_year"),
+        to_numeric(column_or(raw, spelled["year"], nothing)).try_cast("int").alias("_stated_year"),
         F.trim(disease.cast("string")).alias("disease_name_raw"),
         F.trim(district.cast("string")).alias("district_name_raw"),
         to_numeric(column_or(raw, spelled["case_count"], F.lit("1"))).alias("case_count"),
@@ -30,7 +34,7 @@ def canonical_cases(raw: DataFrame, domain: CaseDomain) -> DataFrame:
         to_numeric(column_or(raw, spelled["age"], nothing)).alias("age"),
         source.alias("source_file"),
     )
-    year = lineage_year(F.col("_explicit_year"), year_from_path(F.col("source_file")), F.col("report_date"))
+    year = lineage_year(to_buddhist(F.col("_stated_year")), year_from_path(F.col("source_file")), F.col("report_date"))
     return typed.select(
         "case_id", "report_date", year.alias("year_be"), "disease_name_raw", "district_name_raw", "case_count",
         "sex", "age", "source_file",

@@ -54,6 +54,16 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def spread(df: DataFrame, few: int = 16) -> DataFrame:
+    """Rows of an input with only a few splits over all cores, for work that is heavy per row (no job).
+
+    Inputs with enough splits, which is every large one, stay as they are, so at most `few` splits are
+    ever shuffled.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < min(cores, few) else df
+
+
 def has_at_most(df: DataFrame, rows: int) -> bool:
     """Whether `df` has no more than `rows` rows (runs a job that stops counting there)."""
     return df.limit(rows + 1).count() <= rows

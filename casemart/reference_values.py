@@ -35,7 +35,7 @@ DENOMINATOR_DISTRICT_ALIASES: dict[str, str] = {
 # --- fixed values: repairs of a district name, applied in this order (pattern, replacement) ---
 DISTRICT_PREFIX = r"^(เขต|ข\.?)\s*"
 LOCAL_OFFICE_PREFIX = r"^ท้องถิ่น"
-CITY_SUFFIX = r"\s*(กรุงเทพมหานคร|กรุงเทพฯ|กทม\.?)$"
+CITY_SUFFIX = r"\s*(กรุงเทพมหานคร|กรุงเทพฯ|กทม\.?)\z"
 SPLIT_VOWEL = ("เเ", "แ")
 DOUBLED_MARK = (r"([ัิ-ฺ็-๎])\1+", "$1")
 

@@ -10,6 +10,7 @@ from casemart.operators.quality import failing_rules, has_failure
 from casemart.operators.rules import quarantined_rows, reason_counts
 from casemart.operators.cases import canonical_cases
 from casemart.operators.gold import gold_table
+from casemart.operators.storage import materialize
 from casemart.sources import contract
 from workload import oracle as o
 from workload.frames import (
@@ -49,6 +50,12 @@ def filled(spark, sf_dir):
         clean_population(feed_population(spark, sf_dir), SETTINGS, DOMAIN), standardized(spark, sf_dir).select("year_be"))
 
 
+def feed_gold(spark, sf_dir):
+    cases = materialize(standardized(spark, sf_dir), "standardized")
+    population = clean_population(feed_population(spark, sf_dir), SETTINGS, DOMAIN)
+    return gold_table(cases, carry_forward(population, cases))
+
+
 def office_rows(spark, sf_dir):
     """An official-looking file: an office per customer with its province, totals and blanks among them."""
     key = F.col("c_custkey")
@@ -184,7 +191,7 @@ QUERIES = {
         o.query(o.ORDER_CASES, o.ORDER_POPULATION, "population AS (SELECT * FROM known_population)", o.GOLD,
                 select="SELECT * FROM gold")),
     "gold_feed": (
-        lambda s, d: gold_table(standardized(s, d), filled(s, d)), o.over_feed("SELECT * FROM gold")),
+        feed_gold, o.over_feed("SELECT * FROM gold")),
     "canonical_cases": (
         lambda s, d: canonical_cases(feed(s, d), DOMAIN),
         o.query(o.FEED, o.CANONICAL, select=f"SELECT {CANONICAL_COLUMNS} FROM canonical")),

@@ -15,7 +15,7 @@ from casemart.operators.identity import assign_case_id, keep_latest
 from casemart.operators.quality import Layers, quality_report
 from casemart.operators.rules import case_rules, clean_rows, tag
 from casemart.operators.star import Star, build_star
-from casemart.operators.storage import materialize
+from casemart.operators.storage import materialize, spread
 
 SETTINGS = Settings(maximum_age=120)
 
@@ -92,32 +92,33 @@ def order_star(spark: SparkSession, sf_dir: str) -> Star:
 
 def feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw records as text under Thai headers: three date shapes, two calendars, prefixes, gaps, copies."""
+    items = spread(table(spark, sf_dir, "lineitem").select(
+        "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_returnflag", "l_linestatus", "l_shipdate"))
+    date = F.col("l_shipdate").cast("date")
     joined = (
-        table(spark, sf_dir, "lineitem")
+        items
         .join(table(spark, sf_dir, "part").select("p_partkey", "p_type"), F.col("l_partkey") == F.col("p_partkey"))
         .join(table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey"), F.col("l_suppkey") == F.col("s_suppkey"))
         .join(table(spark, sf_dir, "nation"), F.col("s_nationkey") == F.col("n_nationkey"))
+        .withColumns({"d": F.dayofmonth(date), "m": F.month(date), "y": F.year(date), "iso": date.cast("string")})
     )
     order, line, part, supp = (F.col(c) for c in ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"))
-    date = F.col("l_shipdate").cast("date")
-    day, month, year = (f(date).cast("string") for f in (F.dayofmonth, F.month, F.year))
-    buddhist = (F.year(date) + 543).cast("string")
-    joined_by = lambda mark, *texts: F.concat_ws(mark, *texts)
+    buddhist = (F.col("y") + 543).cast("string")
     onset = (
         F.when((line == 6) & (supp % 10 == 3), "31/02/2024")
         .when((line == 6) & (supp % 10 == 4), F.lit(None))
-        .when(order % 6 == 0, joined_by("/", day, month, buddhist))
-        .when(order % 6 == 1, joined_by("-", F.lpad(day, 2, "0"), F.lpad(month, 2, "0"), year))
-        .when(order % 6 == 2, F.date_format(date, "yyyy-MM-dd"))
-        .when(order % 6 == 3, F.date_format(date, "yyyy/MM/dd"))
-        .when(order % 6 == 4, F.concat(F.date_format(date, "yyyy-MM-dd"), F.lit(" 08:30:00")))
-        .otherwise(F.concat(F.lit(" "), joined_by("/", day, month, year), F.lit(" ")))
+        .when(order % 6 == 0, F.concat_ws("/", "d", "m", buddhist))
+        .when(order % 6 == 1, F.concat_ws("-", F.substring("iso", 9, 2), F.substring("iso", 6, 2), "y"))
+        .when(order % 6 == 2, F.col("iso"))
+        .when(order % 6 == 3, F.translate("iso", "-", "/"))
+        .when(order % 6 == 4, F.concat(F.col("iso"), F.lit(" 08:30:00")))
+        .otherwise(F.concat(F.lit(" "), F.concat_ws("/", "d", "m", "y"), F.lit(" ")))
     )
     stated_year = (
         F.when(supp % 40 == 39, "1800")
-        .when(part % 4 == 1, year)
+        .when(part % 4 == 1, F.col("y").cast("string"))
         .when(part % 4 == 2, buddhist)
-        .when(part % 4 == 3, F.concat(F.substring(buddhist, 1, 1), F.lit(","), F.substring(buddhist, 2, 3)))
+        .when(part % 4 == 3, F.concat_ws(",", F.substring(buddhist, 1, 1), F.substring(buddhist, 2, 3)))
     )
     kind = F.col("p_type")
     disease = (
@@ -151,7 +152,7 @@ def feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     record = F.when((line == 7) & (supp % 5 == 0), "  ").otherwise(
         F.concat(order.cast("string"), F.lit("-"), line.cast("string")))
-    file_year = (F.year(date) + 543 + F.when(order % 17 == 0, 1).otherwise(0)).cast("string")
+    file_year = (F.col("y") + 543 + F.when(order % 17 == 0, 1).otherwise(0)).cast("string")
     return joined.select(
         record.alias("_id"), onset.alias("วันที่เริ่มป่วย"), stated_year.alias("ปี"), disease.alias("ชื่อกลุ่มโรค"),
         district.alias("อำเภอ/เขต"), sex.alias("เพศ"), age.alias("อายุ (เต็ม) ปี"), cases.alias("จำนวน"),
@@ -181,8 +182,13 @@ def tagged(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tag(canonical_cases(feed(spark, sf_dir), DOMAIN), case_rules(SETTINGS, DOMAIN))
 
 
+def stored_tagged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tagged cases as a stored layer: what follows plans from a scan, not from every parsing expression."""
+    return materialize(tagged(spark, sf_dir), "tagged")
+
+
 def identified(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return assign_case_id(clean_rows(tagged(spark, sf_dir)))
+    return assign_case_id(clean_rows(stored_tagged(spark, sf_dir)))
 
 
 def standardized(spark: SparkSession, sf_dir: str) -> DataFrame:

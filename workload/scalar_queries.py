@@ -8,7 +8,7 @@ from casemart import CaseDomain, functions as fn
 from casemart import reference_values as ref
 from casemart.operators.identity import BUSINESS_COLUMNS, fingerprint
 from workload import oracle as o
-from workload.frames import DOMAIN, clean_rows, feed, table, tagged
+from workload.frames import DOMAIN, clean_rows, feed, stored_tagged, table
 
 CITY = CaseDomain()
 SPELLINGS = sorted(ref.DISEASE_ALIASES)
@@ -118,7 +118,7 @@ def lineage_years(spark, sf_dir):
 
 
 def surrogate_keys(spark, sf_dir):
-    return clean_rows(tagged(spark, sf_dir)).select(
+    return clean_rows(stored_tagged(spark, sf_dir)).select(
         F.col("case_id").alias("given_id"), fingerprint(BUSINESS_COLUMNS).alias("surrogate_key")
     )
 
