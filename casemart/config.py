@@ -38,6 +38,8 @@ class Settings:
             "spark.sql.parquet.compression.codec": "snappy",
             "spark.sql.adaptive.enabled": "true",
             "spark.sql.adaptive.skewJoin.enabled": "true",
+            # The JVM never compiles a larger method; Spark then generates several small ones instead.
+            "spark.sql.codegen.hugeMethodLimit": "8000",
         }
         if self.shuffle_partitions:
             conf["spark.sql.shuffle.partitions"] = str(self.shuffle_partitions)

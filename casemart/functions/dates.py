@@ -9,29 +9,26 @@ from pyspark.sql import functions as F
 
 from casemart.reference_values import BUDDHIST_OFFSET, CASE_FILE_YEAR_PATTERN, MONTH_LABELS
 
-# The day-first shape and the year from which a date is read as Buddhist.
+# The day-first shape, the year-first shape and the year from which a date is read as Buddhist.
 DAY_FIRST = r"^(\d{1,2})[/-](\d{1,2})[/-](\d{4})$"
+YEAR_FIRST = r"^\d{4}([/-])\d{2}\1\d{2}"
 BUDDHIST_FROM = 2400
 
 
 def parse_report_date(value: Column) -> Column:
     """`d/M/yyyy` or `d-M-yyyy` in either calendar, else an ISO-like date at the start, else NULL.
 
-    The day-first form is rebuilt as ISO text, because there is no non-raising `make_date`.
+    Either shape becomes ISO text for one cast. Formats are told apart by pattern, because a failed
+    parse costs an exception per row, and there is no non-raising `make_date`.
     """
     text = F.trim(value.cast("string"))
-    day, month, year = (F.regexp_extract(text, DAY_FIRST, group) for group in (1, 2, 3))
-    number = year.try_cast("int")
-    common_era = number - F.when(number > BUDDHIST_FROM, BUDDHIST_OFFSET).otherwise(0)
-    rebuilt = F.concat(
-        F.lpad(common_era.cast("string"), 4, "0"), F.lit("-"), F.lpad(month, 2, "0"), F.lit("-"), F.lpad(day, 2, "0")
-    )
-    head = F.substring(text, 1, 10)
-    return F.coalesce(
-        F.try_to_date(rebuilt, "yyyy-MM-dd"),
-        F.try_to_date(head, "yyyy-MM-dd"),
-        F.try_to_date(head, "yyyy/MM/dd"),
-    )
+    flipped = F.regexp_replace(text, DAY_FIRST, "$3-$2-$1")
+    year = F.substring(flipped, 1, 4).try_cast("int")
+    year_first = F.translate(F.regexp_extract(text, YEAR_FIRST, 0), "/", "-")
+    is_day_first = flipped != text
+    common_era = F.concat((year - BUDDHIST_OFFSET).cast("string"), F.substring(flipped, 5, 6))
+    iso = F.when(is_day_first & (year > BUDDHIST_FROM), common_era).when(is_day_first, flipped).otherwise(year_first)
+    return iso.try_cast("date")
 
 
 def year_from_path(path: Column, pattern: str = CASE_FILE_YEAR_PATTERN) -> Column:

@@ -25,7 +25,7 @@ class Rule:
 
 def first_failure(rules: Sequence[Rule]) -> Column:
     """Name of the first rule that fails, NULL when the row passes all of them."""
-    return F.coalesce(*[F.when(rule.fails, F.lit(rule.reason)) for rule in rules])
+    return reduce(lambda chain, rule: chain.when(rule.fails, rule.reason), rules[1:], F.when(rules[0].fails, rules[0].reason))
 
 
 def is_blank(column: str) -> Column:
@@ -51,7 +51,8 @@ def case_rules(settings: Settings, domain: CaseDomain) -> list[Rule]:
 
 
 def tag(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
-    """Add the reason column once; both sides of the split read it."""
+    """Add the reason column once. Store the result before splitting it, so that both sides read the column
+    and neither evaluates the rules again."""
     return df.withColumn(REASON, first_failure(rules))
 
 
@@ -64,8 +65,13 @@ def quarantined_rows(tagged: DataFrame) -> DataFrame:
 
 
 def reason_counts(tagged: DataFrame) -> DataFrame:
-    """Rows per reason; at most one output row per rule."""
-    return quarantined_rows(tagged).groupBy(F.col(REASON).alias("reason")).agg(F.count("*").alias("rows"))
+    """Rows per reason; at most one output row per rule.
+
+    The rows without a reason drop out after grouping: a filter before it would be pushed below the
+    rules and evaluate them a second time.
+    """
+    counted = tagged.groupBy(F.col(REASON).alias("reason")).agg(F.count(REASON).alias("rows"))
+    return counted.where("rows > 0")
 
 
 def keep_all(conditions: Sequence[Column]) -> Column:

@@ -14,8 +14,8 @@ from casemart.operators.storage import materialize
 from casemart.sources import contract
 from workload import oracle as o
 from workload.frames import (
-    DOMAIN, SETTINGS, clean_rows, feed, feed_population, identified, order_gold, order_star, report, standardized, table,
-    tagged,
+    DOMAIN, SETTINGS, clean_rows, feed_population, identified, order_gold, order_star, report, standardized, stored_feed,
+    stored_tagged, table, tagged,
 )
 
 CANONICAL_COLUMNS = ("case_id, report_date, year_be, disease_name_raw, district_name_raw, case_count, sex, age, "
@@ -172,7 +172,7 @@ def count_by_kind() -> str:
 
 
 def names_apart(spark, sf_dir):
-    observed = clean_rows(tagged(spark, sf_dir)).select(DOMAIN.disease(F.col("disease_name_raw")).alias("name"))
+    observed = clean_rows(stored_tagged(spark, sf_dir)).select(DOMAIN.disease(F.col("disease_name_raw")).alias("name"))
     expected = table(spark, sf_dir, "part").select(F.initcap("p_type").alias("name"))
     return contract.set_difference(expected, observed, "name")
 
@@ -193,16 +193,16 @@ QUERIES = {
     "gold_feed": (
         feed_gold, o.over_feed("SELECT * FROM gold")),
     "canonical_cases": (
-        lambda s, d: canonical_cases(feed(s, d), DOMAIN),
+        lambda s, d: canonical_cases(stored_feed(s, d), DOMAIN),
         o.query(o.FEED, o.CANONICAL, select=f"SELECT {CANONICAL_COLUMNS} FROM canonical")),
     "quarantine_reasons": (
         lambda s, d: reason_counts(tagged(s, d)),
         through_tagged("SELECT _quarantine_reason AS reason, count(*) AS rows FROM tagged WHERE _quarantine_reason IS NOT NULL GROUP BY ALL")),
     "clean_rows": (
-        lambda s, d: clean_rows(tagged(s, d)),
+        lambda s, d: clean_rows(stored_tagged(s, d)),
         through_tagged(f"SELECT {CANONICAL_COLUMNS} FROM tagged WHERE _quarantine_reason IS NULL")),
     "quarantine_rows": (
-        lambda s, d: quarantined_rows(tagged(s, d)),
+        lambda s, d: quarantined_rows(stored_tagged(s, d)),
         through_tagged(f"SELECT {CANONICAL_COLUMNS}, _quarantine_reason FROM tagged WHERE _quarantine_reason IS NOT NULL")),
     "case_ids": (
         lambda s, d: identified(s, d).select("case_id", "year_be", "source_file"),

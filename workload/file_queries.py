@@ -14,7 +14,7 @@ from casemart.sources import catalog, contract, landing, profile
 from casemart.sources.files import csv_groups, flatten_envelope, read_case_files, read_csv
 from casemart.sources.paths import list_files
 from workload import oracle as o
-from workload.frames import DOMAIN, SETTINGS, feed, layers, order_gold, order_star, table
+from workload.frames import DOMAIN, SETTINGS, feed, layers, order_gold, order_star, stored_feed, table
 
 # The feed's columns as the raw contract names them.
 FEED_FIELDS = ("_id", "วันที่เริ่มป่วย", "ปี", "ชื่อกลุ่มโรค", "อำเภอ/เขต", "เพศ", "อายุ (เต็ม) ปี", "จำนวน")
@@ -278,7 +278,7 @@ VALUE_COUNTS_SQL = "\nUNION ALL ".join(
 
 
 def raw_date_range(spark, sf_dir):
-    return profile.date_range(feed(spark, sf_dir), "วันที่เริ่มป่วย", parse_report_date)
+    return profile.date_range(stored_feed(spark, sf_dir), "วันที่เริ่มป่วย", parse_report_date)
 
 
 QUERIES = {

@@ -178,8 +178,13 @@ def feed_population(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def stored_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The raw records as files, which is how raw records arrive."""
+    return materialize(feed(spark, sf_dir), "raw")
+
+
 def tagged(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return tag(canonical_cases(feed(spark, sf_dir), DOMAIN), case_rules(SETTINGS, DOMAIN))
+    return tag(canonical_cases(stored_feed(spark, sf_dir), DOMAIN), case_rules(SETTINGS, DOMAIN))
 
 
 def stored_tagged(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -197,11 +202,12 @@ def standardized(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def layers(spark: SparkSession, sf_dir: str) -> Layers:
     """Every layer of the untidy feed, each stored once."""
-    raw = materialize(feed(spark, sf_dir), "raw")
+    raw = stored_feed(spark, sf_dir)
     marked = materialize(tag(canonical_cases(raw, DOMAIN), case_rules(SETTINGS, DOMAIN)), "tagged")
     ids = assign_case_id(clean_rows(marked))
     cases = materialize(standardized_cases(keep_latest(ids), DOMAIN), "standardized")
-    population = carry_forward(clean_population(feed_population(spark, sf_dir), SETTINGS, DOMAIN), cases)
+    known = clean_population(feed_population(spark, sf_dir), SETTINGS, DOMAIN)
+    population = materialize(carry_forward(known, cases), "population")
     gold = materialize(gold_table(cases, population, ids_unique=True), "gold")
     return Layers(raw, marked, ids, cases, gold, build_star(cases, population, DOMAIN, ids_unique=True), population)
 

@@ -8,7 +8,7 @@ from casemart import CaseDomain, functions as fn
 from casemart import reference_values as ref
 from casemart.operators.identity import BUSINESS_COLUMNS, fingerprint
 from workload import oracle as o
-from workload.frames import DOMAIN, clean_rows, feed, stored_tagged, table
+from workload.frames import DOMAIN, clean_rows, stored_feed, stored_tagged, table
 
 CITY = CaseDomain()
 SPELLINGS = sorted(ref.DISEASE_ALIASES)
@@ -56,7 +56,7 @@ def alias_sql() -> str:
 
 def from_feed(**columns):
     def run(spark, sf_dir):
-        raw = feed(spark, sf_dir)
+        raw = stored_feed(spark, sf_dir)
         return raw.select(F.col("_id").alias("id"), *[make(raw).alias(name) for name, make in columns.items()])
 
     return run
@@ -111,7 +111,7 @@ def local_days(spark, sf_dir):
 
 
 def lineage_years(spark, sf_dir):
-    raw = feed(spark, sf_dir)
+    raw = stored_feed(spark, sf_dir)
     date = fn.parse_report_date(F.col("`วันที่เริ่มป่วย`"))
     year = fn.lineage_year(fn.buddhist_year(F.col("ปี")), fn.year_from_path(F.col("_source_file")), date)
     return raw.select(F.col("_id").alias("id"), year.alias("year_be"))
