@@ -6,10 +6,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from casemart.operators.storage import BROADCAST_ROWS, has_at_most, materialize, shared_folder
+from casemart.operators.storage import has_at_most, materialize, shared_folder
 
+# Values up to this number are numbered by one window in one task.
+ONE_WINDOW_ROWS = 200_000
 
-def dense_keys(values: DataFrame, column: str, key: str, small: int = BROADCAST_ROWS) -> DataFrame:
+
+def dense_keys(values: DataFrame, column: str, key: str, small: int = ONE_WINDOW_ROWS) -> DataFrame:
     """Distinct non-null values of `column` numbered 1, 2, ... in ascending order (runs a job).
 
     A counted small set is numbered by one window. A larger one is range-partitioned and stored; a value's

@@ -1,4 +1,4 @@
-"""Cutting lineage with written tables, and size checks before anything is broadcast."""
+"""Cutting lineage with written tables, spreading small inputs, and counting up to a bound."""
 
 from __future__ import annotations
 
@@ -6,10 +6,6 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
-
-# A side goes to every executor only when it is known to have at most this many rows.
-BROADCAST_ROWS = 200_000
 
 _local_fallback: dict[str, str] = {}
 
@@ -32,11 +28,11 @@ def shared_folder(spark: SparkSession) -> str | None:
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A new path in the shared folder."""
+    """A new path in the shared folder, below one folder per application so that it can be removed as a whole."""
     folder = shared_folder(spark)
     if folder is None:
         raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-    return f"{folder}/casemart/{uuid.uuid4().hex}/{name}"
+    return f"{folder}/casemart/{spark.sparkContext.applicationId}/{uuid.uuid4().hex}/{name}"
 
 
 def materialize(df: DataFrame, name: str) -> DataFrame:
@@ -67,8 +63,3 @@ def spread(df: DataFrame, few: int = 16) -> DataFrame:
 def has_at_most(df: DataFrame, rows: int) -> bool:
     """Whether `df` has no more than `rows` rows (runs a job that stops counting there)."""
     return df.limit(rows + 1).count() <= rows
-
-
-def broadcast_if_small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Hint a broadcast only behind a row count; otherwise leave the choice to Spark (runs a job)."""
-    return F.broadcast(df) if has_at_most(df, rows) else df

@@ -161,7 +161,11 @@ class Mart:
         return both.select(*context.by, safe_ratio(F.col("total_cases"), F.col("_whole")).alias("case_share"))
 
     def district_rank(self, context: Context) -> DataFrame:
-        """Dense rank of the selected places, most cases first; places without cases rank last."""
+        """Dense rank of the selected places, most cases first.
+
+        Grouped by place alone, places without cases rank last; grouped further, only places with cases
+        in a group have a rank there.
+        """
         others = [column for column in context.by if owner(column) != "dim_district"]
         totals = self.total_cases(context)
         if others:

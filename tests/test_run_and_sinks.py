@@ -161,6 +161,13 @@ def test_snapshot_sections_add_up(published, tmp_path):
     assert records["dim_sex"][0] == {"k": "F", "label": "หญิง"}
     assert {r["y"] for r in records["period"]} == {2568, 2569}
     assert len(records["dim_district"]) == 50 and len(records["population"]) == 100
+    snapshot.write_snapshot(star, quality, str(tmp_path / "snapshot"))
+    assert (tmp_path / "snapshot" / "section=fact").is_dir()
+
+
+def test_time_of_the_newest_load(spark):
+    audit = spark.createDataFrame([(0,), (86_400,)], "t long").select(F.timestamp_seconds("t").alias("loaded_at"))
+    assert snapshot.loaded_at(audit).first().loaded_at == "1970-01-02 07:00"
 
 
 def test_exports(spark, published, tmp_path):
