@@ -30,6 +30,11 @@ def exact_fingerprint(columns: Sequence[Column]) -> Column:
     return F.sha2(F.to_json(F.array(*[c.cast("string") for c in columns])), 256)
 
 
+def compact_fingerprint(columns: Sequence[Column]) -> Column:
+    """The same as 32 bytes, for grouping and shuffling."""
+    return F.unhex(exact_fingerprint(columns))
+
+
 def assign_case_id(df: DataFrame, columns: Sequence[str] = BUSINESS_COLUMNS) -> DataFrame:
     """Scope a given id to its year; rows without one get a surrogate key over the business columns."""
     given = F.trim("case_id")
@@ -101,7 +106,7 @@ def record_identity(df: DataFrame, columns: Sequence[str], scope: str, lanes: in
 
 def identical_rows(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """One row: how many rows repeat another row in all the given columns."""
-    per_row = df.groupBy(exact_fingerprint([quoted(c) for c in columns]).alias("_print")).agg(
+    per_row = df.groupBy(compact_fingerprint([quoted(c) for c in columns]).alias("_print")).agg(
         F.count("*").alias("_copies")
     )
     return per_row.agg(F.coalesce(F.sum(F.col("_copies") - 1), F.lit(0)).alias("identical_rows"))

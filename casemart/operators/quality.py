@@ -13,7 +13,7 @@ from casemart.domain import CaseDomain
 from casemart.functions import safe_ratio
 from casemart.operators.columns import quoted
 from casemart.operators.gold import GOLD_KEY
-from casemart.operators.identity import duplicate_summary, exact_fingerprint
+from casemart.operators.identity import compact_fingerprint, duplicate_summary
 from casemart.operators.rules import REASON
 from casemart.operators.star import FACT_KEY, Star
 from casemart.reference_values import BUDDHIST_OFFSET
@@ -45,7 +45,7 @@ class Layers:
 def raw_metrics(raw: DataFrame) -> DataFrame:
     """Rows, and rows that repeat another one in every source column."""
     source = [quoted(c) for c in raw.columns if c not in LINEAGE_COLUMNS]
-    per_record = raw.groupBy(exact_fingerprint(source).alias("_print")).agg(F.count("*").alias("_copies"))
+    per_record = raw.groupBy(compact_fingerprint(source).alias("_print")).agg(F.count("*").alias("_copies"))
     return per_record.agg(
         F.coalesce(F.sum("_copies"), F.lit(0)).alias("raw_rows"),
         F.coalesce(F.sum(F.col("_copies") - 1), F.lit(0)).alias("identical_rows"),
