@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from casemart.llm.quality import score_quality, train_quality
 from casemart.llm.substring_dedup import remove_repeats
+from casemart.llm.toxicity import score_toxicity, train_toxicity
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -16,7 +18,21 @@ def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return remove_repeats(_table(spark, sf_dir, "documents"), window=35)
 
 
+def op2_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pairwise-ranked quality of all documents."""
+    docs = _table(spark, sf_dir, "documents")
+    return score_quality(docs, train_quality(docs, _table(spark, sf_dir, "labels")))
+
+
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Noisy-or toxicity of all documents, with the sentences to blame."""
+    docs = _table(spark, sf_dir, "documents")
+    return score_toxicity(docs, train_toxicity(docs, _table(spark, sf_dir, "labels")))
+
+
 #: Name -> (function of (spark, folder), SQL or None).
 QUERIES = {
     "op1_substring_dedup": (op1_substring_dedup, None),
+    "op2_quality_classifier": (op2_quality_classifier, None),
+    "op4_toxicity": (op4_toxicity, None),
 }

@@ -71,8 +71,8 @@ class Words:
         return out
 
 
-def split(texts: list[str | None], lower: bool = False) -> Words:
-    """All words of `texts`, in order."""
+def split(texts: list[str | None], lower: bool = False, between: np.ndarray = BLANK) -> Words:
+    """All words of `texts`, in order. `between`: which of the 256 bytes part words (a line feed must be one)."""
     parts = [b"" if text is None else text.encode("utf-8", "surrogatepass") for text in texts]
     sizes = np.fromiter(map(len, parts), dtype=np.int64, count=len(parts))
     data = np.frombuffer(b"\n".join(parts) + b"\n", dtype=np.uint8)
@@ -81,7 +81,7 @@ def split(texts: list[str | None], lower: bool = False) -> Words:
     text_at = np.zeros(len(parts) + 1, dtype=np.int64)
     np.cumsum(sizes + 1, out=text_at[1:])
     blank = np.ones(len(data) + 1, dtype=bool)
-    blank[1:] = BLANK[data]
+    blank[1:] = between[data]
     turns = np.flatnonzero(blank[1:] != blank[:-1])
     start, end = turns[0::2], turns[1::2]
     first = np.searchsorted(start, text_at)
