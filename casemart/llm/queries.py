@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from casemart.llm.mixing import MIX_SQL, mix_sources
 from casemart.llm.quality import score_quality, train_quality
 from casemart.llm.substring_dedup import remove_repeats
 from casemart.llm.toxicity import score_toxicity, train_toxicity
@@ -30,9 +31,15 @@ def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_toxicity(docs, train_toxicity(docs, _table(spark, sf_dir, "labels")))
 
 
+def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents mixed to weights 3, 1, 2 of 150 % of their words."""
+    return mix_sources(_table(spark, sf_dir, "documents")).drop("times")
+
+
 #: Name -> (function of (spark, folder), SQL or None).
 QUERIES = {
     "op1_substring_dedup": (op1_substring_dedup, None),
     "op2_quality_classifier": (op2_quality_classifier, None),
     "op4_toxicity": (op4_toxicity, None),
+    "op10_mixing": (op10_mixing, MIX_SQL),
 }
