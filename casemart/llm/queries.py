@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from casemart.llm.mixing import MIX_SQL, mix_sources
+from casemart.llm.privacy import private_report
 from casemart.llm.quality import score_quality, train_quality
 from casemart.llm.substring_dedup import remove_repeats
 from casemart.llm.toxicity import score_toxicity, train_toxicity
@@ -31,6 +32,11 @@ def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_toxicity(docs, train_toxicity(docs, _table(spark, sf_dir, "labels")))
 
 
+def op5_privacy(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data and disclosing terms in all documents."""
+    return private_report(_table(spark, sf_dir, "documents"))
+
+
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents mixed to weights 3, 1, 2 of 150 % of their words."""
     return mix_sources(_table(spark, sf_dir, "documents")).drop("times")
@@ -41,5 +47,6 @@ QUERIES = {
     "op1_substring_dedup": (op1_substring_dedup, None),
     "op2_quality_classifier": (op2_quality_classifier, None),
     "op4_toxicity": (op4_toxicity, None),
+    "op5_privacy": (op5_privacy, None),
     "op10_mixing": (op10_mixing, MIX_SQL),
 }
