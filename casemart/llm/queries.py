@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from casemart.llm.minhash_dedup import near_duplicates
 from casemart.llm.mixing import MIX_SQL, mix_sources
 from casemart.llm.privacy import private_report
 from casemart.llm.quality import score_quality, train_quality
@@ -37,6 +38,11 @@ def op5_privacy(spark: SparkSession, sf_dir: str) -> DataFrame:
     return private_report(_table(spark, sf_dir, "documents"))
 
 
+def op9_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate groups of all documents at a similarity of 0.85."""
+    return near_duplicates(_table(spark, sf_dir, "documents"), percent=85)
+
+
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents mixed to weights 3, 1, 2 of 150 % of their words."""
     return mix_sources(_table(spark, sf_dir, "documents")).drop("times")
@@ -48,5 +54,6 @@ QUERIES = {
     "op2_quality_classifier": (op2_quality_classifier, None),
     "op4_toxicity": (op4_toxicity, None),
     "op5_privacy": (op5_privacy, None),
+    "op9_minhash_dedup": (op9_minhash_dedup, None),
     "op10_mixing": (op10_mixing, MIX_SQL),
 }

@@ -29,6 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from casemart.llm.storage import Scratch
+from casemart.llm.texts import distinct_texts, text_key
 from casemart.llm.words import sequences, split, split_batches
 
 #: A perfect difference cover of the integers modulo 21.
@@ -38,7 +39,6 @@ _CHUNK = 4 << 20
 
 _SENT = "group int, first binary, second binary, doc binary, position binary, keys binary, own boolean"
 _FOUND = "key binary, positions binary"
-_TEXT_ARROW = pa.schema([("key", pa.binary()), ("copies", pa.int64()), ("text", pa.string())])
 _SENT_ARROW = pa.schema([
     ("group", pa.int32()), ("first", pa.binary()), ("second", pa.binary()), ("doc", pa.binary()), ("position", pa.binary()),
     ("keys", pa.binary()), ("own", pa.bool_()),
@@ -49,30 +49,6 @@ _RESULT_ARROW = pa.schema([
 ])
 
 
-def _merge_equal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The first row of each key in a partition, with the number of copies seen (in a later row of no text, if any)."""
-    seen: dict[bytes, int] = {}
-    for batch in batches:
-        keys, copies = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-        new = []
-        for k, (key, count) in enumerate(zip(keys, copies, strict=True)):
-            if key not in seen:
-                seen[key] = 0
-                new.append(k)
-            else:
-                seen[key] += count
-        if new:
-            chosen = batch.take(pa.array(new, pa.int64()))
-            yield pa.RecordBatch.from_arrays(chosen.columns, schema=_TEXT_ARROW)
-    more = [(key, count) for key, count in seen.items() if count]
-    for at in range(0, len(more), 50_000):
-        part = more[at:at + 50_000]
-        yield pa.RecordBatch.from_arrays([
-            pa.array([key for key, _ in part], pa.binary()), pa.array([count for _, count in part], pa.int64()),
-            pa.nulls(len(part), pa.string()),
-        ], schema=_TEXT_ARROW)
-
-
 def _pack(groups: int, first, second, doc, position, keys: list[bytes]) -> pa.RecordBatch | None:
     """Fingerprints of a batch as one packed row for each group: one entry for each value; and what repeats right here."""
     if not len(first):
@@ -250,13 +226,8 @@ def remove_repeats(docs: DataFrame, window: int = 35, id_column: str = "doc_id",
     scratch = Scratch(spark, "repeats")
     groups = 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
     find = _Finder(window, groups)
-    text = F.coalesce(F.col(text_column), F.lit(""))
-    keyed = docs.select(F.col(id_column).alias("id"), F.unhex(F.md5(text)).alias("key"), text.alias("text"))
-
-    merged = "key binary, copies bigint, text string"
-    local = keyed.select("key", F.lit(1).cast("bigint").alias("copies"), "text").mapInArrow(_merge_equal, merged)
-    brought = local.repartition("key").mapInArrow(_merge_equal, merged)
-    texts = scratch.store(brought, "texts")
+    keyed = docs.select(F.col(id_column).alias("id"), text_key(F.col(text_column)).alias("key"))
+    texts = scratch.store(distinct_texts(docs, text_column), "texts")
     counted = texts.groupBy("key").agg(F.sum("copies").alias("copies"))
     texts = texts.where("text IS NOT NULL").select("key", "text")
 
@@ -274,7 +245,7 @@ def remove_repeats(docs: DataFrame, window: int = 35, id_column: str = "doc_id",
     results = scratch.store(joined.mapInArrow(find.removed if with_text else find.digests, schema), "results")
     scratch.drop("texts", "repeated")
     columns = [F.col("id").alias(id_column), "n_words", "n_removed", "kept_sha256"] + [F.col("kept").alias("kept_text")] * with_text
-    return keyed.select("id", "key").join(results, "key").select(*columns)
+    return keyed.join(results, "key").select(*columns)
 
 
 def _resolve_group(table: pa.Table) -> pa.Table:
