@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from casemart.llm.minhash_dedup import near_duplicates
 from casemart.llm.mixing import MIX_SQL, mix_sources
+from casemart.llm.packing import pack_documents
 from casemart.llm.privacy import private_report
 from casemart.llm.quality import score_quality, train_quality
 from casemart.llm.substring_dedup import remove_repeats
@@ -38,6 +40,11 @@ def op5_privacy(spark: SparkSession, sf_dir: str) -> DataFrame:
     return private_report(_table(spark, sf_dir, "documents"))
 
 
+def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents packed into sequences of 1,024 tokens."""
+    return pack_documents(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"))
+
+
 def op9_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate groups of all documents at a similarity of 0.85."""
     return near_duplicates(_table(spark, sf_dir, "documents"), percent=85)
@@ -54,6 +61,7 @@ QUERIES = {
     "op2_quality_classifier": (op2_quality_classifier, None),
     "op4_toxicity": (op4_toxicity, None),
     "op5_privacy": (op5_privacy, None),
+    "op7_packing": (op7_packing, None),
     "op9_minhash_dedup": (op9_minhash_dedup, None),
     "op10_mixing": (op10_mixing, MIX_SQL),
 }
