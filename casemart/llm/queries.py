@@ -11,6 +11,7 @@ from casemart.llm.packing import pack_documents
 from casemart.llm.privacy import private_report
 from casemart.llm.quality import score_quality, train_quality
 from casemart.llm.substring_dedup import remove_repeats
+from casemart.llm.top_k import TOP_K_SQL, top_k
 from casemart.llm.toxicity import score_toxicity, train_toxicity
 
 
@@ -45,6 +46,11 @@ def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"))
 
 
+def op8_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 nearest vectors of every twentieth one."""
+    return top_k(_table(spark, sf_dir, "embeddings"))
+
+
 def op9_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate groups of all documents at a similarity of 0.85."""
     return near_duplicates(_table(spark, sf_dir, "documents"), percent=85)
@@ -62,6 +68,7 @@ QUERIES = {
     "op4_toxicity": (op4_toxicity, None),
     "op5_privacy": (op5_privacy, None),
     "op7_packing": (op7_packing, None),
+    "op8_exact_top_k": (op8_exact_top_k, TOP_K_SQL),
     "op9_minhash_dedup": (op9_minhash_dedup, None),
     "op10_mixing": (op10_mixing, MIX_SQL),
 }
