@@ -5,6 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+from casemart.llm.embedding_dedup import vector_duplicates
 from casemart.llm.minhash_dedup import near_duplicates
 from casemart.llm.mixing import MIX_SQL, mix_sources
 from casemart.llm.packing import pack_documents
@@ -41,6 +42,11 @@ def op5_privacy(spark: SparkSession, sf_dir: str) -> DataFrame:
     return private_report(_table(spark, sf_dir, "documents"))
 
 
+def op6_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate groups of all vectors at a cosine of 0.95."""
+    return vector_duplicates(_table(spark, sf_dir, "embeddings"))
+
+
 def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents packed into sequences of 1,024 tokens."""
     return pack_documents(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"))
@@ -67,6 +73,7 @@ QUERIES = {
     "op2_quality_classifier": (op2_quality_classifier, None),
     "op4_toxicity": (op4_toxicity, None),
     "op5_privacy": (op5_privacy, None),
+    "op6_embedding_dedup": (op6_embedding_dedup, None),
     "op7_packing": (op7_packing, None),
     "op8_exact_top_k": (op8_exact_top_k, TOP_K_SQL),
     "op9_minhash_dedup": (op9_minhash_dedup, None),
