@@ -131,6 +131,30 @@ class _Verifier:
 def near_duplicates(docs: DataFrame, percent: int = 80, words: int = 5, bands: int = 16, rows: int = 4) -> DataFrame:
     """doc_id, n_shingles, component_id and kept for every row of `docs`. Runs jobs; the result reads stored tables."""
     scratch = Scratch(docs.sparkSession, "minhash")
+    texts = _groups(docs, scratch, percent, words, bands, rows)
+    keyed = docs.select("doc_id", text_key(F.col("text")).alias("key"))
+    named = scratch.store(keyed.join(texts, "key").drop("key"), "named")
+    least = named.where("n_shingles > 0").groupBy("component").agg(F.min("doc_id").alias("least"))
+    component = F.when(F.col("n_shingles") == 0, F.col("doc_id")).otherwise(F.col("least"))
+    result = named.join(least, "component", "left").withColumn("component_id", component)
+    return result.select("doc_id", "n_shingles", "component_id", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(False)).alias("kept"))
+
+
+def keep_one_of_each(docs: DataFrame, percent: int = 80, words: int = 5, bands: int = 16, rows: int = 4) -> DataFrame:
+    """One row of each group of near-duplicates, the one with the smallest id, with all columns; texts without words all stay."""
+    scratch = Scratch(docs.sparkSession, "minhash")
+    numbered = scratch.store(docs.withColumn("__row", F.monotonically_increasing_id()), "numbered")
+    texts = _groups(numbered, scratch, percent, words, bands, rows)
+    keyed = numbered.select("__row", "doc_id", text_key(F.col("text")).alias("key"))
+    named = scratch.store(keyed.join(texts, "key").select("__row", "doc_id", "n_shingles", "component"), "named")
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "__row"))
+    chosen = named.where("n_shingles > 0").groupBy("component").agg(first.alias("first")).select(F.col("first.__row").alias("__row"))
+    chosen = scratch.store(chosen.unionAll(named.where("n_shingles = 0").select("__row")), "chosen")
+    return numbered.join(chosen, "__row", "left_semi").drop("__row")
+
+
+def _groups(docs: DataFrame, scratch: Scratch, percent: int, words: int, bands: int, rows: int) -> DataFrame:
+    """key, n_shingles and component of every distinct text."""
     texts = scratch.store(distinct_texts(docs), "texts").where("text IS NOT NULL").select("key", "text")
     signed = scratch.store(texts.mapInArrow(_Signer(words, bands, rows), "key binary, n_shingles bigint, bands array<bigint>"), "signed")
     member = signed.select("key", "n_shingles", F.explode("bands").alias("bucket"))
@@ -160,15 +184,10 @@ def near_duplicates(docs: DataFrame, percent: int = 80, words: int = 5, bands: i
     known = first.select("u", "v").unionAll(second.select("u", "v"))
     third = compare(crossing.join(known, ["u", "v"], "left_anti"), "compared-3")
     label = linked(first, second, third)
-    smallest = docs.select("doc_id", text_key(F.col("text")).alias("key"))
-    named = smallest.join(signed.select("key", "n_shingles"), "key").join(label.withColumnRenamed("node", "key"), "key", "left")
-    # texts with an empty set are linked with nothing, not even with their copies
-    lone = F.col("n_shingles") == 0
-    named = scratch.store(named.withColumn("component", F.coalesce("component", "key")).select("doc_id", "n_shingles", "component", lone.alias("lone")), "named")
+    named = signed.select("key", "n_shingles").join(label.withColumnRenamed("node", "key"), "key", "left")
+    groups = scratch.store(named.withColumn("component", F.coalesce("component", "key")), "groups")
     scratch.drop("texts", "signed", "buckets")
-    least = named.where("NOT lone").groupBy("component").agg(F.min("doc_id").alias("least"))
-    result = named.join(least, "component", "left").withColumn("component_id", F.when(F.col("lone"), F.col("doc_id")).otherwise(F.col("least")))
-    return result.select("doc_id", "n_shingles", "component_id", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(False)).alias("kept"))
+    return groups
 
 
 def _outside(buckets: DataFrame, label: DataFrame) -> DataFrame:

@@ -81,20 +81,39 @@ def _threshold(sized: DataFrame, budgets: DataFrame) -> DataFrame:
     return state.select("source", F.col("prefix").alias("limit"))
 
 
-def mix_sources(docs: DataFrame, weights: tuple[int, ...] = (3, 1, 2), share: float = 1.5, most: float = 2.0) -> DataFrame:
-    """doc_id, size, source_size, target and taken for every row of `docs`, and `times`, how often it is taken."""
-    scratch = Scratch(docs.sparkSession, "mixing")
-    sized = scratch.store(docs.select("doc_id", "source", word_count(F.col("text")).alias("size"), hash40(F.col("doc_id")).alias("hash")), "sized")
+def _plan(sized: DataFrame, scratch: Scratch, weights: tuple[int, ...], share: float, most: float) -> DataFrame:
+    """own (the source), source_size, target, base and limit: one row for each source."""
     targets = scratch.store(source_targets(sized, weights, share, most), "targets")
-    ratio = F.col("target") / F.col("source_size")
-    base = F.when(F.col("source_size") > 0, F.floor(ratio)).otherwise(F.lit(0)).cast("bigint")
+    base = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(F.lit(0)).cast("bigint")
     budgets = targets.withColumn("base", base).withColumn("budget", F.col("target") - F.col("base") * F.col("source_size"))
-    limits = scratch.store(_threshold(sized, budgets), "limits")
-    plan = budgets.withColumnRenamed("source", "own").join(limits, F.col("own").eqNullSafe(F.col("source"))).drop("source")
+    limits = _threshold(sized, budgets)
+    joined = budgets.withColumnRenamed("source", "own").join(limits, F.col("own").eqNullSafe(F.col("source")))
+    return scratch.store(joined.select("own", "source_size", "target", "base", "limit"), "plan")
+
+
+def _times(most: float) -> Column:
+    return F.least(F.col("base") + (F.col("hash") < F.col("limit")).cast("bigint"), F.lit(int(most)))
+
+
+def _sized(docs: DataFrame) -> DataFrame:
+    return docs.select("doc_id", "source", word_count(F.col("text")).alias("size"), hash40(F.col("doc_id")).alias("hash"))
+
+
+def mix_sources(docs: DataFrame, weights: tuple[int, ...] = (3, 1, 2), share: float = 1.5, most: float = 2.0) -> DataFrame:
+    """doc_id, size, source_size, target and taken (words, repeats counted) for every row of `docs`. Runs jobs."""
+    scratch = Scratch(docs.sparkSession, "mixing")
+    sized = scratch.store(_sized(docs), "sized")
+    plan = _plan(sized, scratch, weights, share, most)
     joined = sized.join(plan, F.col("source").eqNullSafe(F.col("own")))
-    times = F.col("base") + (F.col("hash") < F.col("limit")).cast("bigint")
-    times = F.least(times, F.lit(int(most)))
-    return joined.select("doc_id", "size", "source_size", "target", (times * F.col("size")).alias("taken"), times.alias("times"))
+    return joined.select("doc_id", "size", "source_size", "target", (_times(most) * F.col("size")).alias("taken"))
+
+
+def take_mix(docs: DataFrame, weights: tuple[int, ...] = (3, 1, 2), share: float = 1.5, most: float = 2.0) -> DataFrame:
+    """The rows of `docs` as often as the mix takes them, with the same columns. Runs jobs."""
+    scratch = Scratch(docs.sparkSession, "mixing")
+    plan = _plan(scratch.store(_sized(docs), "sized"), scratch, weights, share, most)
+    hashed = docs.withColumn("hash", hash40(F.col("doc_id"))).join(plan, F.col("source").eqNullSafe(F.col("own")))
+    return hashed.withColumn("copy", F.explode(F.array_repeat(F.lit(1), _times(most).cast("int")))).select(*docs.columns)
 
 
 #: The same result for DuckDB: there the running sum over sorted hashes is affordable.

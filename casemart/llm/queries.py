@@ -14,6 +14,7 @@ from casemart.llm.quality import score_quality, train_quality
 from casemart.llm.substring_dedup import remove_repeats
 from casemart.llm.top_k import TOP_K_SQL, top_k
 from casemart.llm.toxicity import score_toxicity, train_toxicity
+from casemart.llm.warc_revisits import REVISIT_SQL, page_captures, revisit_report
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -31,6 +32,11 @@ def op2_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_quality(docs, train_quality(docs, _table(spark, sf_dir, "labels")))
 
 
+def op3_warc_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Revisit captures derived from all pages, resolved to full responses."""
+    return revisit_report(page_captures(spark, sf_dir))
+
+
 def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Noisy-or toxicity of all documents, with the sentences to blame."""
     docs = _table(spark, sf_dir, "documents")
@@ -64,13 +70,14 @@ def op9_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents mixed to weights 3, 1, 2 of 150 % of their words."""
-    return mix_sources(_table(spark, sf_dir, "documents")).drop("times")
+    return mix_sources(_table(spark, sf_dir, "documents"))
 
 
 #: Name -> (function of (spark, folder), SQL or None).
 QUERIES = {
     "op1_substring_dedup": (op1_substring_dedup, None),
     "op2_quality_classifier": (op2_quality_classifier, None),
+    "op3_warc_revisits": (op3_warc_revisits, REVISIT_SQL),
     "op4_toxicity": (op4_toxicity, None),
     "op5_privacy": (op5_privacy, None),
     "op6_embedding_dedup": (op6_embedding_dedup, None),
