@@ -123,24 +123,22 @@ class ToxicityModel:
 
 def _choose_terms(toxic: list[str], clean: list[str], terms: int, support: int) -> np.ndarray:
     """The terms whose presence in texts tells most about the label, in `support` texts at least."""
-    seen = []
-    for label, texts in ((1, toxic), (0, clean)):
-        hashes, counts = [], []
+    def in_texts(texts: list[str]) -> Iterator[np.ndarray]:
+        """Terms of one chunk after the other, once for each text that has them."""
         for a, b in split_batches(texts, _CHUNK):
             words = split(texts[a:b], lower=True, between=_OTHER)
-            once = []
             for numbers, h in _terms(words, words.fingerprints()):
-                pair = np.unique(mix(h) ^ mix(words.doc[numbers].astype(np.uint64)), return_index=True)[1]
-                once.append(h[pair])
-            h, n = np.unique(np.concatenate(once), return_counts=True)
-            hashes.append(h)
-            counts.append(n)
-        h, which = np.unique(np.concatenate(hashes), return_inverse=True)
-        n = np.bincount(which, weights=np.concatenate(counts), minlength=len(h))
-        seen.append((h, n) if label == 0 else (h[n >= support], n[n >= support]))
-    (h, n1), (other, n0) = seen
-    place = np.minimum(np.searchsorted(other, h), len(other) - 1)
-    n0 = np.where(other[place] == h, n0[place], 0)
+                yield h[np.unique(mix(h) ^ mix(words.doc[numbers].astype(np.uint64)), return_index=True)[1]]
+
+    h, n1 = np.zeros(0, np.uint64), np.zeros(0)
+    for part in in_texts(toxic):
+        h, which = np.unique(np.concatenate([h, part]), return_inverse=True)
+        n1 = np.bincount(which, weights=np.concatenate([n1, np.ones(len(part))]), minlength=len(h))
+    h, n1 = h[n1 >= support], n1[n1 >= support]
+    n0 = np.zeros(len(h))
+    for part in in_texts(clean) if len(h) else ():
+        place = np.minimum(np.searchsorted(h, part), len(h) - 1)
+        n0 += np.bincount(place[h[place] == part], minlength=len(h))
 
     def entropy(a, b):
         p = np.clip(a / np.maximum(a + b, 1), 1e-12, 1 - 1e-12)
