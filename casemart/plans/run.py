@@ -53,9 +53,13 @@ def run_batch(
     settings: Settings | None = None,
     domain: CaseDomain | None = None,
     require_population: bool = True,
+    publish_failed: bool = True,
 ) -> RunResult:
     """Read, validate, split, deduplicate, standardize, rate, build the star, check and publish.
 
+    With `publish_failed=False`, a run that breaks a quality rule isn't published: the mart of the run before stays current,
+    and the counts of the result are empty.
+
     Every layer is written once and read back by what follows, so that no stage recomputes an earlier
     one and a lost executor costs at most the layer in hand.
     """
@@ -75,8 +79,9 @@ def run_batch(
     layers = Layers(raw, tagged, identified, standardized, gold, star, population)
     report = stored(quality_report(layers, settings, domain, available), layout.layer("quality"))
     write_quality(report, layout.layer("quality.csv"), layout.layer("quality_errors.csv"))
-    counts = publish(star, report, layout.mart, source=layout.root)
-    return RunResult(counts, bool(has_failure(report).first()[0]))
+    failed = bool(has_failure(report).first()[0])
+    counts = publish(star, report, layout.mart, source=layout.root) if publish_failed or not failed else {}
+    return RunResult(counts, failed)
 
 
 def main(arguments: list[str] | None = None) -> int:
@@ -90,7 +95,7 @@ def main(arguments: list[str] | None = None) -> int:
     for key, value in Settings.from_env().session_conf().items():
         builder = builder.config(key, value)
     result = run_batch(builder.getOrCreate(), Layout(options.root), Settings.from_env(),
-                       require_population=not options.allow_missing_population)
+                       require_population=not options.allow_missing_population, publish_failed=not options.fail_on_dq)
     return 1 if result.failed and options.fail_on_dq else 0
 
 

@@ -101,7 +101,8 @@ def read_csv(
     frame = frame.select("*", file_path().alias(SOURCE_FILE))
     if encoding == SINGLE_BYTE_THAI:
         latin, thai = thai_code_page()
-        frame = frame.select(*[F.translate(quoted(n), latin, thai).alias(n) for n in names], SOURCE_FILE)
+        others = [CORRUPT] * corrupt + [SOURCE_FILE]
+        frame = frame.select(*[F.translate(quoted(n), latin, thai).alias(n) for n in names], *others)
     return frame
 
 

@@ -3,7 +3,7 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
-from casemart import Layout
+from casemart import Layout, Settings
 from casemart.operators.denominators import no_population
 from casemart.plans import measures, reports, run, statements, views
 from casemart.reference_values import CASE_CSV_FIELDS, DISTRICTS
@@ -196,3 +196,13 @@ def test_large_exports_stay_directories(spark, tmp_path, monkeypatch):
 def test_empty_population_gives_null_rates(spark, published, domain):
     _, star, _ = published
     assert no_population(star.dim_date).count() == 0
+
+
+def test_a_failing_run_leaves_the_mart_of_the_run_before(spark, lake, published, tmp_path):
+    layout = Layout(str(lake))
+    before = [tuple(r) for r in publish.current_mart(spark, layout.mart)[0].fact_disease_cases.orderBy(*"date_key district_key".split()).limit(5).collect()]
+    strict = Settings(max_missing_population_rate=-1.0)
+    result = run.run_batch(spark, layout, strict, publish_failed=False)
+    assert result.failed and not result.row_counts
+    star, _ = publish.current_mart(spark, layout.mart)
+    assert [tuple(r) for r in star.fact_disease_cases.orderBy(*"date_key district_key".split()).limit(5).collect()] == before

@@ -106,7 +106,7 @@ COVERAGE_BY_YEAR = ("SELECT year_be, count(DISTINCT district_key) / CAST(" + SCO
 
 QUERIES = {
     **{name: (star_table(name), o.over_orders(f"SELECT * FROM {name}")) for name in (
-        "dim_date", "dim_district", "dim_disease", "dim_age_group", "dim_sex", "fact_population")},
+        "dim_date", "dim_district", "dim_disease", "fact_population")},
     "fact_cases": (star_table("fact_disease_cases"), o.over_orders("SELECT * FROM fact_disease_cases")),
     "fact_feed": (
         lambda s, d: report(s, d)[0].star.fact_disease_cases, o.over_feed("SELECT * FROM fact_disease_cases")),
