@@ -9,10 +9,11 @@ a slot keeps its minimum. A value of round j is at least j, so a text is done as
 less than independent ones. Equal bands of `rows` slots propose pairs; a pair is confirmed on the full shingle sets.
 
 Scale. Equal texts are merged before all else. A bucket of equal bands never gives all its pairs: each member is compared
-with the bucket's first one. Members that stay outside of that one's component are then compared with the first of themselves,
-and at last with those members of other components of the bucket to which set sizes and known distances allow a link. So groups of
-near copies take about as many comparisons as they have members, and no proposed link between different texts is lost. Links,
-components and signatures stay in stored tables.
+with the bucket's leader, the text that shares most buckets with others. Members outside of the leader's component are then compared with a leader
+of their own, and at last with those members of other components to which set sizes, known distances and 512-byte sketches allow
+a link. That last sifting goes over blocks of a bucket inside of tasks, and only pairs that pass leave them. So groups of near copies
+take about as many comparisons as they have members, and no proposed link between different texts is lost, but for a chance
+of about one in a million where sketches differ by more than five standard deviations. Links, components and signatures stay in stored tables.
 
 Edge cases. Null text counts as empty. Rows with equal ids and equal texts each get a row; component_id is the smallest id of
 the component, null only if none of its rows has an id. Other columns are ignored.
@@ -34,6 +35,8 @@ from casemart.llm.words import chain, mix, sequences, split, split_batches
 
 _CHUNK = 2 << 20
 _GOLD = 0x9E3779B97F4A7C15
+_BINS = 512
+_BLOCK = 1024
 
 
 def shingles(texts: list[str | None], words: int) -> tuple[np.ndarray, np.ndarray]:
@@ -75,12 +78,23 @@ def super_minhash(doc: np.ndarray, h: np.ndarray, texts: int, slots: int) -> np.
     return signature.reshape(texts, slots)
 
 
+def sketches(doc: np.ndarray, h: np.ndarray, texts: int) -> np.ndarray:
+    """One byte for each of `_BINS` bins of a text: of the smallest shingle that falls into it, 0 if none does."""
+    u = mix(h + np.uint64(0x632BE59BD9B4E019))
+    place = doc * _BINS + (u % np.uint64(_BINS)).astype(np.int64)
+    least = np.full(texts * _BINS, np.iinfo(np.uint64).max, dtype=np.uint64)
+    np.minimum.at(least, place, u)
+    value = (1 + (least >> np.uint64(32)) % np.uint64(255)).astype(np.uint8)
+    value[least == np.iinfo(np.uint64).max] = 0
+    return value.reshape(texts, _BINS)
+
+
 class _Signer:
     def __init__(self, words: int, bands: int, rows: int):
         self.words, self.bands, self.rows = words, bands, rows
 
     def __call__(self, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """(key, text) to (key, n_shingles, bands)."""
+        """(key, text) to (key, n_shingles, bands, sketch)."""
         for batch in batches:
             texts = batch.column(1).to_pylist()
             for a, b in split_batches(texts, _CHUNK):
@@ -93,8 +107,9 @@ class _Signer:
                 offsets = np.concatenate([[0], np.cumsum(np.where(count > 0, self.bands, 0))]).astype(np.int32)
                 values = band.view(np.int64).reshape(b - a, self.bands)[count > 0].ravel()
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(a, b - a), pa.array(count, pa.int64()), pa.ListArray.from_arrays(pa.array(offsets), pa.array(values))],
-                    names=["key", "n_shingles", "bands"])
+                    [batch.column(0).slice(a, b - a), pa.array(count, pa.int64()), pa.ListArray.from_arrays(pa.array(offsets), pa.array(values)),
+                     pa.array([row.tobytes() for row in sketches(doc, h, b - a)], pa.binary())],
+                    names=["key", "n_shingles", "bands", "sketch"])
 
 
 class _Verifier:
@@ -156,10 +171,16 @@ def keep_one_of_each(docs: DataFrame, percent: int = 80, words: int = 5, bands:
 def _groups(docs: DataFrame, scratch: Scratch, percent: int, words: int, bands: int, rows: int) -> DataFrame:
     """key, n_shingles and component of every distinct text."""
     texts = scratch.store(distinct_texts(docs), "texts").where("text IS NOT NULL").select("key", "text")
-    signed = scratch.store(texts.mapInArrow(_Signer(words, bands, rows), "key binary, n_shingles bigint, bands array<bigint>"), "signed")
-    member = signed.select("key", "n_shingles", F.explode("bands").alias("bucket"))
-    shared = member.groupBy("bucket").agg(F.min("key").alias("first"), F.max("key").alias("last")).where("first <> last")
-    buckets = scratch.store(member.join(shared.select("bucket", "first"), "bucket"), "buckets")
+    signed = scratch.store(texts.mapInArrow(_Signer(words, bands, rows), "key binary, n_shingles bigint, bands array<bigint>, sketch binary"), "signed")
+    member = signed.select("key", "n_shingles", F.posexplode("bands").alias("band", "bucket"))
+    shared = member.groupBy("bucket").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
+    members = scratch.store(member.join(shared, "bucket"), "members")
+    # a text that others were made from shares more buckets with them than they share with each other: it leads its buckets
+    weight = members.groupBy("key").agg(F.sum("size").alias("weight"))
+    weighed = members.join(weight, "key").select("bucket", "band", "size", "key", "n_shingles", "weight")
+    lead = weighed.groupBy("bucket").agg(F.max(F.struct("weight", "key")).alias("lead"))
+    buckets = scratch.store(weighed.join(lead, "bucket").select("bucket", "band", "size", "key", "n_shingles", "weight", F.col("lead.key").alias("first")), "buckets")
+    scratch.drop("members")
 
     verify = _Verifier(words, percent)
 
@@ -176,11 +197,11 @@ def _groups(docs: DataFrame, scratch: Scratch, percent: int, words: int, bands:
 
     first = compare(buckets.where("key <> first").select(F.col("first").alias("u"), F.col("key").alias("v")).distinct(), "compared-1")
     outside = scratch.store(_outside(buckets, linked(first)).where("own <> main"), "outside-1")
-    lead = outside.groupBy("bucket").agg(F.min("key").alias("u"))
-    star = outside.join(lead, "bucket").where("key <> u").select("u", F.col("key").alias("v")).distinct()
+    lead = outside.groupBy("bucket").agg(F.max(F.struct("weight", "key")).alias("lead"))
+    star = outside.join(lead, "bucket").select(F.col("lead.key").alias("u"), F.col("key").alias("v")).where("u <> v").distinct()
     second = compare(star.join(first, ["u", "v"], "left_anti"), "compared-2")
     label = linked(first, second)
-    crossing = _crossing(_outside(buckets, label), first, percent)
+    crossing = _crossing(_outside(buckets, label), first, signed.select("key", "bands", "sketch"), percent)
     known = first.select("u", "v").unionAll(second.select("u", "v"))
     third = compare(crossing.join(known, ["u", "v"], "left_anti"), "compared-3")
     label = linked(first, second, third)
@@ -195,19 +216,56 @@ def _outside(buckets: DataFrame, label: DataFrame) -> DataFrame:
     of_member = label.select(F.col("node").alias("key"), F.col("component").alias("own"))
     of_first = label.select(F.col("node").alias("first"), F.col("component").alias("main"))
     named = buckets.join(of_member, "key", "left").join(of_first, "first", "left")
-    return named.select("bucket", "first", "key", "n_shingles", F.coalesce("own", "key").alias("own"), F.coalesce("main", "first").alias("main"))
+    return named.select("bucket", "band", "size", "first", "key", "n_shingles", "weight", F.coalesce("own", "key").alias("own"), F.coalesce("main", "first").alias("main"))
 
 
-def _crossing(members: DataFrame, star: DataFrame, percent: int) -> DataFrame:
+def _crossing(members: DataFrame, star: DataFrame, signed: DataFrame, percent: int) -> DataFrame:
     """Pairs of a bucket's members in different components that may still be linked.
 
-    One of the two is outside of the first member's component. A link needs set sizes in proportion, and, as 1 - similarity is a metric,
-    about equal distances to the first member, which are known.
+    A link needs set sizes in proportion and, as 1 - similarity is a metric, about equal distances to the bucket's first member, which are known; and sketches
+    must agree as much as linked texts do but for five standard deviations. Members meet in blocks of `_BLOCK`, and only pairs
+    that pass all this leave the task, each in the first of the buckets that it shares.
     """
+    mixed = members.where("own <> main").select("bucket").distinct()
     distance = star.select(F.col("u").alias("first"), F.col("v").alias("key"), (1 - F.col("similarity")).alias("distance"))
-    placed = members.join(distance, ["first", "key"], "left").withColumn("distance", F.coalesce("distance", F.lit(0.0)))
-    other = placed.select("bucket", F.col("key").alias("other"), F.col("n_shingles").alias("size"), F.col("own").alias("their"), F.col("distance").alias("away"))
-    small, large = F.least("n_shingles", "size"), F.greatest("n_shingles", "size")
-    pairs = placed.where("own <> main").join(other, "bucket").where("own <> their").where(100 * small >= percent * large)
-    near = pairs.where(F.abs(F.col("distance") - F.col("away")) <= 1 - percent / 100 + 1e-9)
-    return near.select(F.least("key", "other").alias("u"), F.greatest("key", "other").alias("v")).distinct()
+    placed = members.join(mixed, "bucket", "left_semi").join(distance, ["first", "key"], "left").join(signed, "key")
+    blocks = F.ceil(F.col("size") / _BLOCK).cast("int")
+    own = F.pmod(F.xxhash64("key"), blocks).cast("int")
+    paired = placed.withColumn("block", own).withColumn("with", F.explode(F.sequence(F.lit(0), blocks - 1)))
+    rows = paired.select(
+        "bucket", F.least("block", "with").alias("low"), F.greatest("block", "with").alias("high"), "block", "band", "key", "n_shingles", "own", "bands",
+        "sketch", F.coalesce("distance", F.lit(0.0)).alias("distance"))
+    return rows.groupBy("bucket", "low", "high").applyInArrow(_sifter(percent), "u binary, v binary")
+
+
+def _sifter(percent: int):
+    def sift(table: pa.Table) -> pa.Table:
+        """Pairs of different components, of one block or between two, that pass all bounds."""
+        share, band = percent / 100, table.column("band")[0].as_py()
+        keys, own = table.column("key").to_pylist(), table.column("own").to_pylist()
+        number = {name: k for k, name in enumerate(dict.fromkeys(own))}
+        component = np.array([number[name] for name in own])
+        size, distance = table.column("n_shingles").to_numpy(), table.column("distance").to_numpy()
+        bands = np.array(table.column("bands").to_pylist(), dtype=np.int64)[:, :band]
+        sketch = np.frombuffer(b"".join(table.column("sketch").to_pylist()), dtype=np.uint8).reshape(len(keys), _BINS)
+        low, high, block = table.column("low")[0].as_py(), table.column("high")[0].as_py(), table.column("block").to_numpy()
+        pairs = []
+        for x in range(len(keys)):
+            if low != high and block[x] != low:
+                continue
+            other = np.arange(x + 1, len(keys)) if low == high else np.flatnonzero(block == high)
+            fits = (component[other] != component[x]) & (np.abs(distance[other] - distance[x]) <= 1 - share + 1e-9)
+            fits &= np.minimum(size[other], size[x]) * 100 >= percent * np.maximum(size[other], size[x])
+            other = other[fits]
+            other = other[~(bands[other] == bands[x]).any(axis=1)]
+            if len(other):
+                theirs = sketch[other]
+                same = ((theirs == sketch[x]) & (theirs > 0)).sum(axis=1)
+                either = ((theirs > 0) | (sketch[x] > 0)).sum(axis=1)
+                # filled bins are drawn from the union without replacement; a linked pair's union has at most this size
+                union = (size[other] + size[x]) / (1 + share)
+                spread = share * (1 - share) / np.maximum(either, 1) * np.maximum(1 - either / union, 0)
+                least = share - 5 * np.sqrt(spread) - 0.03
+                pairs += [(min(keys[x], keys[y]), max(keys[x], keys[y])) for y in other[same >= least * either]]
+        return pa.table({"u": pa.array([u for u, _ in pairs], pa.binary()), "v": pa.array([v for _, v in pairs], pa.binary())})
+    return sift
