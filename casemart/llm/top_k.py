@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from casemart.llm.storage import Scratch
 from casemart.llm.vectors import finite, matrix
 
-_DEPTHS = (0.5, 0.7)
+_DEPTHS = (0.6, 0.75)
 
 
 def _sorted_lists(width: int):
@@ -55,14 +55,19 @@ def _query_block(width: int):
 
 
 class SortedLists:
-    """A chunk's lists: for each dimension the row numbers by rising value, those values, and each row's place."""
+    """A chunk's lists: for each dimension the values in rising order, and each row's place in each list.
+
+    Lists are kept by row, as places and values side by side: what a list gives down to some depth are the rows whose place lies
+    before it, for all lists at once.
+    """
 
     def __init__(self, values: np.ndarray, order: np.ndarray):
         self.rows, self.width = values.shape
-        self.order = order.astype(np.int64)
-        self.sorted = np.take_along_axis(values.T, self.order, axis=1).astype(np.float64)
+        self.full, self.values = values, values.astype(np.float32)
+        self.sorted = np.take_along_axis(values.T, order.astype(np.int64), axis=1).astype(np.float64)
         self.place = np.empty((self.rows, self.width), dtype=np.uint16)
-        np.put_along_axis(self.place, self.order.T, np.arange(self.rows, dtype=np.uint16)[:, None], axis=0)
+        np.put_along_axis(self.place, order.T.astype(np.int64), np.arange(self.rows, dtype=np.uint16)[:, None], axis=0)
+        self.exact = np.abs(values).max(initial=0) ** 2 * self.width < 1 << 24  # float32 sums are then exact
 
     def search(self, query: np.ndarray, k: int, own: int | None = None) -> tuple[np.ndarray, np.ndarray]:
         """Row numbers and scores of the k best candidates (rows are in order of id, so ties go to the smaller one)."""
@@ -70,51 +75,30 @@ class SortedLists:
         wanted = min(k, n - (own is not None))
         if wanted <= 0:
             return np.zeros(0, np.int64), np.zeros(0, np.int64)
-        rising, falling = np.flatnonzero(query < 0), np.flatnonzero(query > 0)
-        ways = ((rising, query[rising, None].astype(np.float64)), (falling, query[falling, None].astype(np.float64)))
-
-        def read(at: int, to: int) -> tuple[np.ndarray, np.ndarray]:
-            low, high = (self.order[rising, at:to], self.order[falling, n - to:n - at])
-            gains = (self.sorted[rising, at:to] * ways[0][1], self.sorted[falling, n - to:n - at] * ways[1][1])
-            return np.concatenate([low.ravel(), high.ravel()]), np.concatenate([gains[0].ravel(), gains[1].ravel()])
-
-        least = np.zeros(self.width)
-        least[rising] = query[rising] * self.sorted[rising, n - 1]
-        least[falling] = query[falling] * self.sorted[falling, 0]
-        total, alive, at = np.zeros(n), np.ones(n, dtype=bool), 0
+        weights = query.astype(np.float64)
+        alive = np.ones(n, dtype=bool)
         if own is not None:
             alive[own] = False
+        least = np.minimum(weights * self.sorted[:, 0], weights * self.sorted[:, -1])
+        exact = self.exact and np.abs(query).max(initial=0) * np.abs(self.sorted[:, [0, -1]]).max(initial=0) * self.width < 1 << 24
         for depth in _DEPTHS:
-            to = max(at + 1, int(np.ceil(depth * n)))
-            if to >= n:
+            at = int(depth * n)
+            if at < 1 or not exact:
                 break
-            rows, gains = read(at, to)
-            total += np.bincount(rows, weights=gains, minlength=n)
-            at = to
-            front, last = np.zeros(self.width), np.full(self.width, n, dtype=np.int64)
-            front[rising] = query[rising] * self.sorted[rising, at - 1]
-            front[falling] = query[falling] * self.sorted[falling, n - at]
-            last[falling] = n - at
-            unread = self.place < last.astype(np.uint32)[None, :]
-            unread[:, rising] = self.place[:, rising] >= at
-            unread = unread.astype(np.float32)
-            # sums of integers below 2 ** 24 are exact; larger ones get room for rounding
-            slack = 1 + 1e-6 * float(np.abs(least).sum() + np.abs(front).sum())
-            bounds = unread @ np.column_stack([least, front]).astype(np.float32)
-            lower, upper = total + bounds[:, 0] - slack, total + bounds[:, 1] + slack
-            bar = np.partition(lower[alive], alive.sum() - wanted)[alive.sum() - wanted]
+            # rising lists are read for negative weights, falling ones for positive weights
+            begin = np.where(query > 0, n - at, 0).astype(np.uint16)
+            read = ((self.place - begin) < np.uint16(at)).view(np.uint8)
+            total = (self.values * read) @ query.astype(np.float32)
+            front = weights * np.where(query > 0, self.sorted[:, n - at], self.sorted[:, at - 1])
+            got = read.astype(np.float32) @ np.column_stack([least, front]).astype(np.float32)
+            lower, upper = total + (least.sum() - got[:, 0]), total + (front.sum() - got[:, 1])
+            bar = np.partition(lower[alive], -wanted)[-wanted]
             alive &= upper >= bar
-            if alive.sum() <= max(4 * wanted, n // 16):
+            if alive.sum() <= max(4 * wanted, n // 8):
                 break
         final = np.flatnonzero(alive)
         # the lists are read on for those that can still qualify, which gives their final scores
-        rows, gains = read(at, n)
-        number = np.full(n, -1)
-        number[final] = np.arange(len(final))
-        mine = number[rows]
-        chosen = mine >= 0
-        score = total[final] + np.bincount(mine[chosen], weights=gains[chosen], minlength=len(final))
-        score = np.rint(score).astype(np.int64)
+        score = self.full[final] @ query
         best = np.lexsort((final, -score))[:wanted]
         return final[best], score[best]
 
