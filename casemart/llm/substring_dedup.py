@@ -38,12 +38,13 @@ _COVERED = np.isin(np.arange(PERIOD), COVER)
 _CHUNK = 4 << 20
 
 _SENT = "group int, first binary, second binary, doc binary, position binary, keys binary, own boolean"
-_FOUND = "key binary, positions binary"
+_FOUND = "bucket int, keys binary, sizes binary, positions binary"
+_PLACES = "key binary, positions binary"
 _SENT_ARROW = pa.schema([
     ("group", pa.int32()), ("first", pa.binary()), ("second", pa.binary()), ("doc", pa.binary()), ("position", pa.binary()),
     ("keys", pa.binary()), ("own", pa.bool_()),
 ])
-_FOUND_ARROW = pa.schema([("key", pa.binary()), ("positions", pa.binary())])
+_FOUND_ARROW = pa.schema([("bucket", pa.int32()), ("keys", pa.binary()), ("sizes", pa.binary()), ("positions", pa.binary())])
 _RESULT_ARROW = pa.schema([
     ("key", pa.binary()), ("n_words", pa.int64()), ("n_removed", pa.int64()), ("kept_sha256", pa.string()), ("kept", pa.string()),
 ])
@@ -87,24 +88,29 @@ def _pack(groups: int, first, second, doc, position, keys: list[bytes]) -> pa.Re
                                       schema=_SENT_ARROW)
 
 
-def _found_rows(doc: np.ndarray, position: np.ndarray, keys: bytes) -> Iterator[tuple[bytes, bytes]]:
+def _found_rows(doc: np.ndarray, position: np.ndarray, keys: bytes, buckets: int) -> Iterator[tuple]:
+    """Places in texts, packed for each bucket of texts: the keys, how many places each has, and the places."""
     order = np.lexsort((position, doc))
-    doc, position = doc[order], position[order]
-    bounds = np.flatnonzero(np.concatenate([[True], doc[1:] != doc[:-1]]))
-    for begin, end in zip(bounds, [*bounds[1:], len(doc)]):
-        d = int(doc[begin])
-        yield keys[16 * d:16 * d + 16], position[begin:end].astype(np.uint32).tobytes()
-
-
-def _resolve(_key, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Of one group: the places of all fingerprints that came from more than one batch, and those known before."""
-    first, second, doc, position, keys, found = [], [], [], [], [], []
-    offset = 0
-    for batch in batches:
-        for row in batch.to_pylist():
+    doc, position = doc[order], position[order].astype(np.uint32)
+    bounds = np.append(np.flatnonzero(np.concatenate([[True], doc[1:] != doc[:-1]])), len(doc))
+    used = doc[bounds[:-1]]
+    names = np.frombuffer(keys, dtype="V16")[used]
+    bucket = np.frombuffer(keys, dtype=np.uint32)[4 * used] % buckets
+    for b in np.unique(bucket):
+        mine = np.flatnonzero(bucket == b)
+        sizes = (bounds[mine + 1] - bounds[mine]).astype(np.uint32)
+        yield int(b), names[mine].tobytes(), sizes.tobytes(), np.concatenate([position[bounds[k]:bounds[k + 1]] for k in mine]).tobytes()
+
+
+def _resolver(buckets: int):
+    def resolve(table: pa.Table) -> pa.Table:
+        """Of one group: the places of all fingerprints that came from more than one batch, and those known before."""
+        first, second, doc, position, keys, found = [], [], [], [], [], []
+        offset = 0
+        for row in table.to_pylist():
             local, at = np.frombuffer(row["doc"], np.uint32).astype(np.int64), np.frombuffer(row["position"], np.uint32)
             if row["own"]:
-                found += _found_rows(local, at, row["keys"])
+                found += _found_rows(local, at, row["keys"], buckets)
                 continue
             first.append(np.frombuffer(row["first"], np.uint64))
             second.append(np.frombuffer(row["second"], np.uint64))
@@ -112,22 +118,35 @@ def _resolve(_key, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
             position.append(at)
             keys.append(row["keys"])
             offset += len(row["keys"]) // 16
-    if first:
-        h1, h2 = np.concatenate(first), np.concatenate(second)
-        order = np.lexsort((h2, h1))
-        h1, h2 = h1[order], h2[order]
-        same = (h1[1:] == h1[:-1]) & (h2[1:] == h2[:-1])
-        chosen = order[np.concatenate([[False], same]) | np.concatenate([same, [False]])]
-        if len(chosen):
-            found += _found_rows(np.concatenate(doc)[chosen], np.concatenate(position)[chosen], b"".join(keys))
-    for at in range(0, len(found), 20_000):
-        part = found[at:at + 20_000]
-        yield pa.RecordBatch.from_arrays(
-            [pa.array([key for key, _ in part], pa.binary()), pa.array([p for _, p in part], pa.binary())], schema=_FOUND_ARROW)
+        if first:
+            h1, h2 = np.concatenate(first), np.concatenate(second)
+            order = np.lexsort((h2, h1))
+            h1, h2 = h1[order], h2[order]
+            same = (h1[1:] == h1[:-1]) & (h2[1:] == h2[:-1])
+            chosen = order[np.concatenate([[False], same]) | np.concatenate([same, [False]])]
+            if len(chosen):
+                # a text stands in many batches' rows under numbers of their own: one number each
+                names, number = np.unique(np.frombuffer(b"".join(keys), "<u8").reshape(-1, 2), axis=0, return_inverse=True)
+                found += _found_rows(number.ravel()[np.concatenate(doc)[chosen]], np.concatenate(position)[chosen], names.tobytes(), buckets)
+        columns = list(zip(*found)) or [[]] * len(_FOUND_ARROW)
+        return pa.table([pa.array(list(column), field.type) for column, field in zip(columns, _FOUND_ARROW)], schema=_FOUND_ARROW)
+    return resolve
+
+
+def _gather(table: pa.Table) -> pa.Table:
+    """Of one bucket of texts: one row for each text with all its places."""
+    keys, sizes, positions = (b"".join(table.column(name).to_pylist()) for name in ("keys", "sizes", "positions"))
+    names, number = np.unique(np.frombuffer(keys, "<u8").reshape(-1, 2), axis=0, return_inverse=True)
+    doc = np.repeat(number.ravel(), np.frombuffer(sizes, np.uint32))
+    position = np.frombuffer(positions, np.uint32)
+    order = np.lexsort((position, doc))
+    position, ends = position[order], np.cumsum(np.bincount(doc, minlength=len(names)))
+    packed = [position[low:high].tobytes() for low, high in zip(np.concatenate([[0], ends[:-1]]), ends)]
+    return pa.table({"key": pa.array([name.tobytes() for name in names], pa.binary()), "positions": pa.array(packed, pa.binary())})
 
 
-def _positions(packed) -> np.ndarray:
-    return np.frombuffer(b"".join(packed), np.uint32).astype(np.int64)
+def _positions(packed: bytes | None) -> np.ndarray:
+    return np.frombuffer(packed or b"", np.uint32).astype(np.int64)
 
 
 class _Finder:
@@ -196,7 +215,7 @@ class _Finder:
                     if rows["copies"][begin + d] > 1 and count >= self.window:
                         marks[0] = 1
                     else:
-                        p = _positions(rows["positions"][begin + d] or [])
+                        p = _positions(rows["positions"][begin + d])
                         np.add.at(marks, p, 1)
                         np.add.at(marks, p + self.window, -1)
                     keep = np.flatnonzero(np.cumsum(marks[:-1]) == 0) + low
@@ -224,20 +243,23 @@ def remove_repeats(docs: DataFrame, window: int = 35, id_column: str = "doc_id",
         raise ValueError(f"window must be at least {PERIOD}")
     spark = docs.sparkSession
     scratch = Scratch(spark, "repeats")
-    groups = 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    groups = 2 * partitions
     find = _Finder(window, groups)
     keyed = docs.select(F.col(id_column).alias("id"), text_key(F.col(text_column)).alias("key"))
     texts = scratch.store(distinct_texts(docs, text_column), "texts")
     counted = texts.groupBy("key").agg(F.sum("copies").alias("copies"))
     texts = texts.where("text IS NOT NULL").select("key", "text")
 
-    anchors = texts.mapInArrow(find.anchors, _SENT).groupBy("group").applyInArrow(_resolve_group, _FOUND)
-    candidates = scratch.store(anchors.groupBy("key").agg(F.collect_list("positions").alias("positions")), "candidates")
-    windows = (
-        texts.join(candidates, "key").select("key", "text", "positions").mapInArrow(find.windows, _SENT)
-        .groupBy("group").applyInArrow(_resolve_group, _FOUND)
-    )
-    repeated = scratch.store(windows.groupBy("key").agg(F.collect_list("positions").alias("positions")), "repeated")
+    resolve = _resolver(partitions)
+
+    def places(sent: DataFrame, table: str) -> DataFrame:
+        found = sent.groupBy("group").applyInArrow(resolve, _FOUND)
+        return scratch.store(found.groupBy("bucket").applyInArrow(_gather, _PLACES), table)
+
+    candidates = places(texts.mapInArrow(find.anchors, _SENT), "candidates")
+    over = texts.join(candidates, "key").select("key", "text", "positions")
+    repeated = places(over.mapInArrow(find.windows, _SENT), "repeated")
     scratch.drop("candidates")
     known = counted.join(repeated, "key", "left")
     joined = texts.join(known, "key").select("key", "copies", "text", "positions")
@@ -246,7 +268,3 @@ def remove_repeats(docs: DataFrame, window: int = 35, id_column: str = "doc_id",
     scratch.drop("texts", "repeated")
     columns = [F.col("id").alias(id_column), "n_words", "n_removed", "kept_sha256"] + [F.col("kept").alias("kept_text")] * with_text
     return keyed.join(results, "key").select(*columns)
-
-
-def _resolve_group(table: pa.Table) -> pa.Table:
-    return pa.Table.from_batches(list(_resolve(None, iter(table.to_batches()))), schema=_FOUND_ARROW)
