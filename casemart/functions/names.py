@@ -14,10 +14,6 @@ from casemart import reference_values as ref
 # Fixed value: characters that do not count when two spellings are compared.
 KEY_NOISE = r"[\s_./\-]+"
 
-# Above this many entries a map literal bloats the plan; join an alias table instead.
-MAX_MAP_LITERAL = 200
-
-
 @dataclass(frozen=True)
 class NameRules:
     """Ordered text repairs, then an alias table."""
@@ -48,11 +44,9 @@ def map_literal(values: Mapping[str, str]) -> Column:
 
 
 def lookup(value: Column, values: Mapping[str, str]) -> Column:
-    """The mapped value, or NULL when there is none."""
+    """The mapped value, or NULL when there is none. The dict becomes part of the plan; `standardize_by_table` joins a table instead."""
     if not values:
         return F.lit(None).cast("string")
-    if len(values) > MAX_MAP_LITERAL:
-        raise ValueError(f"{len(values)} aliases do not belong in a plan; join an alias DataFrame instead")
     return F.try_element_at(map_literal(values), value)
 
 

@@ -8,6 +8,8 @@ from collections.abc import Iterable, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from casemart.functions.names import alias_key
+
 
 class MissingColumnError(ValueError):
     """A column that the contract requires is absent under every known spelling."""
@@ -45,3 +47,14 @@ def column_or(df: DataFrame, spellings: Iterable[str], default: Column) -> Colum
 def clean_headers(df: DataFrame) -> DataFrame:
     """Column names without byte-order marks and outer blanks."""
     return df.toDF(*[name.replace("\ufeff", "").strip() for name in df.columns])
+
+
+def standardize_by_table(df: DataFrame, column: str, aliases: DataFrame, out: str) -> DataFrame:
+    """`standardize_alias` with an alias table of any size (`spelling, name`) instead of a dict.
+
+    Spellings that differ only in case, blanks and separators are one; of several names the smallest holds.
+    """
+    names = aliases.groupBy(alias_key(F.col("spelling")).alias("_key")).agg(F.min("name").alias("_name"))
+    keyed = df.withColumn("_key", alias_key(quoted(column)))
+    standard = F.coalesce("_name", F.trim(quoted(column).cast("string")))
+    return keyed.join(names, "_key", "left").withColumn(out, standard).drop("_key", "_name")

@@ -22,6 +22,15 @@ class TableContract:
     checks: Mapping[str, str] = field(default_factory=dict)
     foreign: Mapping[str, tuple[str, str]] = field(default_factory=dict)
 
+    def only(self, kinds: Sequence[str]) -> "TableContract":
+        """The same contract without the constraints of other kinds."""
+        return TableContract(
+            unique=self.unique if "UNIQUE" in kinds else (),
+            required=self.required if "NOT NULL" in kinds else (),
+            checks=self.checks if "CHECK" in kinds else {},
+            foreign=self.foreign if "FOREIGN KEY" in kinds else {},
+        )
+
 
 STAR_CONTRACTS: dict[str, TableContract] = {
     "dim_date": TableContract(
@@ -106,13 +115,18 @@ def reference_constraint(name: str, table: DataFrame, column: str, parent: DataF
     return orphans.agg(result(name, "FOREIGN KEY", column, F.sum("_rows")).alias("_result")).select("_result.*")
 
 
+KINDS = ("NOT NULL", "CHECK", "UNIQUE", "FOREIGN KEY")
+
+
 def check_constraints(
-    tables: Mapping[str, DataFrame], contracts: Mapping[str, TableContract] = STAR_CONTRACTS
+    tables: Mapping[str, DataFrame],
+    contracts: Mapping[str, TableContract] = STAR_CONTRACTS,
+    kinds: Sequence[str] = KINDS,
 ) -> DataFrame:
-    """One row per constraint: table, kind, name, violations, status."""
+    """One row per constraint of the wanted kinds: table, kind, name, violations, status."""
     reports: list[DataFrame] = []
     for name, table in tables.items():
-        contract = contracts.get(name, TableContract())
+        contract = contracts.get(name, TableContract()).only(kinds)
         if contract.required or contract.checks:
             reports.append(row_constraints(name, table, contract))
         reports += [key_constraint(name, table, key) for key in contract.unique]

@@ -9,14 +9,13 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from casemart.operators.columns import quoted
-from casemart.operators.storage import materialize, shared_folder
 
 BUSINESS_COLUMNS = (
     "year_be", "report_date", "disease_name_raw", "district_name_raw", "case_count", "sex", "age", "source_file",
 )
 
-# Copies of one record are numbered in this many independent lanes.
-IDENTITY_LANES = 8192
+# Copies of one record are written out in blocks of this many, each by any task.
+COPY_BLOCK = 65_536
 
 
 def fingerprint(columns: Sequence[str | Column]) -> Column:
@@ -77,30 +76,26 @@ def duplicate_keys(df: DataFrame, key: Sequence[str]) -> DataFrame:
     return per_key.agg(F.count_if(F.col("_copies") > 1).alias("duplicate_keys"))
 
 
-def record_identity(df: DataFrame, columns: Sequence[str], scope: str, lanes: int = IDENTITY_LANES) -> DataFrame:
-    """Give identical rows of a file distinct ids `scope:fingerprint:n`, n counting from 1 (runs a job).
+def record_identity(df: DataFrame, columns: Sequence[str], scope: str, block: int = COPY_BLOCK) -> DataFrame:
+    """Give identical rows of a file distinct ids `scope:fingerprint:n`, n counting from 1.
 
-    Numbers do not depend on read order, because copies are interchangeable. A file may hold one record
-    very many times, so copies are numbered in lanes: `n` is the position within the lane plus the size
-    of the lanes before it. Lanes follow the input split and are stored before they are read twice, so
-    that both readings agree; where nothing can be stored there is one lane.
+    Copies are interchangeable, so they are counted (combined before the shuffle) and the counts written out
+    again as rows. Blocks of copies spread over all tasks: a record that makes up a third of a file reaches
+    no task as a whole. Columns besides `columns` have to follow from `scope` and `columns`.
     """
-    spark = df.sparkSession
-    lane = F.pmod(F.spark_partition_id(), F.lit(lanes)) if shared_folder(spark) else F.lit(0)
-    prints = exact_fingerprint([quoted(c) for c in columns])
-    laned = materialize(df.withColumns({"_print": prints, "_lane": lane}), "records")
-    lane_sizes = laned.groupBy(scope, "_print", "_lane").agg(F.count("*").alias("_size"))
-    before = W.partitionBy(scope, "_print").orderBy("_lane").rowsBetween(W.unboundedPreceding, -1)
-    # Only records seen in several lanes need a start; all others begin at zero.
-    starts = lane_sizes.withColumn("_start", F.sum("_size").over(before)).where("_start is not null").drop("_size")
-    keys = [scope, "_print", "_lane"]
-    numbered = laned.withColumn("_position", F.row_number().over(W.partitionBy(*keys).orderBy("_print")))
-    number = (F.col("_position") + F.coalesce("_start", F.lit(0))).cast("long")
+    counted = df.groupBy(*[quoted(c) for c in df.columns]).agg(F.count("*").alias("_copies"))
+    prints = counted.withColumn("_print", exact_fingerprint([quoted(c) for c in columns]))
+    last = F.col("_copies") - 1
+    blocks = prints.withColumn("_block", F.explode(F.sequence(F.lit(0).cast("long"), F.floor(last / block))))
+    start = F.col("_block") * block
+    numbers = F.sequence(start + 1, F.least(start + block, F.col("_copies")))
+    # A stated number keeps AQE from merging partitions by their size before the copies are written out.
+    partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     return (
-        numbered.join(starts, keys, "left")
-        .withColumn("_occurrence", number)
+        blocks.repartition(partitions, scope, "_print", "_block")
+        .withColumn("_occurrence", F.explode(numbers))
         .withColumn("_record_id", F.concat_ws(":", scope, "_print", F.col("_occurrence").cast("string")))
-        .drop("_lane", "_position", "_start")
+        .drop("_block", "_copies")
     )
 
 

@@ -5,25 +5,32 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType
 
-from casemart.operators.storage import has_at_most, materialize, shared_folder
+# Fixed number of ranges; it bounds what reaches the driver and the plan, not what is numbered.
+RANGES = 64
 
-# Values up to this number are numbered by one window in one task.
-ONE_WINDOW_ROWS = 200_000
 
+def range_bounds(distinct: DataFrame, column: str, ranges: int) -> list:
+    """Up to `ranges` - 1 values that split distinct values evenly: those of the smallest hashes (runs a job).
 
-def dense_keys(values: DataFrame, column: str, key: str, small: int = ONE_WINDOW_ROWS) -> DataFrame:
+    Hashes don't depend on partitions or order, so a retried task sees the same ranges.
+    """
+    drawn = distinct.orderBy(F.xxhash64(column), column).limit(ranges - 1)
+    return sorted(row[0] for row in drawn.collect())
+
+
+def dense_keys(values: DataFrame, column: str, key: str, ranges: int = RANGES) -> DataFrame:
     """Distinct non-null values of `column` numbered 1, 2, ... in ascending order (runs a job).
 
-    A counted small set is numbered by one window. A larger one is range-partitioned and stored; a value's
-    key is its place within its range plus the number of values in the ranges before it.
+    Values fall into a fixed number of ranges; a value's key is its place within its range plus the number
+    of values in the ranges before it.
     """
     distinct = values.select(column).where(F.col(column).isNotNull()).distinct()
-    if shared_folder(values.sparkSession) is None or has_at_most(distinct, small):
-        return distinct.withColumn(key, F.dense_rank().over(W.orderBy(column)).cast("int"))
-    ranged = materialize(
-        distinct.repartitionByRange(column).withColumn("_range", F.spark_partition_id()), "ranges"
-    )
+    bounds = range_bounds(distinct, column, ranges)
+    kind = distinct.schema[column].dataType
+    starts_at = F.array(*[F.lit(bound).cast(kind) for bound in bounds]).cast(ArrayType(kind))
+    ranged = distinct.withColumn("_range", F.size(F.filter(starts_at, lambda start: start <= F.col(column))))
     sizes = ranged.groupBy("_range").agg(F.count("*").alias("_size"))
     before = W.orderBy("_range").rowsBetween(W.unboundedPreceding, -1)
     starts = sizes.select("_range", F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_start"))

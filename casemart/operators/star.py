@@ -12,7 +12,7 @@ from casemart.domain import CaseDomain
 from casemart.functions import month_key, month_label
 from casemart.operators.gold import records
 from casemart.operators.ranking import dense_keys
-from casemart.operators.storage import materialize
+from casemart.operators.storage import materialize_side_by_side
 from casemart.reference_values import BUDDHIST_OFFSET
 
 NAME_GRAIN = ("date_key", "district_name", "disease_name", "age_group_key", "sex")
@@ -112,25 +112,36 @@ def fact_population(population: DataFrame, dim_district: DataFrame) -> DataFrame
 
 
 def build_star(
-    cases: DataFrame, population: DataFrame, domain: CaseDomain, ids_unique: bool = False
+    cases: DataFrame, population: DataFrame, domain: CaseDomain, folder: str, ids_unique: bool = False
 ) -> Star:
-    """All seven tables (runs a job: the monthly aggregate is stored, everything else reads it)."""
+    """All seven tables (runs jobs).
+
+    Dates, places, diseases and both facts are stored below `folder` and read back, so that no view, measure
+    or check computes keys or joins names again; the two label tables are constants.
+    """
     spark = cases.sparkSession
-    monthly = materialize(monthly_cases(cases, ids_unique), "monthly_cases")
-    population = materialize(population.select("year_be", "district_name", "population"), "population")
-    dim_district = districts(monthly, population, domain)
-    dim_disease = diseases(monthly)
+    monthly, people = materialize_side_by_side(
+        folder,
+        monthly_cases=lambda: monthly_cases(cases, ids_unique),
+        people=lambda: population.select("year_be", "district_name", "population"),
+    )
+    dim_date, dim_district, dim_disease = materialize_side_by_side(
+        folder,
+        dim_date=lambda: calendar(monthly, domain),
+        dim_district=lambda: districts(monthly, people, domain),
+        dim_disease=lambda: diseases(monthly),
+    )
+    cases_fact, population_fact = materialize_side_by_side(
+        folder,
+        fact_disease_cases=lambda: fact_cases(monthly, dim_district, dim_disease),
+        fact_population=lambda: fact_population(people, dim_district),
+    )
     return Star(
-        dim_date=calendar(monthly, domain),
+        dim_date=dim_date,
         dim_district=dim_district,
         dim_disease=dim_disease,
         dim_age_group=age_groups(spark, domain),
         dim_sex=sexes(spark, domain),
-        fact_disease_cases=fact_cases(monthly, dim_district, dim_disease),
-        fact_population=fact_population(population, dim_district),
+        fact_disease_cases=cases_fact,
+        fact_population=population_fact,
     )
-
-
-def store_star(star: Star) -> Star:
-    """The same star read from stored tables, as views read it after publication (runs jobs)."""
-    return Star.of({name: materialize(table, name) for name, table in star.tables().items()})

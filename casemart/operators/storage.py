@@ -1,65 +1,45 @@
-"""Cutting lineage with written tables, spreading small inputs, and counting up to a bound."""
+"""Cutting lineage with written tables."""
 
 from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 
-_local_fallback: dict[str, str] = {}
 
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that `spark.checkpoint.dir` names; where it is unset, a local session gets one of its own.
 
-def shared_folder(spark: SparkSession) -> str | None:
-    """The folder that `spark.checkpoint.dir` names.
-
-    Where nothing is set, a local master gets a temporary folder; a cluster gets None, since a
-    machine-local folder would be lost with its machine.
+    A cluster has to name one, since a machine-local folder would be lost with its machine.
     """
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if named:
-        return named.rstrip("/")
-    context = spark.sparkContext
-    if not context.master.startswith("local"):
-        return None
-    if context.applicationId not in _local_fallback:
-        _local_fallback[context.applicationId] = tempfile.mkdtemp(prefix="casemart-")
-    return _local_fallback[context.applicationId]
+    if not named:
+        if not spark.sparkContext.master.startswith("local["):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="casemart-"))
+        named = spark.sparkContext.getCheckpointDir()
+    return named.rstrip("/")
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new path in the shared folder, below one folder per application so that it can be removed as a whole."""
-    folder = shared_folder(spark)
-    if folder is None:
-        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-    return f"{folder}/casemart/{spark.sparkContext.applicationId}/{uuid.uuid4().hex}/{name}"
+    return f"{shared_folder(spark)}/casemart/{spark.sparkContext.applicationId}/{uuid.uuid4().hex}/{name}"
 
 
-def materialize(df: DataFrame, name: str) -> DataFrame:
-    """Write `df` once as Parquet in the shared folder and read it back (runs a job).
+def materialize(df: DataFrame, path: str) -> DataFrame:
+    """Write `df` once as Parquet at `path` and read it back (runs a job).
 
     What follows starts from stored columns with real file sizes, so that Spark can choose joins by
-    size, and a lost executor costs a re-read instead of a re-computation. Without a shared folder the
-    lineage is kept: the same result, recomputed where it is used.
-    """
-    spark = df.sparkSession
-    if shared_folder(spark) is None:
-        return df
-    path = scratch_path(spark, name)
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
-def spread(df: DataFrame, few: int = 16) -> DataFrame:
-    """Rows of an input with only a few splits over all cores, for work that is heavy per row (no job).
-
-    Inputs with enough splits, which is every large one, stay as they are, so at most `few` splits are
-    ever shuffled.
+    size, and a lost executor costs a re-read instead of a re-computation.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < min(cores, few) else df
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def has_at_most(df: DataFrame, rows: int) -> bool:
-    """Whether `df` has no more than `rows` rows (runs a job that stops counting there)."""
-    return df.limit(rows + 1).count() <= rows
+def materialize_side_by_side(folder: str, **tables: Callable[[], DataFrame]) -> list[DataFrame]:
+    """`materialize` for tables that don't depend on each other, as concurrent jobs; each table is given as a function."""
+    with ThreadPoolExecutor(len(tables)) as pool:
+        return list(pool.map(lambda name: materialize(tables[name](), f"{folder}/{name}"), tables))

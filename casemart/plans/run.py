@@ -75,7 +75,7 @@ def run_batch(
     # Deduplication has made case ids unique, so counting ids needs no distinct.
     gold = stored(gold_table(standardized, population, ids_unique=True), layout.layer("gold"))
     write_export(gold.orderBy(*gold.columns[:3]), layout.layer("gold_csv"), "csv")
-    star = build_star(standardized, population, domain, ids_unique=True)
+    star = build_star(standardized, population, domain, layout.layer("star"), ids_unique=True)
     layers = Layers(raw, tagged, identified, standardized, gold, star, population)
     report = stored(quality_report(layers, settings, domain, available), layout.layer("quality"))
     write_quality(report, layout.layer("quality.csv"), layout.layer("quality_errors.csv"))

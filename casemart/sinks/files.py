@@ -2,19 +2,12 @@
 
 from __future__ import annotations
 
-import shutil
 from collections.abc import Mapping, Sequence
-from pathlib import Path
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from casemart.config import is_remote
 from casemart.operators.quality import failing_rules
-from casemart.operators.storage import has_at_most
-
-# Rows up to which one output file, and so one writing task, is acceptable.
-SINGLE_FILE_ROWS = 1_000_000
 
 # Text is written as it is: blanks kept, quotes doubled.
 CSV_OPTIONS = {
@@ -29,45 +22,48 @@ def write_parquet(df: DataFrame, path: str, partition_by: Sequence[str] = (), ov
     (writer.partitionBy(*partition_by) if partition_by else writer).parquet(path)
 
 
-def write_export(df: DataFrame, path: str, fmt: str, overwrite: bool = True) -> str:
-    """A mart-sized result as the one file `path` (runs a counting job); returns what was written.
+def write_export(df: DataFrame, path: str, fmt: str, overwrite: bool = True, single_file: bool = False) -> None:
+    """A directory at `path` with as many files as `df` has partitions or, if the caller asks for it, the one file `path`.
 
-    A larger result, or one on a remote store, becomes a directory at `path` with as many files as its
-    partitions: nothing is squeezed through one task because a file name was asked for.
+    One file means one writing task, so it is for results whose size is bounded, such as reports and small dimensions.
+    The file is written beside its target and renamed, on any file system that Spark reaches.
     """
     if fmt not in ("csv", "parquet"):
         raise ValueError(f"unsupported export format {fmt}")
     mode = "overwrite" if overwrite else "errorifexists"
     options = CSV_OPTIONS if fmt == "csv" else {"compression": "snappy"}
-    small = has_at_most(df, SINGLE_FILE_ROWS)
-    if is_remote(path) or not small:
-        (df.coalesce(1) if small else df).write.mode(mode).options(**options).format(fmt).save(path)
-        return "directory"
-    target = Path(path.removeprefix("file://"))
-    if target.exists() and not overwrite:
-        raise FileExistsError(f"{target} exists; pass overwrite=True to replace it")
-    staging = target.with_name(f".{target.name}.staging")
-    df.coalesce(1).write.mode("overwrite").options(**options).format(fmt).save(str(staging))
-    part = next(staging.glob(f"part-*.{fmt}"))
-    part.replace(target)
-    shutil.rmtree(staging)
-    return "file"
+    if not single_file:
+        df.write.mode(mode).options(**options).format(fmt).save(path)
+        return
+    spark = df.sparkSession
+    path_of = spark._jvm.org.apache.hadoop.fs.Path
+    target, staging = path_of(path), path_of(f"{path}.staging")
+    store = target.getFileSystem(spark._jsc.hadoopConfiguration())
+    if store.exists(target) and not overwrite:
+        raise FileExistsError(f"{path} exists; pass overwrite=True to replace it")
+    df.coalesce(1).write.mode("overwrite").options(**options).format(fmt).save(staging.toString())
+    part = store.globStatus(path_of(staging, f"part-*.{fmt}"))[0].getPath()
+    store.delete(target, True)
+    store.rename(part, target)
+    store.delete(staging, True)
 
 
 def write_quality(report: DataFrame, path: str, errors_path: str) -> None:
     """The report, and next to it only the failing rules."""
-    write_export(report, path, "csv")
-    write_export(failing_rules(report), errors_path, "csv")
+    write_export(report, path, "csv", single_file=True)
+    write_export(failing_rules(report), errors_path, "csv", single_file=True)
 
 
-def write_tables(tables: Mapping[str, DataFrame], parquet_root: str, csv_root: str | None = None) -> None:
+def write_tables(
+    tables: Mapping[str, DataFrame], parquet_root: str, csv_root: str | None = None, single_file: bool = False
+) -> None:
     """Every table as Parquet and, for consumers of text, as CSV read back from that Parquet."""
     for name, table in tables.items():
         path = f"{parquet_root.rstrip('/')}/{name}"
         write_parquet(table, path)
         if csv_root:
             stored = table.sparkSession.read.schema(table.schema).parquet(path)
-            write_export(stored, f"{csv_root.rstrip('/')}/{name}.csv", "csv")
+            write_export(stored, f"{csv_root.rstrip('/')}/{name}.csv", "csv", single_file=single_file)
 
 
 # The order in which a consumer reads each table.

@@ -132,7 +132,8 @@ def read_case_files(spark: SparkSession, paths: Sequence[str], multi_line: bool
     csv_paths = [path for path in paths if path.endswith(".csv")]
     for (encoding, names), group in (csv_groups(spark, csv_paths) if csv_paths else {}).items():
         frame = read_csv(spark, group, names, encoding, multi_line)
-        named = frame.withColumn("_file", F.element_at(F.split(SOURCE_FILE, "/"), -1))
+        # Folder and name: files of one name in several folders stay apart, and ids survive a move of the whole lake.
+        named = frame.withColumn("_file", F.substring_index(SOURCE_FILE, "/", -2))
         frames.append(record_identity(named, names, "_file").drop("_file", "_print", "_occurrence"))
     # Each JSON file may be wrapped differently, and there is one file per year.
     frames += [read_json(spark, [path]) for path in paths if not path.endswith(".csv")]

@@ -2,30 +2,47 @@
 
 from __future__ import annotations
 
+import hashlib
+from collections.abc import Iterator
+
+import pandas as pd
+from pyarrow import fs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from casemart.sources.catalog import latest_full
 
-# Spark's binary source holds a file in one value; larger files cannot be fingerprinted this way.
-MAX_FILE_BYTES = 2**31 - 16
+CHUNK_BYTES = 1 << 20
+
+
+def file_sha256(path: str) -> str:
+    """SHA-256 of a file, read in chunks. Schemes are those of the listing; the S3 connectors share one client."""
+    scheme, _, rest = path.partition(":")
+    if scheme == "file":
+        store, name = fs.LocalFileSystem(), "/" + rest.lstrip("/")
+    else:
+        store, name = fs.FileSystem.from_uri(f"s3:{rest}" if scheme in ("s3a", "s3n") else path)
+    digest = hashlib.sha256()
+    with store.open_input_stream(name, compression=None) as stream:
+        while chunk := stream.read(CHUNK_BYTES):
+            digest.update(chunk)
+    return digest.hexdigest()
+
+
+def _hash_files(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    for batch in batches:
+        yield batch.assign(sha256=batch["path"].map(file_sha256))
 
 
 def fingerprints(spark: SparkSession, location: str) -> DataFrame:
     """`path, filename, format, size_bytes, sha256` per file; SHA-256 over the whole content.
 
-    Files are hashed in parallel, each in one task. One beyond the limit of the binary source is listed
-    without a checksum and therefore never counts as unchanged.
+    Each file is read in chunks by the task that lists it, so its size doesn't matter; contents never enter a row.
     """
-    files = spark.read.format("binaryFile").load(location)
-    hashed = files.where(F.col("length") <= MAX_FILE_BYTES).select(
-        "path", F.col("length").alias("size_bytes"), F.sha2("content", 256).alias("sha256")
-    )
-    oversize = files.where(F.col("length") > MAX_FILE_BYTES).select(
-        "path", F.col("length").alias("size_bytes"), F.lit(None).cast("string").alias("sha256")
-    )
+    files = spark.read.format("binaryFile").load(location).select("path", F.col("length").alias("size_bytes"))
+    hashed = files.mapInPandas(_hash_files, "path string, size_bytes long, sha256 string")
     name = F.element_at(F.split("path", "/"), -1)
-    return hashed.unionByName(oversize).withColumns({
+    return hashed.withColumns({
         "filename": name, "format": F.lower(F.element_at(F.split(name, r"\."), -1)),
     })
 

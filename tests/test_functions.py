@@ -4,7 +4,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from casemart import functions as fn
-from casemart.functions.names import DENOMINATOR_RULES, lookup
+from casemart.functions.names import DENOMINATOR_RULES
+from casemart.operators.columns import standardize_by_table
 
 
 def apply(spark, function, values, kind="string"):
@@ -69,6 +70,10 @@ def test_month_labels_and_rates(spark):
     assert tuple(row) == ("ม.ค. 2568", None, 202503, 2.0, None, None)
 
 
-def test_long_alias_tables_are_refused_as_literals(spark):
-    with pytest.raises(ValueError):
-        lookup(F.lit("a"), {str(i): "x" for i in range(500)})
+def test_alias_dicts_and_tables_of_any_size_agree(spark, rows):
+    aliases = {f"Spelling {i}": f"name{i % 7}" for i in range(500)}
+    data = spark.createDataFrame([(f" spelling-{i}",) for i in range(0, 900, 90)] + [(None,)], "raw string")
+    table = spark.createDataFrame(list(aliases.items()) + [(None, "nothing")], "spelling string, name string")
+    by_table = standardize_by_table(data, "raw", table, "name")
+    assert rows(by_table) == rows(data.withColumn("name", fn.standardize_alias(F.col("raw"), aliases)))
+    assert by_table.where("name = 'name6'").count() == 1

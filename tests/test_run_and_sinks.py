@@ -54,7 +54,7 @@ def test_run_publishes_a_reconciled_mart(spark, lake, published):
     assert rules["population_years_filled_from_latest"] == "2569"
     assert star.fact_disease_cases.agg(F.sum("total_cases")).first()[0] == 802
     assert statements.reconciliation(star, quality).first().verdict == "ตรงกัน"
-    assert (lake / "processed" / "gold_csv").is_file() and (lake / "processed" / "quality_errors.csv").is_file()
+    assert (lake / "processed" / "gold_csv").is_dir() and (lake / "processed" / "quality_errors.csv").is_file()
     counts = {r.table_name: r.rows for r in statements.mart_counts(star, quality).collect()}
     assert counts == result.row_counts
 
@@ -173,10 +173,11 @@ def test_time_of_the_newest_load(spark):
 def test_exports(spark, published, tmp_path):
     _, star, quality = published
     path = tmp_path / "sex.csv"
-    assert files.write_export(files.ordered_export("dim_sex", star.dim_sex), str(path), "csv") == "file"
+    files.write_export(files.ordered_export("dim_sex", star.dim_sex), str(path), "csv", single_file=True)
+    assert sorted(p.name for p in tmp_path.glob("*sex.csv*")) == [".sex.csv.crc", "sex.csv"]
     assert path.read_text(encoding="utf-8").splitlines() == ["sex,sex_label", "F,หญิง", "M,ชาย", "U,ไม่ระบุ"]
     with pytest.raises(FileExistsError):
-        files.write_export(star.dim_sex, str(path), "csv", overwrite=False)
+        files.write_export(star.dim_sex, str(path), "csv", overwrite=False, single_file=True)
     with pytest.raises(ValueError):
         files.write_export(star.dim_sex, str(path), "xlsx")
     files.write_tables({"dim_sex": star.dim_sex}, str(tmp_path / "pq"), str(tmp_path / "csv"))
@@ -186,10 +187,9 @@ def test_exports(spark, published, tmp_path):
         files.select_by_header(star.dim_sex, ["sex; drop"])
 
 
-def test_large_exports_stay_directories(spark, tmp_path, monkeypatch):
-    monkeypatch.setattr(files, "SINGLE_FILE_ROWS", 10)
+def test_exports_are_directories_unless_one_file_is_asked_for(spark, tmp_path):
     data = spark.range(100).repartition(4)
-    assert files.write_export(data, str(tmp_path / "big.csv"), "csv") == "directory"
+    files.write_export(data, str(tmp_path / "big.csv"), "csv")
     assert len(list((tmp_path / "big.csv").glob("part-*.csv"))) == 4
 
 

@@ -67,7 +67,7 @@ def test_csv_and_json_years_read_as_one_table(spark, tmp_path):
     out = table.collect()
     assert len(out) == 5
     ids = {r._record_id for r in out if r._record_id}
-    assert len(ids) == 3 and all(i.startswith("disease_cases_2568_full.csv:") for i in ids)
+    assert len(ids) == 3 and all(i.startswith("year=2568/disease_cases_2568_full.csv:") for i in ids)
     assert sum(r["สถานที่รักษา"] == "สถานพยาบาล\nหนึ่ง" for r in out) == 1
     assert {r._source_file.rsplit("/", 1)[-1] for r in out} == {
         "disease_cases_2568_full.csv", "disease_cases_2569_sample.json"}

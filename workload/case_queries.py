@@ -10,7 +10,7 @@ from casemart.operators.quality import failing_rules, has_failure
 from casemart.operators.rules import quarantined_rows, reason_counts
 from casemart.operators.cases import canonical_cases
 from casemart.operators.gold import gold_table
-from casemart.operators.storage import materialize
+from casemart.operators.storage import materialize, scratch_path
 from casemart.sources import contract
 from workload import oracle as o
 from workload.frames import (
@@ -51,7 +51,7 @@ def filled(spark, sf_dir):
 
 
 def feed_gold(spark, sf_dir):
-    cases = materialize(standardized(spark, sf_dir), "standardized")
+    cases = materialize(standardized(spark, sf_dir), scratch_path(spark, "standardized"))
     population = clean_population(feed_population(spark, sf_dir), SETTINGS, DOMAIN)
     return gold_table(cases, carry_forward(population, cases))
 
@@ -130,7 +130,7 @@ TABLE_CONTRACTS = {
 def table_constraints(kind):
     def run(spark, sf_dir):
         tables = {name: table(spark, sf_dir, name) for name in ("lineitem", "orders", "labels", "customer", "part", "documents")}
-        return constraints.check_constraints(tables, TABLE_CONTRACTS).where(F.col("kind") == kind)
+        return constraints.check_constraints(tables, TABLE_CONTRACTS, (kind,))
 
     return run
 

@@ -16,7 +16,7 @@ from casemart.operators.identity import assign_case_id, keep_latest
 from casemart.operators.quality import Layers, quality_report
 from casemart.operators.rules import case_rules, clean_rows, tag
 from casemart.operators.star import Star, build_star
-from casemart.operators.storage import materialize, spread
+from casemart.operators.storage import materialize, scratch_path
 
 SETTINGS = Settings(maximum_age=120)
 
@@ -92,7 +92,7 @@ def order_gold(spark: SparkSession, sf_dir: str) -> DataFrame:
 def order_star(spark: SparkSession, sf_dir: str) -> Star:
     cases = order_cases(spark, sf_dir)
     years = cases.select("year_be")
-    return build_star(cases, carry_forward(order_population(spark, sf_dir), years), DOMAIN, ids_unique=True)
+    return build_star(cases, carry_forward(order_population(spark, sf_dir), years), DOMAIN, scratch_path(spark, "star"), ids_unique=True)
 
 
 # -- line items as untidy raw records --------------------------------------------------------------
@@ -100,8 +100,10 @@ def order_star(spark: SparkSession, sf_dir: str) -> Star:
 
 def feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw records as text under Thai headers: three date shapes, two calendars, prefixes, gaps, copies."""
-    items = spread(table(spark, sf_dir, "lineitem").select(
-        "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_returnflag", "l_linestatus", "l_shipdate"))
+    # Rows are heavy to derive and may come from one row group, so they are always spread by key.
+    items = table(spark, sf_dir, "lineitem").select(
+        "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_returnflag", "l_linestatus", "l_shipdate",
+    ).repartition("l_orderkey", "l_linenumber")
     date = F.col("l_shipdate").cast("date")
     joined = (
         items
@@ -188,7 +190,7 @@ def feed_population(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def stored_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The raw records as files, which is how raw records arrive."""
-    return materialize(feed(spark, sf_dir), "raw")
+    return materialize(feed(spark, sf_dir), scratch_path(spark, "raw"))
 
 
 def tagged(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -197,7 +199,7 @@ def tagged(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def stored_tagged(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tagged cases as a stored layer: what follows plans from a scan, not from every parsing expression."""
-    return materialize(tagged(spark, sf_dir), "tagged")
+    return materialize(tagged(spark, sf_dir), scratch_path(spark, "tagged"))
 
 
 def identified(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -211,13 +213,13 @@ def standardized(spark: SparkSession, sf_dir: str) -> DataFrame:
 def layers(spark: SparkSession, sf_dir: str) -> Layers:
     """Every layer of the untidy feed, each stored once."""
     raw = stored_feed(spark, sf_dir)
-    marked = materialize(tag(canonical_cases(raw, DOMAIN), case_rules(SETTINGS, DOMAIN)), "tagged")
+    marked = materialize(tag(canonical_cases(raw, DOMAIN), case_rules(SETTINGS, DOMAIN)), scratch_path(spark, "tagged"))
     ids = assign_case_id(clean_rows(marked))
-    cases = materialize(standardized_cases(keep_latest(ids), DOMAIN), "standardized")
+    cases = materialize(standardized_cases(keep_latest(ids), DOMAIN), scratch_path(spark, "standardized"))
     known = clean_population(feed_population(spark, sf_dir), SETTINGS, DOMAIN)
-    population = materialize(carry_forward(known, cases), "population")
-    gold = materialize(gold_table(cases, population, ids_unique=True), "gold")
-    return Layers(raw, marked, ids, cases, gold, build_star(cases, population, DOMAIN, ids_unique=True), population)
+    population = materialize(carry_forward(known, cases), scratch_path(spark, "population"))
+    gold = materialize(gold_table(cases, population, ids_unique=True), scratch_path(spark, "gold"))
+    return Layers(raw, marked, ids, cases, gold, build_star(cases, population, DOMAIN, scratch_path(spark, "star"), ids_unique=True), population)
 
 
 def report(spark: SparkSession, sf_dir: str) -> tuple[Layers, DataFrame]:
