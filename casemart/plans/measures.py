@@ -149,8 +149,23 @@ class Mart:
         both = left_on(covered, scope, places)
         return both.select(*groups, safe_ratio(F.col("_covered"), F.col("_scope")).alias("population_coverage"))
 
+    def groups_of(self, context: Context) -> DataFrame:
+        """Every group of the selected dates and places, also those without a denominator."""
+        dates, places = context.groups("dim_date"), context.groups("dim_district")
+        in_time = self.selected("dim_date", context.filters).select(*dates).distinct()
+        in_space = self.selected("dim_district", context.filters).select(*places).distinct()
+        if dates and places:
+            # Calendar groups are few, so each place unfolds one small array of them.
+            calendar = in_time.agg(F.collect_list(F.struct(*dates))).scalar()
+            return in_space.withColumn("_date", F.explode(calendar)).select("_date.*", *places)
+        return in_time if dates else in_space
+
     def coverage_status(self, context: Context) -> DataFrame:
+        """Whether all places in scope have a denominator; groups without any are not covered."""
         coverage = self.population_coverage(context)
+        groups = context.groups("dim_date", "dim_district")
+        if groups:
+            coverage = self.groups_of(context).join(coverage, groups, "left")
         text = F.when(F.col("population_coverage") >= 1, COVERAGE_COMPLETE).otherwise(COVERAGE_PARTIAL)
         return coverage.withColumn("coverage_status", text).drop("population_coverage")
 

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from casemart.operators.columns import quoted
 from casemart.operators.cases import SOURCE_FILE
 from casemart.reference_values import CASE_CSV_FIELDS, CASE_JSON_FIELDS, DISTRICTS, POPULATION_FIELDS
-from casemart.sources.files import CORRUPT, csv_groups, read_csv
+from casemart.sources.files import CORRUPT, UTF8, csv_groups, read_csv
 from casemart.sources.paths import file_path
 
 
@@ -25,10 +25,16 @@ def json_contract(spark: SparkSession, paths: Sequence[str], fields: Sequence[st
 
 
 def json_document_contract(documents: DataFrame, fields: Sequence[str]) -> DataFrame:
-    """The contract over `path, value`: a non-empty array of records, each with exactly the fields."""
+    """The contract over `path, value`: a non-empty array of records, each with exactly the fields, and nothing else.
+
+    The parser stops after the first value, so a document is also read as one element before a closing one.
+    """
+    elements = F.from_json(F.concat(F.lit("["), F.col("value"), F.lit(',"end"]')), "array<string>")
+    whole = (F.array_size(elements) == 2) & (F.try_element_at(elements, F.lit(2)) == "end")
+    parsed = F.when(F.coalesce(whole, F.lit(False)), F.from_json("value", "array<map<string,string>>"))
     expected = F.array_sort(F.array(*[F.lit(field) for field in fields]))
     wrong = F.filter("_parsed", lambda record: ~F.coalesce(F.array_sort(F.map_keys(record)) == expected, F.lit(False)))
-    counted = documents.select("path", F.from_json("value", "array<map<string,string>>").alias("_parsed")).select(
+    counted = documents.select("path", parsed.alias("_parsed")).select(
         "path",
         F.coalesce(F.array_size("_parsed"), F.lit(0)).cast("long").alias("records"),
         F.coalesce(F.array_size(wrong), F.lit(0)).cast("long").alias("wrong_records"),
@@ -46,15 +52,27 @@ def csv_contract(
 ) -> DataFrame:
     """`path, records, ragged_records, blank_records, status` per CSV file.
 
-    The header must be the field set, every row must have as many cells, and there must be a row.
+    The header must be the field set, every row must have as many cells, and there must be a row. A file without
+    a first line is empty; one that isn't UTF-8 is reported as such, with the counts of its single-byte reading.
+    Lines without any character between records are skipped by Spark's reader and aren't reported.
     """
+    groups = csv_groups(spark, paths)
     reports = [
-        csv_group_contract(spark, group, names, encoding, fields, multi_line)
-        for (encoding, names), group in csv_groups(spark, paths).items()
+        csv_group_contract(spark, group, names, encoding, fields, multi_line) for (encoding, names), group in groups.items()
     ]
+    found = {file_name_of(path) for group in groups.values() for path in group}
+    nothing = [(path, 0, 0, 0, "empty") for path in paths if file_name_of(path) not in found]
+    if nothing or not reports:
+        schema = "path string, records long, ragged_records long, blank_records long, status string"
+        reports.append(spark.createDataFrame(nothing, schema))
     return reduce(DataFrame.unionByName, reports)
 
 
+def file_name_of(path: str) -> str:
+    """A path as the listing writes it: local ones with or without their scheme are one."""
+    return "/" + path.removeprefix("file:").lstrip("/") if path.startswith(("file:", "/")) else path
+
+
 def csv_group_contract(spark, paths, names, encoding, fields, multi_line) -> DataFrame:
     header_ok = len(names) == len(fields) and set(names) == set(fields)
     positional = [f"c{i}" for i in range(len(names))]
@@ -69,7 +87,7 @@ def csv_group_contract(spark, paths, names, encoding, fields, multi_line) -> Dat
     )
     every_file = spark.createDataFrame([(path,) for path in paths], "path string")
     status = (
-        F.when(~F.lit(header_ok), "wrong_header").when(F.col("records") == 0, "empty")
+        F.when(F.lit(encoding != UTF8), "not_utf8").when(~F.lit(header_ok), "wrong_header").when(F.col("records") == 0, "empty")
         .when(F.col("ragged_records") > 0, "ragged").otherwise("ok")
     )
     return every_file.join(counted, "path", "left").select(

@@ -135,6 +135,18 @@ def test_measures_read_their_context(published):
         mart.measure("nothing")
 
 
+def test_coverage_status_has_every_group(spark, published):
+    _, star, quality = published
+    years = star.dim_date.select("year_be").distinct().count()
+    gap = publish.Star.of({**star.tables(), "fact_population": star.fact_population.where("year_be = 2568")})
+    out = {r.year_be: r.coverage_status for r in measures.Mart(gap, quality).measure("coverage_status", None, ["year_be"]).collect()}
+    assert len(out) == years > 1 and [y for y, text in out.items() if text == "ครบถ้วน"] == [2568]
+    none = measures.Mart(publish.Star.of({**star.tables(), "fact_population": star.fact_population.limit(0)}), quality)
+    assert none.measure("coverage_status", None, ["year_be"]).where("coverage_status <> 'ครบถ้วน'").count() == years
+    assert none.measure("coverage_status", None, ["year_be", "district_name"]).count() == years * star.dim_district.count()
+    assert none.measure("coverage_status").first()[0] != "ครบถ้วน"
+
+
 def test_ranks_include_places_without_cases(published):
     _, star, quality = published
     mart = measures.Mart(star, quality)

@@ -112,12 +112,12 @@ def test_thai_code_page_rule():
 
 def test_json_contract(spark, tmp_path):
     short = {k: v for k, v in RECORD.items() if k != "เพศ"}
-    cases = {"ok": [RECORD, RECORD], "empty": [], "wrong_fields": [RECORD, short], "not_json": "oops"}
+    cases = {"ok": [RECORD, RECORD], "empty": [], "wrong_fields": [RECORD, short], "not_json": "oops", "trailing": json.dumps([RECORD]) + " tail"}
     for name, content in cases.items():
         body = content if isinstance(content, str) else json.dumps(content, ensure_ascii=False)
         (tmp_path / f"{name}.json").write_text(body, encoding="utf-8")
     out = contract.json_contract(spark, [str(tmp_path / f"{n}.json") for n in cases]).collect()
-    assert {r.path.rsplit("/", 1)[-1].removesuffix(".json"): r.status for r in out} == {n: n for n in cases}
+    assert {r.path.rsplit("/", 1)[-1].removesuffix(".json"): r.status for r in out} == {n: n for n in cases} | {"trailing": "not_json"}
     assert {r.status: (r.records, r.wrong_records) for r in out}["wrong_fields"] == (2, 1)
 
 
@@ -131,6 +131,10 @@ def test_csv_contract(spark, tmp_path):
     other = tmp_path / "wrong_header.csv"
     other.write_text(f"_id,{HEADER}\n1,{ROW}\n", encoding="utf-8")
     files["wrong_header"] = str(other)
+    (tmp_path / "zero.csv").touch()
+    zero = contract.csv_contract(spark, [str(tmp_path / "zero.csv")]).collect()
+    assert [(r.records, r.status) for r in zero] == [(0, "empty")]
+    assert contract.csv_contract(spark, [files["ok"], str(tmp_path / "zero.csv")]).count() == 2
     out = contract.csv_contract(spark, list(files.values())).collect()
     assert {r.path.rsplit("/", 1)[-1].removesuffix(".csv"): r.status for r in out} == {n: n for n in files}
     by_status = {r.status: (r.records, r.ragged_records) for r in out}

@@ -136,15 +136,17 @@ def json_contract(spark, sf_dir):
     value = (
         F.when(key % 10 == 0, F.concat(F.lit("["), one, F.lit(","), other, F.lit("]")))
         .when(key % 10 == 1, F.lit("[]")).when(key % 10 == 2, F.concat(F.lit("["), one))
+        .when(key % 10 == 3, F.concat(F.lit("["), one, F.lit("] and more")))
+        .when(key % 10 == 4, F.concat(F.lit(" ["), one, F.lit("]\n "))).when(key % 10 == 5, F.concat(F.lit("["), one, F.lit("]]")))
         .otherwise(F.concat(F.lit("["), one, F.lit(","), one, F.lit("]")))
     )
     documents = table(spark, sf_dir, "events").select(key.cast("string").alias("path"), value.alias("value"))
     return contract.json_document_contract(documents, ("k", "t"))
 
 
-JSON_SQL = """SELECT CAST(event_id AS VARCHAR) AS path, CAST(CASE WHEN event_id % 10 IN (1, 2) THEN 0 ELSE 2 END AS BIGINT) AS records,
+JSON_SQL = """SELECT CAST(event_id AS VARCHAR) AS path, CAST(CASE event_id % 10 WHEN 1 THEN 0 WHEN 2 THEN 0 WHEN 3 THEN 0 WHEN 4 THEN 1 WHEN 5 THEN 0 ELSE 2 END AS BIGINT) AS records,
   CAST(CASE WHEN event_id % 10 = 0 THEN 1 ELSE 0 END AS BIGINT) AS wrong_records,
-  CASE event_id % 10 WHEN 0 THEN 'wrong_fields' WHEN 1 THEN 'empty' WHEN 2 THEN 'not_json' ELSE 'ok' END AS status FROM events"""
+  CASE event_id % 10 WHEN 0 THEN 'wrong_fields' WHEN 1 THEN 'empty' WHEN 2 THEN 'not_json' WHEN 3 THEN 'not_json' WHEN 5 THEN 'not_json' ELSE 'ok' END AS status FROM events"""
 
 
 # -- reading and writing ---------------------------------------------------------------------------

@@ -177,7 +177,8 @@ QUERIES = {
     "me_coverage_status": (
         measured("coverage_status", None, ["year_be"]),
         detail(f"SELECT year_be, CASE WHEN population_coverage >= 1 THEN {o.text(COVERAGE_COMPLETE)} "
-               f"ELSE {o.text(COVERAGE_PARTIAL)} END AS coverage_status FROM ({COVERAGE_BY_YEAR})")),
+               f"ELSE {o.text(COVERAGE_PARTIAL)} END AS coverage_status "
+               f"FROM (SELECT DISTINCT year_be FROM dim_date) LEFT JOIN ({COVERAGE_BY_YEAR}) USING (year_be)")),
     "me_case_share": (
         measured("case_share", {"year_be": [2540]}, ["disease_name", "age_group", "sex"]),
         detail("SELECT disease_name, age_group, sex, sum(total_cases) / CAST(sum(sum(total_cases)) OVER (PARTITION BY disease_name) AS DOUBLE) "
