@@ -42,18 +42,35 @@ def load_encoding(vocabulary: str):
     return tiktoken.Encoding("byte_bpe", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={"<|endoftext|>": len(ranks)})
 
 
+class _Tokenizer:
+    """Ids of a text by the file of ranks. Texts on which its regular expressions give up (about a million blanks in a row) go through the JSON form."""
+
+    def __init__(self, vocabulary: str):
+        self.encoding, self.plain = load_encoding(vocabulary), None
+        self.json = vocabulary.removesuffix(".tiktoken") + ".json"
+
+    def __call__(self, text: str) -> np.ndarray:
+        try:
+            return self.encoding.encode_to_numpy(text, allowed_special="all")
+        except ValueError:
+            if self.plain is None:
+                from tokenizers import Tokenizer
+
+                self.plain = Tokenizer.from_file(self.json)
+            return np.array(self.plain.encode(text, add_special_tokens=False).ids, dtype=np.uint32)
+
+
 class _Cutter:
     def __init__(self, vocabulary: str, capacity: int, end_id: int):
         self.vocabulary, self.capacity, self.end_id = vocabulary, capacity, end_id
 
     def __call__(self, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """(doc_id, text) to pieces."""
-        encoding = load_encoding(self.vocabulary)
+        encode = _Tokenizer(self.vocabulary)
         for batch in batches:
             row, piece, start, length, crc = [], [], [], [], []
             for k, text in enumerate(batch.column(1)):
-                ids = encoding.encode_to_numpy(text.as_py() or "", allowed_special="all")
-                ids = np.append(ids, self.end_id).astype("<u4")
+                ids = np.append(encode(text.as_py() or ""), self.end_id).astype("<u4")
                 at, end = 0, len(ids) % self.capacity or self.capacity
                 number = 0
                 while at < len(ids):

@@ -200,6 +200,19 @@ def test_packing_round_trip(spark):
     assert packing.pack_documents(docs(spark, []), VOCABULARY).count() == 0
 
 
+def test_packing_takes_very_long_runs_of_blanks(spark):
+    from tokenizers import Tokenizer
+
+    plain = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    rows = [(1, " " * 2_000_000), (2, "a" + "\n" * 1_100_000 + "<|endoftext|> b"), (3, "a b")]
+    out = packing.pack_documents(docs(spark, rows), VOCABULARY).orderBy("doc_id", "piece").collect()
+    for i, text in rows:
+        ids = np.array(plain.encode(text, add_special_tokens=False).ids + [2], "<u4")
+        pieces = [(r.start, r.length, r.ids_crc32) for r in out if r.doc_id == i]
+        assert pieces[-1][0] + pieces[-1][1] == len(ids)
+        assert all(zlib.crc32(ids[a:a + n].tobytes()) == crc for a, n, crc in pieces)
+
+
 def test_local_search_empties_bins():
     lengths = [600, 600, 600, 424, 300, 124, 400, 24]
     bins = packing.pack(lengths, 1024)
