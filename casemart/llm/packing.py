@@ -5,7 +5,8 @@ shorter. Full pieces are sequences of their own; the others are packed.
 
 Method. Within a group, pieces go by falling length into the fullest sequence that holds them. Local search then works on sequences
 that aren't full: the emptiest one gives pieces away by moves, one-for-one and two-for-one exchanges, as long as
-the sum of squared fills grows, until it is empty or nothing helps. Sequences that stay clearly underfull are opened, and their
+the sum of squared fills grows, until it is empty or nothing helps; then comes the next emptiest one, until no sequence
+can give anything away or no fewer sequences could hold all pieces. Sequences that stay clearly underfull are opened, and their
 pieces are packed once more in groups of such leftovers.
 
 Scale. Tokenising is one pass over whole texts without a shuffle; only pieces (ids, lengths, checksums) move. Groups
@@ -85,7 +86,7 @@ class _Cutter:
                 pa.array(length, pa.int64()), pa.array(crc, pa.int64())], names=["doc_id", "piece", "start", "length", "ids_crc32"])
 
 
-def pack(lengths: list[int], capacity: int, passes: int = 40) -> list[list[int]]:
+def pack(lengths: list[int], capacity: int, passes: int | None = None) -> list[list[int]]:
     """Bins of item numbers: best fit by falling length, then local search."""
     free_bins: list[list[int]] = [[] for _ in range(capacity + 1)]
     mask, bins, free = 0, [], []
@@ -109,46 +110,121 @@ def pack(lengths: list[int], capacity: int, passes: int = 40) -> list[list[int]]
     return [b for b in _local_search(bins, free, lengths, capacity, passes) if b]
 
 
-def _local_search(bins: list[list[int]], free: list[int], lengths: list[int], capacity: int, passes: int) -> list[list[int]]:
-    """Empty the emptiest bins into the other underfull ones; every step increases the sum of squared fills."""
-    for _ in range(passes):
-        under = sorted((b for b in range(len(bins)) if bins[b] and free[b]), key=lambda b: -free[b])
-        if len(under) < 2 or sum(free[b] for b in under) < capacity:
-            break
-        source = under[0]
-        changed = False
-        for target in reversed(under[1:]):
-            while free[target] and bins[source]:
-                step = _best_step(bins, free, lengths, source, target)
-                if step is None:
-                    break
-                give, take = step
-                for item in give:
-                    bins[source].remove(item)
-                    bins[target].append(item)
-                for item in take:
-                    bins[target].remove(item)
-                    bins[source].append(item)
-                moved = sum(lengths[i] for i in give) - sum(lengths[i] for i in take)
-                free[source] += moved
-                free[target] -= moved
-                changed = True
-        if not changed:
+class _Underfull:
+    """The bins that local search works on: room, and the lengths of single items and of pairs, one row for each bin (padded with 0: nothing)."""
+
+    def __init__(self, bins: list[list[int]], free: list[int], lengths: list[int], capacity: int):
+        self.bins, self.free, self.lengths, self.capacity = bins, free, lengths, capacity
+        self.numbers = [b for b in range(len(bins)) if bins[b] and free[b]]
+        self.room = np.zeros(len(self.numbers), dtype=np.int64)
+        self.live = np.ones(len(self.numbers), dtype=bool)
+        self.one, self.two = np.zeros((len(self.numbers), 1), np.int32), np.zeros((len(self.numbers), 1), np.int32)
+        # by length and bin: whether a single item, or a pair, of that length fills the bin by a step
+        self.by_one, self.by_two = (np.zeros((capacity + 1, len(self.numbers)), dtype=bool) for _ in range(2))
+        for row in range(len(self.numbers)):
+            self.refresh(row)
+
+    def refresh(self, row: int) -> None:
+        """Read a bin again after a change."""
+        b = self.numbers[row]
+        self.room[row], self.live[row] = self.free[b], bool(self.bins[b]) and self.free[b] > 0
+        sizes = sorted(self.lengths[i] for i in self.bins[b])
+        kept = [x for k, x in enumerate(sizes) if k < 2 or sizes[k - 2] != x]
+        singles, pairs = sorted(set(kept)), sorted({x + y for k, x in enumerate(kept) for y in kept[k + 1:]})
+        self.one, self.two = self._put(self.one, row, singles), self._put(self.two, row, pairs)
+        room, fits = self.free[b], np.zeros(self.capacity + 1, dtype=bool)
+        for take in (0, *singles):
+            fits[take + 1:take + room + 1] = True
+        self.by_two[:, row] = fits
+        for take in pairs:
+            fits[take + 1:take + room + 1] = True
+        self.by_one[:, row] = fits
+
+    @staticmethod
+    def _put(table: np.ndarray, row: int, values: list[int]) -> np.ndarray:
+        if len(values) >= table.shape[1]:  # the last column stays 0
+            table = np.pad(table, ((0, 0), (0, 2 * len(values) + 1 - table.shape[1])))
+        table[row] = 0
+        table[row, :len(values)] = values
+        return table
+
+    def target(self, source: int) -> int | None:
+        """The fullest bin, no emptier than `source`, that a step from `source` can fill."""
+        hit = self.by_one[self.one[source]].any(axis=0) | self.by_two[self.two[source]].any(axis=0)
+        hit[source] = False
+        rows = np.flatnonzero(hit & self.live & (self.room <= self.room[source]))
+        return int(rows[self.room[rows].argmin()]) if len(rows) else None
+
+    def sources(self, target: int) -> np.ndarray:
+        """The bins, no fuller than `target`, from which a step can fill it."""
+        one, two = np.ascontiguousarray(self.by_one[:, target]), np.ascontiguousarray(self.by_two[:, target])
+        hit = (one[self.one].any(axis=1) | two[self.two].any(axis=1)) & self.live & (self.room >= self.room[target])
+        hit[target] = False
+        return np.flatnonzero(hit)
+
+
+def _local_search(bins: list[list[int]], free: list[int], lengths: list[int], capacity: int, passes: int | None = None) -> list[list[int]]:
+    """Empty the emptiest bins into the other underfull ones; every step increases the sum of squared fills.
+
+    A bin that can give nothing away is set aside until a bin that it could give to changes. The search ends when all are set aside, or when the bins are
+    as few as their total length allows. `passes` bounds the sources tried (None: no bound).
+    """
+    under = _Underfull(bins, free, lengths, capacity)
+    spare, aside, tried = int(under.room.sum()), np.zeros(len(under.numbers), dtype=bool), 0
+    while spare >= capacity and (passes is None or tried < passes):
+        open_rows = np.flatnonzero(under.live & ~aside)
+        if not len(open_rows):
             break
+        source, changed = int(open_rows[under.room[open_rows].argmax()]), set()
+        tried += 1
+        while under.live[source] and (target := under.target(source)) is not None:
+            s, t = under.numbers[source], under.numbers[target]
+            give, take = _best_step(bins, free, lengths, s, t)
+            for item in give:
+                bins[s].remove(item)
+                bins[t].append(item)
+            for item in take:
+                bins[t].remove(item)
+                bins[s].append(item)
+            moved = sum(lengths[i] for i in give) - sum(lengths[i] for i in take)
+            free[s] += moved
+            free[t] -= moved
+            under.refresh(source)
+            under.refresh(target)
+            changed.add(target)
+        aside[source] = True
+        if not bins[under.numbers[source]]:
+            spare -= capacity
+        for row in changed:
+            aside[row] = False
+        for row in (changed | {source} if changed else ()):
+            if under.live[row]:
+                aside[under.sources(row)] = False
     return bins
 
 
+def _two_of_each(items: list[int], lengths: list[int]) -> list[int]:
+    """Items without the third and further ones of equal length: a step takes two at most."""
+    seen: dict[int, int] = {}
+    kept = []
+    for item in items:
+        seen[lengths[item]] = seen.get(lengths[item], 0) + 1
+        if seen[lengths[item]] <= 2:
+            kept.append(item)
+    return kept
+
+
 def _best_step(bins, free, lengths, source: int, target: int) -> tuple[list[int], list[int]] | None:
     """The move or exchange that fills `target` most from `source`, which is no fuller: squared fills grow with any such gain."""
     room, best, gain = free[target], None, 0
-    give = bins[source]
+    give, there = _two_of_each(bins[source], lengths), _two_of_each(bins[target], lengths)
     for a in give:  # a move
         if gain < lengths[a] <= room:
             best, gain = ([a], []), lengths[a]
     if gain == room:
         return best
     for a in give:  # one for one, and one for two
-        rest = [(lengths[a] - lengths[b], b) for b in bins[target] if lengths[b] < lengths[a]]
+        rest = [(lengths[a] - lengths[b], b) for b in there if lengths[b] < lengths[a]]
         for d, b in rest:
             if gain < d <= room:
                 best, gain = ([a], [b]), d
@@ -156,10 +232,12 @@ def _best_step(bins, free, lengths, source: int, target: int) -> tuple[list[int]
             for _, other in rest[i + 1:]:
                 if gain < d - lengths[other] <= room:
                     best, gain = ([a], [b, other]), d - lengths[other]
-    for i, a in enumerate(give):  # two for one
+    for i, a in enumerate(give):  # two, for none or one
         for other in give[i + 1:]:
             both = lengths[a] + lengths[other]
-            for b in bins[target]:
+            if gain < both <= room:
+                best, gain = ([a, other], []), both
+            for b in there:
                 if gain < both - lengths[b] <= room:
                     best, gain = ([a, other], [b]), both - lengths[b]
     return best

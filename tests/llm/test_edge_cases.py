@@ -222,6 +222,14 @@ def test_local_search_empties_bins():
     assert len([b for b in packing._local_search(start, free, lengths, 1024, 40) if b]) == 3
 
 
+@pytest.mark.parametrize("low, high, most", [(260, 420, 704), (250, 520, 808)])
+def test_local_search_goes_on_where_the_emptiest_bin_is_stuck(low, high, most):
+    lengths = np.random.default_rng(1).integers(low, high + 1, 2000).tolist()
+    bins = packing.pack(lengths, 1024)
+    assert sorted(i for b in bins for i in b) == list(range(2000)) and max(sum(lengths[i] for i in b) for b in bins) <= 1024
+    assert len(bins) <= most
+
+
 def test_mix_targets_and_odd_rows(spark):
     rows = [(k, "w " * (k % 50 + 1), "en", "abc"[k % 3] if k % 7 else None) for k in range(3000)] + ODD
     out = mixing.mix_sources(docs(spark, rows))
