@@ -3,7 +3,8 @@
 Vectors are scaled to length 1 and cut into two halves. Each half has its own codebook, so that `codes` x `codes` cells form a product grid,
 and each vector lives in the cell of its nearest two codes. A vector visits cells in the order of the sum of
 both squared distances (multi-sequence traversal). How many it visits is measured, not guessed: a sample of vectors is compared with all
-others by brute force, and the count is the smallest at which `recall` of the sample's true links lie in visited cells.
+others by brute force, and the count is the smallest, `floor` at least, at which `recall` of the true links lie in visited cells, within each class of
+probes with about as many links (1, 2-3, 4-7, ...). Every probe of a class weighs the same, so that large groups don't speak for pairs.
 Pairs that meet are verified by cosine in double precision. A link counts for both ends, whichever of the two visited.
 
 Scale. Equal vectors are one row with a count. Codebooks are fitted on a bounded sample (`fit_rows`) and hold 2 x `codes` half vectors, which go along
@@ -103,11 +104,27 @@ def _true_ranks(index: MultiIndex, probes: np.ndarray, probe_ids: np.ndarray, le
                 part = x[at:at + _STEP]
                 i, j = np.nonzero((probes @ part.T >= least) & (probe_ids[:, None] != ids[None, at:at + _STEP]))
                 if len(i):
-                    ranks, counts = np.unique(index.rank(probes[i], part[j]), return_counts=True)
-                    yield pa.RecordBatch.from_arrays([pa.array(ranks.astype(np.int64)), pa.array(counts.astype(np.int64))], names=["rank", "n"])
+                    pairs, counts = np.unique(np.column_stack([i, index.rank(probes[i], part[j])]), axis=0, return_counts=True)
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(x.astype(np.int64)) for x in (pairs[:, 0], pairs[:, 1], counts)], names=["probe", "rank", "n"])
     return run
 
 
+def _needed_visits(found: list[tuple[int, int, float]], recall: float, floor: int) -> int:
+    """The smallest number of visits at which each class of (class, rank, weight) meets `recall` of its weight."""
+    visits, classes = floor, {}
+    for kind, rank, weight in found:
+        classes.setdefault(kind, []).append((rank, weight))
+    for links in classes.values():
+        missed = (1 - recall) * sum(weight for _, weight in links)
+        for rank, weight in sorted(links, reverse=True):
+            missed -= weight
+            if missed < 0:  # this rank can't be left out
+                visits = max(visits, rank)
+                break
+    return visits
+
+
 def _visits(index: MultiIndex, width: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """(row, vector, copies) to rows of members (once, in the own cell) and visitors (in each visited cell)."""
@@ -162,7 +179,7 @@ def _verifier(index: MultiIndex, least: float, width: int):
 
 
 def vector_duplicates(vectors: DataFrame, least: float = 0.95, recall: float = 0.995, fit_rows: int = 4096, probe_rows: int = 1024,
-                      block: int = 2048) -> DataFrame:
+                      block: int = 2048, floor: int = 16) -> DataFrame:
     """vec_id, n_links, component_id and kept for every row of `vectors`. Runs jobs."""
     spark = vectors.sparkSession
     scratch = Scratch(spark, "multiindex")
@@ -179,14 +196,12 @@ def vector_duplicates(vectors: DataFrame, least: float = 0.95, recall: float = 0
         half = (width + 1) // 2
         books = _codebook(sample[:, :half], codes), _codebook(sample[:, half:], codes) if width > half else np.zeros((codes, 0))
         probes, probe_ids = sample[:probe_rows], np.asarray(drawn.column("row"))[:probe_rows]
-        ranks = rows.select("row", "vector").mapInArrow(_true_ranks(MultiIndex(*books), probes, probe_ids, least, width), "rank bigint, n bigint")
-        found = sorted((r["rank"], r["n"]) for r in ranks.groupBy("rank").agg(F.sum("n").alias("n")).collect())
-        visits, total, so_far = 4, sum(count for _, count in found), 0
-        for rank, count in found:
-            so_far += count
-            visits = max(visits, rank)
-            if so_far >= recall * total:
-                break
+        ranks = rows.select("row", "vector").mapInArrow(
+            _true_ranks(MultiIndex(*books), probes, probe_ids, least, width), "probe bigint, rank bigint, n bigint")
+        ranks = scratch.store(ranks.groupBy("probe", "rank").agg(F.sum("n").alias("n")), "ranks")
+        totals = ranks.groupBy("probe").agg(F.sum("n").alias("total"))
+        by_class = ranks.join(totals, "probe").groupBy(F.floor(F.log2("total")).alias("class"), "rank").agg(F.sum(F.col("n") / F.col("total")).alias("weight"))
+        visits = _needed_visits([tuple(r) for r in by_class.collect()], recall, floor)
         index = MultiIndex(*books, visits=min(int(visits), codes * codes))
         placed = scratch.store(rows.select("row", "vector", "copies").mapInArrow(
             _visits(index, width), "cell bigint, member boolean, row bigint, vector array<float>, copies bigint"

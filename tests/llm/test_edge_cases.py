@@ -131,6 +131,22 @@ def test_vectors_equal_brute_force(spark):
     assert embedding_dedup.vector_duplicates(vectors(spark, [])).count() == 0
 
 
+def test_pairs_are_found_beside_a_large_group(spark):
+    draw = np.random.default_rng(2)
+
+    def unit(x):
+        return x / np.linalg.norm(x, axis=1, keepdims=True)
+
+    hot = unit(unit(draw.normal(size=(1, 16))) + 0.001 * draw.normal(size=(3000, 16)))
+    one = unit(draw.normal(size=(600, 16)))
+    side = draw.normal(size=(600, 16))
+    other = 0.955 * one + np.sqrt(1 - 0.955 ** 2) * unit(side - (side * one).sum(1, keepdims=True) * one)
+    x = np.concatenate([one, other, hot, unit(draw.normal(size=(4800, 16)))]).astype(np.float32)
+    out = {r.vec_id: r.n_links for r in embedding_dedup.vector_duplicates(vectors(spark, [(k, v.tolist()) for k, v in enumerate(x)])).collect()}
+    assert sum(out[k] == 0 for k in range(1200)) <= 6
+    assert all(out[k] >= 2999 for k in range(1200, 4200))
+
+
 def test_top_k_equals_brute_force(spark):
     draw = np.random.default_rng(5)
     x = np.round(draw.normal(size=(90, 8)) / 2, 1).astype(np.float32)
