@@ -3,14 +3,16 @@
 *Base spans* are e-mail addresses, IPv4 addresses, card numbers and phone numbers, found by leftmost non-overlapping matches of one pattern for each
 kind; matches that fail their check are dropped.
 
-*Disclosing terms.* Each distinct base value is a protected entity e. A term t (a run of 4 letters or more, in lower case) near its mentions tells
-PMI(t; e) = log N n(t, e) / (n(t) n(e)) about it, where n counts documents of the whole corpus; e itself holds IC(e) = log N / n(e). Terms
-with PMI / IC of at least `disclosure` and with at least `support` different surroundings are spans of kind `term` in every
-document that mentions e, wherever they stand in it. Surroundings are compared by their text, so that copies of one document are no evidence.
+*Disclosing terms.* Each distinct base value is a protected entity e. A term t (a run of 4 letters or more, in lower case) anywhere in a document that
+mentions e tells PMI(t; e) = log N n(t, e) / (n(t) n(e)) about it, where n counts whole documents of the whole corpus; e itself holds
+IC(e) = log N / n(e). Terms with PMI / IC of at least `disclosure` that stand together with e in at least `support` different documents are spans of
+kind `term` in every document that mentions e, wherever they stand in it. Documents are compared by their text, so that copies of one are no evidence.
+A value with fewer different documents has no terms: in a single document, every word that is rare would count. Documents without a
+value keep the term, since they hold nothing that it gives away.
 In `sanitise`, terms at `removal` or more disappear, others become `[TERM]`.
 
-Scale. Matching is local to a row; offsets come from prefix sums over the pieces between matches. Only mentions of values with enough
-surroundings go on to term pairs (an exact bound). Document frequencies are combined before the shuffle. Values
+Scale. Matching is local to a row; offsets come from prefix sums over the pieces between matches. Only values with enough
+different documents go on to term pairs (an exact bound). Document frequencies are combined before the shuffle. Values
 found in a third of all rows meet in counts only; their terms are joined as one row for each value.
 
 Edge cases. Null text counts as empty. Rows with null or repeated ids each get a row. Without rows, no rows. Other columns pass by.
@@ -92,35 +94,38 @@ def spans_of(df: DataFrame, text: str, patterns: dict[str, str], out: str = "fou
     return df.drop(*[f"__{kind}{end}" for kind in patterns for end in ("", "_gaps", "_sums")])
 
 
-def _disclosing(base: DataFrame, texts: DataFrame, scratch: Scratch, disclosure: float, support: int, reach: int) -> DataFrame:
+def _terms_of(text: str) -> Column:
+    return F.array_distinct(F.regexp_extract_all(F.lower(F.col(text)), F.lit(_TERM), F.lit(0)))
+
+
+def _disclosing(base: DataFrame, texts: DataFrame, scratch: Scratch, disclosure: float, support: int) -> DataFrame:
     """value, terms: for each protected value, the terms that give it away, with their strength."""
-    mentions = base.where(F.size("found") > 0).select("rid", "text", F.explode("found").alias("at"))
-    low = F.greatest(F.col("at.start") - reach, F.lit(0))
-    left = F.substr("text", (low + 1).cast("int"), (F.col("at.start") - low).cast("int"))
-    right = F.substr("text", (F.col("at.end") + 1).cast("int"), F.lit(reach))
-    around = scratch.store(mentions.select(
-        "rid", F.lower("at.value").alias("value"), F.xxhash64(left, right).alias("surroundings"),
-        F.array_distinct(F.regexp_extract_all(F.lower(F.concat_ws(" ", left, right)), F.lit(_TERM), F.lit(0))).alias("terms")), "around")
-    entities = (
-        around.groupBy("value", "surroundings").agg(F.min("rid").alias("rid"))
-        .groupBy("value").agg(F.count(F.lit(1)).alias("different")).where(F.col("different") >= support).select("value")
-    )
-    pairs = around.join(entities, "value").select("value", "rid", "surroundings", F.explode("terms").alias("term"))
-    by_surroundings = pairs.groupBy("value", "term", "surroundings").agg(F.min("rid").alias("rid"))
-    supported = by_surroundings.groupBy("value", "term").agg(F.count(F.lit(1)).alias("different")).where(F.col("different") >= support)
-    in_documents = pairs.select("value", "term", "rid").distinct().groupBy("value", "term").agg(F.count(F.lit(1)).alias("n_both"))
-    both = scratch.store(supported.join(in_documents, ["value", "term"]).select("value", "term", "n_both"), "both")
-    entity_count = around.select("value", "rid").distinct().groupBy("value").agg(F.count(F.lit(1)).alias("n_value"))
-    words = texts.select(F.explode(F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit(_TERM), F.lit(0)))).alias("term"))
-    term_count = words.groupBy("term").agg(F.count(F.lit(1)).alias("n_term"))
+    said = F.array_distinct(F.transform("found", lambda s: F.lower(s["value"])))
+    holders = scratch.store(base.where(F.size("found") > 0).select(
+        "rid", F.xxhash64("text").alias("content"), said.alias("values"), _terms_of("text").alias("terms")), "holders")
+    mentions = holders.select("rid", "content", F.explode("values").alias("value"))
+    entities = scratch.store(
+        mentions.groupBy("value", "content").agg(F.count(F.lit(1)).alias("n"))
+        .groupBy("value").agg(F.count(F.lit(1)).alias("different"), F.sum("n").alias("n_value"))
+        .where(F.col("different") >= support).select("value", "n_value"), "entities")
+    # terms move once for each document, with those of its values that have support
+    protected = mentions.join(entities, "value").groupBy("rid").agg(F.collect_list("value").alias("protected"))
+    pairs = holders.select("rid", "content", "terms").join(protected, "rid").select(
+        "content", "terms", F.explode("protected").alias("value")).select("value", F.explode("terms").alias("term"), "content")
+    by_content = pairs.groupBy("value", "term", "content").agg(F.count(F.lit(1)).alias("n"))
+    both = scratch.store(
+        by_content.groupBy("value", "term").agg(F.count(F.lit(1)).alias("different"), F.sum("n").alias("n_both"))
+        .where(F.col("different") >= support).select("value", "term", "n_both"), "both")
+    scratch.drop("holders")
+    term_count = texts.select(F.explode(_terms_of("text")).alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("n_term"))
     rows = base.agg(F.count(F.lit(1)).cast("double")).scalar()
-    told = both.join(term_count, "term").join(entity_count, "value").withColumn("n", rows)
+    told = both.join(term_count, "term").join(entities, "value").withColumn("n", rows)
     strength = F.log(F.col("n") * F.col("n_both") / (F.col("n_term") * F.col("n_value"))) / F.log(F.col("n") / F.col("n_value"))
     strong = told.where(F.col("n") > F.col("n_value")).withColumn("strength", strength).where(F.col("strength") >= disclosure)
     return strong.groupBy("value").agg(F.collect_list(F.struct("term", "strength")).alias("terms"))
 
 
-def find_private(docs: DataFrame, keep: list[str] | None = None, disclosure: float = 0.9, support: int = 3, reach: int = 80) -> DataFrame:
+def find_private(docs: DataFrame, keep: list[str] | None = None, disclosure: float = 0.9, support: int = 3) -> DataFrame:
     """The columns `keep` (all) of `docs`, and `found` (base spans) and `marked` (disclosing terms with `strength`). Runs jobs."""
     scratch = Scratch(docs.sparkSession, "privacy")
     names = docs.columns if keep is None else keep
@@ -130,11 +135,11 @@ def find_private(docs: DataFrame, keep: list[str] | None = None, disclosure: flo
     base = scratch.store(spans.select(
         F.monotonically_increasing_id().alias("rid"), F.col("row"), "found",
         F.when(F.size("found") > 0, F.col("text")).alias("text")), "base")
-    return _mark(base, row.select("text"), scratch, disclosure, support, reach).select(*[F.col(f"row.`{c}`") for c in names], "found", "marked")
+    return _mark(base, row.select("text"), scratch, disclosure, support).select(*[F.col(f"row.`{c}`") for c in names], "found", "marked")
 
 
-def _mark(base: DataFrame, texts: DataFrame, scratch: Scratch, disclosure: float, support: int, reach: int) -> DataFrame:
-    told = scratch.store(_disclosing(base, texts, scratch, disclosure, support, reach), "told")
+def _mark(base: DataFrame, texts: DataFrame, scratch: Scratch, disclosure: float, support: int) -> DataFrame:
+    told = scratch.store(_disclosing(base, texts, scratch, disclosure, support), "told")
     mentions = base.where(F.size("found") > 0).select("rid", F.explode(F.array_distinct(F.transform("found", lambda s: F.lower(s["value"])))).alias("value"))
     wanted = mentions.join(told, "value").groupBy("rid").agg(F.flatten(F.collect_list("terms")).alias("terms"))
     holders = base.where(F.size("found") > 0).select("rid", "text", "found").join(wanted, "rid")

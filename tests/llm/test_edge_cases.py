@@ -104,6 +104,20 @@ def test_a_term_that_gives_a_value_away_is_marked_and_removed(spark):
     assert "jaguarundi" not in clean[0].lower() and "[EMAIL]" in clean[0] and clean[100] == rows[6][1]
 
 
+def test_terms_count_over_whole_documents(spark):
+    def far(k, term, value):
+        return f"{term} wrote this. " + " ".join(f"filler number{k}x{j} of plain text" for j in range(40)) + f". Reach {value}"
+
+    rows = [(k, far(k, "Quetzal", "far@there.org")) for k in range(6)] + [(10, far(10, "Quetzal", "nobody"))]
+    rows += [(20 + k, far(20 + k, "Axolotl", "two@there.org")) for k in range(2)]  # below the support of 3
+    rows += [(30 + k, far(30, "Numbat", "copy@there.org")) for k in range(4)]  # copies of one document
+    rows += [(100 + k, far(100 + k, "Somebody", "nobody")) for k in range(60)]
+    out = {r.doc_id: r.spans for r in privacy.private_report(docs(spark, rows)).collect()}
+    assert all(out[k].endswith(",term:0:7") for k in range(6))
+    assert out[10] == out[100] == ""
+    assert not any("term" in out[k] for k in (20, 21, 30, 31, 32, 33))
+
+
 def test_private_data_in_odd_rows(spark):
     assert privacy.private_report(docs(spark, ODD)).count() == len(ODD)
     assert privacy.private_report(docs(spark, [])).count() == 0
