@@ -9,9 +9,10 @@ outcome: `resolved`, `unchecked` (resolved without a common validator), `mismatc
 
 Scale. The as-of join has two levels: the last full response of each (URL, day) is combined before the shuffle and carried over days, one row
 for each; within a day a window looks at light columns only. A URL with a third of all captures is thus spread over its days.
-Bodies move once, in an equi-join on the record id that was found.
+Full responses and revisits are stored once with a number each; bodies move once, in an equi-join on the number that was found.
 
-Edge cases. A null or unparsable URL never matches. Records at the same time are ordered by record id. Null headers count as none, null
+Edge cases. A null or unparsable URL never matches. Records at the same time are ordered by record id; null times and null ids
+come last. Every revisit row gives one row, also with a null or repeated id; of responses with equal time and id one is taken. Null headers count as none, null
 validators as absent; null bodies are no full responses. Header names are compared in lower case. Extra columns are ignored.
 """
 
@@ -20,6 +21,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from casemart.llm.storage import Scratch
+
 #: Header fields that a 304 answer may update (RFC 9110, 15.4.5), and query parameters that only track.
 PERMITTED = ("cache-control", "content-location", "date", "etag", "expires", "vary")
 TRACKING = r"^(utm_[a-z]+|ref|gclid|fbclid)(=|$)"
@@ -38,23 +41,34 @@ def canonical_url(url: Column) -> Column:
 def resolve_revisits(records: DataFrame) -> DataFrame:
     """One row for each revisit of `records` (record_id, url, captured_at, kind, status, headers, body).
 
-    `kind` is `response` or `revisit`; `headers` is a map of strings with lower-case names. Result: record_id, canonical_url, response_id,
+    `kind` is `response` or `revisit`; `headers` is a map of strings with lower-case names. Runs a job. Result: record_id, canonical_url, response_id,
     outcome, headers and body.
     """
+    scratch = Scratch(records.sparkSession, "revisits")
     headers = F.coalesce("headers", F.create_map().cast("map<string,string>"))
-    is_full = (F.col("kind") == "response") & (F.col("status") == 200) & F.col("body").isNotNull()
-    light = records.select(
-        "record_id", canonical_url(F.col("url")).alias("canonical_url"), "captured_at", F.col("kind"), is_full.alias("full"),
-        headers["etag"].alias("etag"), headers["last-modified"].alias("modified")).where("canonical_url IS NOT NULL")
-    wanted = light.where("full OR kind = 'revisit'").withColumn("day", F.date_trunc("day", "captured_at"))
-    response = F.struct("captured_at", "record_id", "etag", "modified")
+    is_full = F.coalesce((F.col("kind") == "response") & (F.col("status") == 200) & F.col("body").isNotNull(), F.lit(False))
+    is_revisit = F.coalesce(F.col("kind") == "revisit", F.lit(False))
+    rows = scratch.store(records.where(is_full | is_revisit).select(
+        F.monotonically_increasing_id().alias("row"), "record_id", canonical_url(F.col("url")).alias("canonical_url"), "captured_at",
+        is_full.alias("full"), headers.alias("headers"), F.when(is_full, F.col("body")).alias("body")), "rows")
+    light = rows.select(
+        "row", "record_id", "canonical_url", "captured_at", "full", F.col("headers")["etag"].alias("etag"), F.col("headers")["last-modified"].alias("modified"),
+        F.when(~F.col("full"), F.col("headers")).alias("own_headers"))
+    wanted = light.where("canonical_url IS NOT NULL").withColumn("day", F.date_trunc("day", "captured_at"))
+    # in this order unknown times and ids come last
+    response = F.struct(
+        F.col("captured_at").isNull().alias("no_time"), "captured_at", F.col("record_id").isNull().alias("no_id"), "record_id", "row", "etag", "modified")
     by_day = wanted.where("full").groupBy("canonical_url", "day").agg(F.max(response).alias("latest"))
-    days = wanted.select("canonical_url", "day").distinct().join(by_day, ["canonical_url", "day"], "left")
-    earlier_days = Window.partitionBy("canonical_url").orderBy("day").rowsBetween(Window.unboundedPreceding, -1)
+    days = wanted.groupBy("canonical_url", "day").agg(F.lit(True).alias("known")).alias("d").join(
+        by_day.alias("b"), (F.col("d.canonical_url") == F.col("b.canonical_url")) & F.col("d.day").eqNullSafe(F.col("b.day")), "left").select("d.canonical_url", "d.day", "latest")
+    earlier_days = Window.partitionBy("canonical_url").orderBy(F.col("day").asc_nulls_last()).rowsBetween(Window.unboundedPreceding, -1)
     carried = days.select("canonical_url", "day", F.last("latest", ignorenulls=True).over(earlier_days).alias("carried"))
-    same_day = Window.partitionBy("canonical_url", "day").orderBy("captured_at", "record_id").rowsBetween(Window.unboundedPreceding, -1)
-    within = wanted.withColumn("within", F.last(F.when(F.col("full"), response), ignorenulls=True).over(same_day)).where("kind = 'revisit'")
-    found = within.join(carried, ["canonical_url", "day"]).withColumn("response", F.coalesce("within", "carried"))
+    same_day = Window.partitionBy("canonical_url", "day").orderBy(
+        F.col("captured_at").asc_nulls_last(), F.col("record_id").asc_nulls_last(), "row").rowsBetween(Window.unboundedPreceding, -1)
+    within = wanted.withColumn("within", F.last(F.when(F.col("full"), response), ignorenulls=True).over(same_day)).where("NOT full")
+    found = within.alias("w").join(
+        carried.alias("c"), (F.col("w.canonical_url") == F.col("c.canonical_url")) & F.col("w.day").eqNullSafe(F.col("c.day")), "left").select(
+        "w.*", F.coalesce("within", "carried").alias("response"))
 
     tags = F.col("etag").isNotNull() & F.col("response.etag").isNotNull()
     dates = F.col("modified").isNotNull() & F.col("response.modified").isNotNull()
@@ -64,16 +78,14 @@ def resolve_revisits(records: DataFrame) -> DataFrame:
         .when(dates, F.when(F.col("modified") == F.col("response.modified"), "resolved").otherwise("mismatch"))
         .otherwise("unchecked")
     )
-    judged = found.select("record_id", "canonical_url", F.col("response.record_id").alias("response_id"), outcome.alias("outcome"))
-    lost = records.where("kind = 'revisit'").where(canonical_url(F.col("url")).isNull()).select(
-        "record_id", F.lit(None).cast("string").alias("canonical_url"), F.lit(None).cast(records.schema["record_id"].dataType).alias("response_id"),
-        F.lit("no_response").alias("outcome"))
-    judged = judged.unionAll(lost)
-    bodies = records.where(is_full).select(F.col("record_id").alias("source_id"), headers.alias("source_headers"), F.col("body"))
-    revisits = records.where("kind = 'revisit'").select(F.col("record_id").alias("own_id"), headers.alias("own_headers"))
-    usable = F.when(F.col("outcome").isin("resolved", "unchecked"), F.col("response_id"))
-    joined = judged.withColumn("usable", usable).join(revisits, F.col("record_id") == F.col("own_id")).join(
-        bodies, F.col("usable") == F.col("source_id"), "left")
+    judged = found.select(
+        "record_id", "canonical_url", F.col("response.record_id").alias("response_id"), outcome.alias("outcome"), "own_headers", F.col("response.row").alias("source"))
+    lost = light.where("NOT full AND canonical_url IS NULL").select(
+        "record_id", "canonical_url", F.lit(None).cast(records.schema["record_id"].dataType).alias("response_id"),
+        F.lit("no_response").alias("outcome"), "own_headers", F.lit(None).cast("bigint").alias("source"))
+    usable = F.when(F.col("outcome").isin("resolved", "unchecked"), F.col("source"))
+    bodies = rows.where("full").select("row", F.col("headers").alias("source_headers"), "body")
+    joined = judged.unionAll(lost).withColumn("usable", usable).join(bodies, F.col("usable") == F.col("row"), "left")
     put = F.map_filter("own_headers", lambda k, _: k.isin(*PERMITTED))
     stay = F.map_filter("source_headers", lambda k, _: ~F.array_contains(F.map_keys(put), k))
     merged = F.when(F.col("usable").isNotNull(), F.map_concat(stay, put)).otherwise(F.col("own_headers"))
@@ -95,7 +107,7 @@ def page_captures(spark: SparkSession, sf_dir: str) -> DataFrame:
     shift = F.when(page % 11 == 0, -3600).otherwise((page % 9) * 40_000 + 60)
     response = pages.select(
         (page * 2).alias("record_id"), "url", moment(seconds).alias("captured_at"), F.lit("response").alias("kind"),
-        F.when(page % 13 == 0, 404).otherwise(200).alias("status"),
+        F.when(page % 13 == 0, 404).when(page.isNotNull(), 200).alias("status"),
         header(etag=F.when(page % 4 != 3, tag), last_modified=F.when(page % 2 == 0, F.substring(tag, 1, 6)), content_type=F.lit("text/html")).alias("headers"),
         F.col("html").alias("body"))
     revisit = pages.select(

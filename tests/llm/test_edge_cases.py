@@ -286,3 +286,28 @@ def test_revisits_with_odd_headers_and_urls(spark):
     assert {k: r.outcome for k, r in out.items()} == {2: "resolved", 3: "mismatch", 4: "no_response", 6: "no_response", 7: "unchecked"}
     assert out[2].headers == {"etag": "1", "date": "d", "server": "s"} and (out[2].body, out[3].body) == ("body", None)
     assert warc_revisits.resolve_revisits(data.limit(0)).count() == 0
+
+
+def test_revisits_with_null_and_repeated_ids_and_times(spark):
+    url, full = "http://x.org/a", ("response", 200, {"etag": "1"})
+    rows = [(1, url, "2024-01-01 00:00:00", *full, "old"), (3, url, "2024-01-02 00:00:00", *full, "new"), (None, "http://y.org", None, *full, "no id")]
+    rows += [(1, url, "2024-01-01 00:00:00", *full, "old")] * 2
+    rows += [(2, url, "2024-01-01 05:00:00", "revisit", 304, {"etag": "1"}, None)] * 3
+    rows += [(None, url, None, "revisit", 304, None, None), (None, "http://y.org/", None, "revisit", 304, {"etag": "1"}, None), (8, None, None, "revisit", 304, None, None)]
+    schema = "record_id long, url string, captured_at string, kind string, status int, headers map<string,string>, body string"
+    data = spark.createDataFrame(rows, schema).withColumn("captured_at", F.col("captured_at").cast("timestamp_ntz")).coalesce(1)
+    out = sorted(((r.record_id, r.canonical_url, r.response_id, r.outcome, r.body) for r in warc_revisits.resolve_revisits(data).collect()), key=str)
+    assert out == sorted([(2, "x.org/a", 1, "resolved", "old")] * 3 + [
+        (None, "x.org/a", 3, "unchecked", "new"), (None, "y.org", None, "resolved", "no id"), (8, None, None, "no_response", None)], key=str)
+
+
+def test_revisits_of_null_and_repeated_pages_equal_the_sql(spark, tmp_path):
+    import duckdb
+
+    pages = [(k, f"http://x.org/{k % 7}", f"<p>{k}</p>") for k in range(40)] + [(5, "http://x.org/5", "<p>5</p>")] * 3
+    pages += [(None, "http://x.org/1", "<p>n</p>"), (None, None, None), (41, None, "<p>u</p>"), (42, "http://x.org/2", None)]
+    spark.createDataFrame(pages, "page_id long, url string, html string").write.parquet(f"{tmp_path}/pages.parquet")
+    out = [tuple(r) for r in warc_revisits.revisit_report(warc_revisits.page_captures(spark, str(tmp_path))).collect()]
+    db = duckdb.connect()
+    db.sql(f"CREATE VIEW pages AS SELECT * FROM '{tmp_path}/pages.parquet/*.parquet'")
+    assert sorted(out, key=str) == sorted(db.sql(warc_revisits.REVISIT_SQL).fetchall(), key=str)
