@@ -5,6 +5,8 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+from casemart.llm.alignment import alignment_report
+from casemart.llm.byte_bpe import encoding_report
 from casemart.llm.embedding_dedup import vector_duplicates
 from casemart.llm.minhash_dedup import near_duplicates
 from casemart.llm.mixing import MIX_SQL, mix_sources
@@ -73,6 +75,16 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_sources(_table(spark, sf_dir, "documents"))
 
 
+def op12_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tokens of two tokenizers over all documents, aligned, with corpus counts of linked ids."""
+    return alignment_report(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
+def op13_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents as byte-level BPE ids, and back."""
+    return encoding_report(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+
+
 #: Name -> (function of (spark, folder), SQL or None).
 QUERIES = {
     "op1_substring_dedup": (op1_substring_dedup, None),
@@ -85,4 +97,6 @@ QUERIES = {
     "op8_exact_top_k": (op8_exact_top_k, TOP_K_SQL),
     "op9_minhash_dedup": (op9_minhash_dedup, None),
     "op10_mixing": (op10_mixing, MIX_SQL),
+    "op12_alignment": (op12_alignment, None),
+    "op13_byte_bpe": (op13_byte_bpe, None),
 }
