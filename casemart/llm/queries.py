@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from casemart.llm.alignment import alignment_report
 from casemart.llm.byte_bpe import encoding_report
 from casemart.llm.embedding_dedup import vector_duplicates
+from casemart.llm.lexical import LEXICAL_SQL, rank_documents
 from casemart.llm.minhash_dedup import near_duplicates
 from casemart.llm.mixing import MIX_SQL, mix_sources
 from casemart.llm.packing import pack_documents
@@ -75,6 +76,11 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_sources(_table(spark, sf_dir, "documents"))
 
 
+def op11_lexical(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 50 best of all documents for every item of the benchmark."""
+    return rank_documents(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
 def op12_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tokens of two tokenizers over all documents, aligned, with corpus counts of linked ids."""
     return alignment_report(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model"))
@@ -97,6 +103,7 @@ QUERIES = {
     "op8_exact_top_k": (op8_exact_top_k, TOP_K_SQL),
     "op9_minhash_dedup": (op9_minhash_dedup, None),
     "op10_mixing": (op10_mixing, MIX_SQL),
+    "op11_lexical": (op11_lexical, LEXICAL_SQL),
     "op12_alignment": (op12_alignment, None),
     "op13_byte_bpe": (op13_byte_bpe, None),
 }
