@@ -11,16 +11,20 @@ A value with fewer different documents has no terms: in a single document, every
 value keep the term, since they hold nothing that it gives away.
 In `sanitise`, terms at `removal` or more disappear, others become `[TERM]`.
 
-Scale. Matching is local to a row; offsets come from prefix sums over the pieces between matches. Only values with enough
-different documents go on to term pairs (an exact bound). Document frequencies are combined before the shuffle. Values
-found in a third of all rows meet in counts only; their terms are joined as one row for each value.
-
-Edge cases. Null text counts as empty. Rows with null or repeated ids each get a row. Without rows, no rows. Other columns pass by.
+Scale. Matching is local to a row; offsets come from prefix sums over the pieces between matches. Copies of a text count as one document with a
+weight. Values that stand in the same documents have the same figures with every term, so they are one class; so are terms that stand in the
+same documents with values and are equally frequent. Only pairs of classes are counted, as (classes of a document) x (classes of a document), and of these only
+pairs whose term is rare enough for its value (n(t) <= N^(1-d) n(e)^d, which every disclosing pair meets, as n(t, e) <= n(e)): a list of a thousand addresses in three
+versions is one class of values and a few of terms. Words of a text meet its disclosing terms in an equi-join, spans of both kinds in one sorted pass.
+Counts are combined before the shuffle.
+
+Edge cases. Null text counts as empty. Rows with null or repeated ids each get a row. Without rows, no rows. Rows pass as a whole, so other columns may
+have any names.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from casemart.llm.storage import Scratch
@@ -98,60 +102,78 @@ def _terms_of(text: str) -> Column:
     return F.array_distinct(F.regexp_extract_all(F.lower(F.col(text)), F.lit(_TERM), F.lit(0)))
 
 
+def _documents_of(what: str) -> list[Column]:
+    """Aggregates over (doc, copies): different documents, documents with their copies, and a fingerprint of which documents they are."""
+    marks = [F.bit_xor(F.xxhash64("doc", F.lit(seed))).cast("string") for seed in (1, 2)]
+    return [F.count(F.lit(1)).alias("different"), F.sum("copies").alias(f"n_{what}"), F.concat_ws(":", *marks).alias("where")]
+
+
 def _disclosing(base: DataFrame, texts: DataFrame, scratch: Scratch, disclosure: float, support: int) -> DataFrame:
-    """value, terms: for each protected value, the terms that give it away, with their strength."""
+    """doc, term and strength: for each different text with base spans, the terms that give one of its values away. `doc` is the smallest rid of that text."""
     said = F.array_distinct(F.transform("found", lambda s: F.lower(s["value"])))
-    holders = scratch.store(base.where(F.size("found") > 0).select(
-        "rid", F.xxhash64("text").alias("content"), said.alias("values"), _terms_of("text").alias("terms")), "holders")
-    mentions = holders.select("rid", "content", F.explode("values").alias("value"))
-    entities = scratch.store(
-        mentions.groupBy("value", "content").agg(F.count(F.lit(1)).alias("n"))
-        .groupBy("value").agg(F.count(F.lit(1)).alias("different"), F.sum("n").alias("n_value"))
-        .where(F.col("different") >= support).select("value", "n_value"), "entities")
-    # terms move once for each document, with those of its values that have support
-    protected = mentions.join(entities, "value").groupBy("rid").agg(F.collect_list("value").alias("protected"))
-    pairs = holders.select("rid", "content", "terms").join(protected, "rid").select(
-        "content", "terms", F.explode("protected").alias("value")).select("value", F.explode("terms").alias("term"), "content")
-    by_content = pairs.groupBy("value", "term", "content").agg(F.count(F.lit(1)).alias("n"))
-    both = scratch.store(
-        by_content.groupBy("value", "term").agg(F.count(F.lit(1)).alias("different"), F.sum("n").alias("n_both"))
-        .where(F.col("different") >= support).select("value", "term", "n_both"), "both")
-    scratch.drop("holders")
+    holders = scratch.store(base.where("content IS NOT NULL").select("rid", "content", said.alias("values"), _terms_of("text").alias("terms")), "holders")
+    firsts = holders.groupBy("content").agg(F.min("rid").alias("doc"), F.count(F.lit(1)).alias("copies"))
+    docs = scratch.store(holders.join(firsts.drop("content"), F.col("rid") == F.col("doc")).select("doc", "copies", "values", "terms"), "docs")
+    rows = float(base.count())
+    mentions = docs.select("doc", "copies", F.explode("values").alias("value"))
+    values = mentions.groupBy("value").agg(*_documents_of("value")).where((F.col("different") >= support) & (F.col("n_value") < rows))
+    entities = scratch.store(values.select("value", "n_value", F.concat_ws(":", "where", "n_value").alias("value_class")), "entities")
+    doc_values = scratch.store(mentions.join(entities, "value").select("doc", "copies", "value_class", "n_value").distinct(), "doc-values")
+    # terms move once for each different document that has a protected value
+    near = docs.join(doc_values.select(F.col("doc").alias("of")).distinct(), F.col("doc") == F.col("of")).select("doc", "copies", F.explode("terms").alias("term"))
+    known = near.groupBy("term").agg(*_documents_of("near")).where(F.col("different") >= support)
     term_count = texts.select(F.explode(_terms_of("text")).alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("n_term"))
-    rows = base.agg(F.count(F.lit(1)).cast("double")).scalar()
-    told = both.join(term_count, "term").join(entities, "value").withColumn("n", rows)
-    strength = F.log(F.col("n") * F.col("n_both") / (F.col("n_term") * F.col("n_value"))) / F.log(F.col("n") / F.col("n_value"))
-    strong = told.where(F.col("n") > F.col("n_value")).withColumn("strength", strength).where(F.col("strength") >= disclosure)
-    return strong.groupBy("value").agg(F.collect_list(F.struct("term", "strength")).alias("terms"))
+    terms = scratch.store(known.join(term_count, "term").select("term", "n_term", F.concat_ws(":", "where", "n_term").alias("term_class")), "terms")
+    doc_terms = scratch.store(near.join(terms, "term").select("doc", "term", "n_term", "term_class"), "doc-terms")
+    classes = doc_terms.select("doc", "n_term", "term_class").distinct()
+    rare = F.col("n_term") <= F.pow(F.lit(rows), F.lit(1 - disclosure)) * F.pow("n_value", F.lit(disclosure)) * (1 + 1e-9)
+    pairs = doc_values.join(classes, "doc").where(rare)
+    both = pairs.groupBy("value_class", "term_class").agg(
+        F.count(F.lit(1)).alias("different"), F.sum("copies").alias("n_both"), F.first("n_value").alias("n_value"), F.first("n_term").alias("n_term"))
+    strength = F.log(F.lit(rows) * F.col("n_both") / (F.col("n_term") * F.col("n_value"))) / F.log(F.lit(rows) / F.col("n_value"))
+    strong = scratch.store(both.where(F.col("different") >= support).withColumn("strength", strength).where(F.col("strength") >= disclosure).select(
+        "value_class", "term_class", "strength"), "strong")
+    told = pairs.select("doc", "value_class", "term_class").join(strong, ["value_class", "term_class"]).groupBy("doc", "term_class").agg(F.max("strength").alias("strength"))
+    out = scratch.store(told.join(doc_terms.select("doc", "term_class", "term"), ["doc", "term_class"]).select("doc", "term", "strength"), "told")
+    scratch.drop("holders", "docs", "entities", "doc-values", "terms", "doc-terms", "strong")
+    return out
 
 
 def find_private(docs: DataFrame, keep: list[str] | None = None, disclosure: float = 0.9, support: int = 3) -> DataFrame:
-    """The columns `keep` (all) of `docs`, and `found` (base spans) and `marked` (disclosing terms with `strength`). Runs jobs."""
+    """`row` (a struct of the columns `keep`, or all, of `docs`), `text`, `found` (base spans) and `marked` (disclosing terms with `strength`). Runs jobs.
+
+    `text` is the row's text where it has base spans, null elsewhere.
+    """
     scratch = Scratch(docs.sparkSession, "privacy")
     names = docs.columns if keep is None else keep
     row = docs.select(F.struct(*[F.col(f"`{c}`") for c in names]).alias("row"), F.coalesce("text", F.lit("")).alias("text"))
     spans = spans_of(row, "text", PATTERNS)
     # texts are kept for rows with base spans alone; the rest of the work needs no other text but for term frequencies
+    some = F.size("found") > 0
     base = scratch.store(spans.select(
-        F.monotonically_increasing_id().alias("rid"), F.col("row"), "found",
-        F.when(F.size("found") > 0, F.col("text")).alias("text")), "base")
-    return _mark(base, row.select("text"), scratch, disclosure, support).select(*[F.col(f"row.`{c}`") for c in names], "found", "marked")
+        F.monotonically_increasing_id().alias("rid"), F.col("row"), "found", F.when(some, F.col("text")).alias("text"),
+        F.when(some, F.md5(F.col("text").cast("binary"))).alias("content")), "base")
+    return _mark(base, row.select("text"), scratch, disclosure, support).select("row", "text", "found", "marked")
 
 
 def _mark(base: DataFrame, texts: DataFrame, scratch: Scratch, disclosure: float, support: int) -> DataFrame:
-    told = scratch.store(_disclosing(base, texts, scratch, disclosure, support), "told")
-    mentions = base.where(F.size("found") > 0).select("rid", F.explode(F.array_distinct(F.transform("found", lambda s: F.lower(s["value"])))).alias("value"))
-    wanted = mentions.join(told, "value").groupBy("rid").agg(F.flatten(F.collect_list("terms")).alias("terms"))
-    holders = base.where(F.size("found") > 0).select("rid", "text", "found").join(wanted, "rid")
-    strengths = F.map_from_entries(F.transform(F.array_distinct(F.transform("terms", lambda t: t["term"])), lambda term: F.struct(
-        term, F.array_max(F.transform(F.filter("terms", lambda t: t["term"] == term), lambda t: t["strength"])))))
-    listed = spans_of(holders.withColumn("strengths", strengths), "text", {"term": _TERM}, "all_terms")
-    free = F.filter("all_terms", lambda t: F.map_contains_key("strengths", F.lower(t["value"])) & ~F.exists(
-        "found", lambda s: (s["start"] < t["end"]) & (s["end"] > t["start"])))
-    marked = listed.select(F.col("rid").alias("holder"), F.transform(free, lambda t: F.struct(
-        t["kind"].alias("kind"), t["start"].alias("start"), t["end"].alias("end"), F.element_at("strengths", F.lower(t["value"])).alias("strength"))).alias("marked"))
+    """`base` with `marked`: terms are looked for once in each different text, and all its copies get the spans."""
+    told = _disclosing(base, texts, scratch, disclosure, support)
+    asked = base.join(told.select(F.col("doc").alias("rid")).distinct(), "rid").select("rid", "content", "text", "found")
+    words = spans_of(asked, "text", {"term": _TERM}, "all_terms").select("rid", F.explode("all_terms").alias("t"))
+    hits = words.join(told, (F.col("rid") == F.col("doc")) & (F.lower("t.value") == F.col("term"))).select(
+        "rid", F.col("t.start").alias("start"), F.col("t.end").alias("end"), "strength")
+    taken = asked.select("rid", F.explode("found").alias("s")).select("rid", F.col("s.start").alias("start"), F.col("s.end").alias("end"), F.lit(None).cast("double").alias("strength"))
+    # a term overlaps a base span that starts before and ends behind its start, or that starts behind its start and before its end
+    by_start = Window.partitionBy("rid").orderBy("start")
+    base_end, base_start = F.when(F.col("strength").isNull(), F.col("end")), F.when(F.col("strength").isNull(), F.col("start"))
+    reached = F.coalesce(F.max(base_end).over(by_start.rangeBetween(Window.unboundedPreceding, 0)) <= F.col("start"), F.lit(True))
+    follows = F.coalesce(F.min(base_start).over(by_start.rangeBetween(0, Window.unboundedFollowing)) >= F.col("end"), F.lit(True))
+    free = hits.unionAll(taken).withColumn("free", reached & follows).where(F.col("free") & F.col("strength").isNotNull())
+    spans = free.groupBy("rid").agg(F.array_sort(F.collect_list(F.struct(F.lit("term").alias("kind"), "start", "end", "strength"))).alias("marked"))
+    marked = scratch.store(spans.join(asked.select("rid", "content"), "rid").select(F.col("content").alias("of"), "marked"), "marked")
     empty = F.array().cast("array<struct<kind:string,start:bigint,end:bigint,strength:double>>")
-    return base.join(marked, F.col("rid") == F.col("holder"), "left").withColumn("marked", F.coalesce("marked", empty))
+    return base.join(marked, F.col("content") == F.col("of"), "left").withColumn("marked", F.coalesce("marked", empty))
 
 
 def _text_of_spans(spans: Column) -> Column:
@@ -164,7 +186,7 @@ def private_report(docs: DataFrame, **options) -> DataFrame:
     counts = [F.size(F.filter("found", _is_kind(kind))).cast("bigint").alias(f"n_{kind}") for kind in PATTERNS]
     base, terms = _text_of_spans(F.col("found")), _text_of_spans(F.col("marked"))
     both = F.concat_ws(",", F.when(base != "", base), F.when(terms != "", terms))
-    return found.select("doc_id", *counts, F.sha2(base.cast("binary"), 256).alias("base_sha256"), both.alias("spans"))
+    return found.select("row.doc_id", *counts, F.sha2(base.cast("binary"), 256).alias("base_sha256"), both.alias("spans"))
 
 
 def sanitise(docs: DataFrame, removal: float = 0.97, **options) -> DataFrame:
@@ -186,5 +208,5 @@ def sanitise(docs: DataFrame, removal: float = 0.97, **options) -> DataFrame:
 
     start = F.struct(F.lit(0).cast("bigint").alias("at"), F.lit("").alias("out"))
     done = F.aggregate(spans, start, step, lambda s: F.concat(s["out"], F.substr("text", (s["at"] + 1).cast("int"), F.length("text"))))
-    clean = F.when((F.size("found") > 0) | (F.size("marked") > 0), done).otherwise(F.col("text"))
-    return found.withColumn("text", clean).select(*docs.columns)
+    clean = F.when(F.size("found") > 0, done).otherwise(F.col("row.text"))
+    return found.select(*[clean.alias("text") if name == "text" else F.col(f"row.`{name}`").alias(name) for name in docs.columns])
