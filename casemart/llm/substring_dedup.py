@@ -7,7 +7,7 @@ Method. Positions of a text are taken modulo 21; the residues 3, 6, 7, 12, 14 fo
 two places i and j there is a shift below 21 that puts both on covered residues. So two equal windows share an equal
 *anchor* (a run of `window - 20` words) that starts on covered positions of both. Only anchors at covered positions,
 5 of 21, are compared across the corpus. A repeated anchor is then extended: the windows over it are
-the only ones that can be repeated, and those are compared by 128-bit fingerprints of all their words.
+the only ones that can be repeated, and those are compared by 128 bits over the 64-bit fingerprints of all their words.
 
 Scale. Equal texts are merged first and counted, within each task before the shuffle, so a text that makes up a third of
 the rows is one row afterwards. Fingerprints travel packed per task and group. A fingerprint that is repeated within a batch
@@ -36,6 +36,7 @@ from casemart.llm.words import sequences, split, split_batches
 PERIOD, COVER = 21, (3, 6, 7, 12, 14)
 _COVERED = np.isin(np.arange(PERIOD), COVER)
 _CHUNK = 4 << 20
+_BUCKET = 16 << 20  # bytes of text whose places one task gathers
 
 _SENT = "group int, first binary, second binary, doc binary, position binary, keys binary, own boolean"
 _FOUND = "bucket int, keys binary, sizes binary, positions binary"
@@ -243,15 +244,15 @@ def remove_repeats(docs: DataFrame, window: int = 35, id_column: str = "doc_id",
         raise ValueError(f"window must be at least {PERIOD}")
     spark = docs.sparkSession
     scratch = Scratch(spark, "repeats")
-    partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    groups = 2 * partitions
-    find = _Finder(window, groups)
     keyed = docs.select(F.col(id_column).alias("id"), text_key(F.col(text_column)).alias("key"))
     texts = scratch.store(distinct_texts(docs, text_column), "texts")
     counted = texts.groupBy("key").agg(F.sum("copies").alias("copies"))
     texts = texts.where("text IS NOT NULL").select("key", "text")
 
-    resolve = _resolver(partitions)
+    # groups of windows and buckets of texts hold as much at any size of input
+    length = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-length // _BUCKET))
+    find, resolve = _Finder(window, 2 * buckets), _resolver(buckets)
 
     def places(sent: DataFrame, table: str) -> DataFrame:
         found = sent.groupBy("group").applyInArrow(resolve, _FOUND)
