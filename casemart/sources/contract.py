@@ -3,25 +3,28 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from casemart.operators.columns import quoted
-from casemart.operators.cases import SOURCE_FILE
 from casemart.reference_values import CASE_CSV_FIELDS, CASE_JSON_FIELDS, DISTRICTS, POPULATION_FIELDS
-from casemart.sources.files import CORRUPT, UTF8, csv_groups, read_csv
-from casemart.sources.paths import file_path
+from casemart.sources.json_arrays import array_faults
+from casemart.sources.records import csv_faults, header_names
 
 
 def json_contract(spark: SparkSession, paths: Sequence[str], fields: Sequence[str] = CASE_JSON_FIELDS) -> DataFrame:
-    """`path, records, wrong_records, status` per JSON file.
+    """`path, records, wrong_records, status` per JSON file: a non-empty array of records, each with exactly the fields, and nothing else. Runs jobs.
 
-    A JSON array has no split points, so a file is parsed by one task, as Spark's own JSON reader does.
+    Elements are put together from pieces between commas, so that an array of any size is read by many tasks and no row holds a file.
     """
-    documents = spark.read.text(list(paths), wholetext=True).select(file_path().alias("path"), "value")
-    return json_document_contract(documents, fields)
+    faults = array_faults(spark, paths, fields)
+    status = (
+        F.when(~F.col("is_array"), "not_json").when(F.col("records") == 0, "empty")
+        .when(F.col("wrong_records") > 0, "wrong_fields").otherwise("ok")
+    )
+    empty = unread_files(spark, paths, faults).select("path", *[F.lit(0).cast("long").alias(name) for name in ("records", "wrong_records")], F.lit("not_json").alias("status"))
+    return faults.select("path", *[F.when(F.col("is_array"), F.col(name)).otherwise(0).alias(name) for name in ("records", "wrong_records")], status.alias("status")).unionByName(empty)
 
 
 def json_document_contract(documents: DataFrame, fields: Sequence[str]) -> DataFrame:
@@ -47,54 +50,34 @@ def json_document_contract(documents: DataFrame, fields: Sequence[str]) -> DataF
     return counted.withColumn("status", status).drop("_unreadable")
 
 
-def csv_contract(
-    spark: SparkSession, paths: Sequence[str], fields: Sequence[str] = CASE_CSV_FIELDS, multi_line: bool = True
-) -> DataFrame:
-    """`path, records, ragged_records, blank_records, status` per CSV file.
+def csv_contract(spark: SparkSession, paths: Sequence[str], fields: Sequence[str] = CASE_CSV_FIELDS) -> DataFrame:
+    """`path, records, ragged_records, blank_records, blank_lines, first_fault, status` per CSV file. Runs jobs.
 
-    The header must be the field set, every row must have as many cells, and there must be a row. A file without
-    a first line is empty; one that isn't UTF-8 is reported as such, with the counts of its single-byte reading.
-    Lines without any character between records are skipped by Spark's reader and aren't reported.
+    The header must be the field set, every row must have as many cells, and there must be a row. A blank line has no cells and is a fault
+    like a ragged row; a row of empty cells is only counted. A file without a first line is empty; one that isn't UTF-8 is reported as
+    such, with the counts of its single-byte reading. `first_fault` is the line where the first faulty record begins.
     """
-    groups = csv_groups(spark, paths)
-    reports = [
-        csv_group_contract(spark, group, names, encoding, fields, multi_line) for (encoding, names), group in groups.items()
-    ]
-    found = {file_name_of(path) for group in groups.values() for path in group}
-    nothing = [(path, 0, 0, 0, "empty") for path in paths if file_name_of(path) not in found]
-    if nothing or not reports:
-        schema = "path string, records long, ragged_records long, blank_records long, status string"
-        reports.append(spark.createDataFrame(nothing, schema))
-    return reduce(DataFrame.unionByName, reports)
-
-
-def file_name_of(path: str) -> str:
-    """A path as the listing writes it: local ones with or without their scheme are one."""
-    return "/" + path.removeprefix("file:").lstrip("/") if path.startswith(("file:", "/")) else path
-
-
-def csv_group_contract(spark, paths, names, encoding, fields, multi_line) -> DataFrame:
-    header_ok = len(names) == len(fields) and set(names) == set(fields)
-    positional = [f"c{i}" for i in range(len(names))]
-    rows = read_csv(spark, paths, positional, encoding, multi_line, corrupt=True)
-    # Both short and long rows are kept in the corrupt-record column.
-    # The CSV source refuses a query on that column alone, so one expression looks at all of them.
-    fault = F.when(F.isnotnull(CORRUPT), "ragged").when(F.coalesce(*positional).isNull(), "blank")
-    counted = rows.select(F.col(SOURCE_FILE).alias("path"), fault.alias("_fault")).groupBy("path").agg(
-        F.count("*").alias("records"),
-        F.count_if(F.col("_fault") == "ragged").alias("ragged_records"),
-        F.count_if(F.col("_fault") == "blank").alias("blank_records"),
-    )
-    every_file = spark.createDataFrame([(path,) for path in paths], "path string")
+    faults = csv_faults(spark, paths)
+    headers = [row["header"] for row in faults.select("header").distinct().collect()]
+    good = [header for header in headers if sorted(header_names(header)) == sorted(fields)]
     status = (
-        F.when(F.lit(encoding != UTF8), "not_utf8").when(~F.lit(header_ok), "wrong_header").when(F.col("records") == 0, "empty")
-        .when(F.col("ragged_records") > 0, "ragged").otherwise("ok")
+        F.when(~F.col("is_utf8"), "not_utf8").when(~F.col("header").isin(good), "wrong_header").when(~F.col("closed"), "open_quote")
+        .when((F.col("records") == 0) & (F.col("blank_lines") == 0), "empty").when(F.col("first_fault").isNotNull(), "ragged").otherwise("ok")
     )
-    return every_file.join(counted, "path", "left").select(
-        "path", F.coalesce("records", F.lit(0)).alias("records"),
-        F.coalesce("ragged_records", F.lit(0)).alias("ragged_records"),
-        F.coalesce("blank_records", F.lit(0)).alias("blank_records"),
-    ).withColumn("status", status)
+    counts = ["records", "ragged_records", "blank_records", "blank_lines"]
+    found = faults.select("path", *counts, "first_fault", status.alias("status"))
+    empty = unread_files(spark, paths, faults).select(
+        "path", *[F.lit(0).cast("long").alias(name) for name in counts], F.lit(None).cast("long").alias("first_fault"), F.lit("empty").alias("status"))
+    return found.unionByName(empty)
+
+
+def unread_files(spark: SparkSession, paths: Sequence[str], found: DataFrame) -> DataFrame:
+    """`path` of the files that hold nothing, so that no reader sees them. Local paths with or without their scheme are one."""
+    def plain(path: str) -> Column:
+        return F.regexp_replace(path, "^file:/*", "/")
+
+    given = spark.createDataFrame([(path,) for path in paths], "path string")
+    return given.join(found.select(plain("path").alias("_found")), plain("path") == F.col("_found"), "left_anti")
 
 
 def population_contract(

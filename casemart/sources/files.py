@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import csv
 from collections import defaultdict
 from collections.abc import Sequence
 from functools import reduce
@@ -16,22 +15,11 @@ from casemart.operators.columns import clean_headers, quoted
 from casemart.operators.identity import record_identity
 from casemart.reference_values import ENVELOPE_KEYS
 from casemart.sources.catalog import chosen_files
+from casemart.sources.json_arrays import read_json_arrays
 from casemart.sources.paths import SourceNotFound, file_path
+from casemart.sources.records import CORRUPT, header_names, read_csv_records, thai_code_page
 
 UTF8, SINGLE_BYTE_THAI = "UTF-8", "ISO-8859-1"
-CORRUPT = "_corrupt_record"
-
-
-def thai_code_page() -> tuple[str, str]:
-    """Characters read as Latin-1 and what they are in the Thai single-byte code pages.
-
-    Thai letters are one consecutive run, so the table is a rule; the other entries are the code page's
-    punctuation (fixed values).
-    """
-    letters = {code: chr(0x0E01 + code - 0xA1) for code in range(0xA1, 0xFC) if not 0xDB <= code <= 0xDE}
-    punctuation = {0x80: "€", 0x85: "…", 0x91: "‘", 0x92: "’", 0x93: "“", 0x94: "”", 0x95: "•", 0x96: "–", 0x97: "—"}
-    table = {**letters, **punctuation}
-    return "".join(map(chr, table)), "".join(table.values())
 
 
 def string_schema(names: Sequence[str], corrupt: bool = False) -> T.StructType:
@@ -53,10 +41,6 @@ def file_heads(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
     )
 
 
-def header_names(head: str) -> tuple[str, ...]:
-    return tuple(name.replace("\ufeff", "").strip() for name in next(csv.reader([head]), []))
-
-
 def csv_groups(spark: SparkSession, paths: Sequence[str]) -> dict[tuple[str, tuple[str, ...]], list[str]]:
     """Files that can be read together: same encoding, same header (runs a job; one row per file).
 
@@ -125,22 +109,35 @@ def flatten_envelope(df: DataFrame, keys: Sequence[str] = ENVELOPE_KEYS) -> Data
 
 
 def read_case_files(spark: SparkSession, paths: Sequence[str], multi_line: bool = True) -> DataFrame:
-    """All chosen files as one table: absent columns are NULL, rows of CSV files get a record id."""
+    """All chosen files as one table: absent columns are NULL, rows of CSV files get a record id.
+
+    Records with quoted line breaks and JSON arrays are put together from pieces, so files of any size are read by many tasks. Where no cell holds a
+    line break, `multi_line=False` spares that.
+    """
     if not paths:
         raise SourceNotFound("no case files to read")
+    csv_paths, json_paths = ([path for path in paths if path.endswith(".csv") is is_csv] for is_csv in (True, False))
     frames = []
-    csv_paths = [path for path in paths if path.endswith(".csv")]
-    for (encoding, names), group in (csv_groups(spark, csv_paths) if csv_paths else {}).items():
-        frame = read_csv(spark, group, names, encoding, multi_line)
+    for names, frame in csv_tables(spark, csv_paths, multi_line) if csv_paths else []:
         # Folder and name: files of one name in several folders stay apart, and ids survive a move of the whole lake.
         named = frame.withColumn("_file", F.substring_index(SOURCE_FILE, "/", -2))
         frames.append(record_identity(named, names, "_file").drop("_file", "_print", "_occurrence"))
-    # Each JSON file may be wrapped differently, and there is one file per year.
-    frames += [read_json(spark, [path]) for path in paths if not path.endswith(".csv")]
+    if json_paths:
+        arrays, others = read_json_arrays(spark, json_paths, SOURCE_FILE)
+        frames += [arrays] if arrays is not None else []
+        # Each document may be wrapped differently, and there is one file per year.
+        frames += [read_json(spark, [path]) for path in others]
     merged = reduce(lambda left, right: left.unionByName(right, allowMissingColumns=True), map(clean_headers, frames))
     return merged.drop(CORRUPT)
 
 
+def csv_tables(spark: SparkSession, paths: Sequence[str], multi_line: bool = True) -> list[tuple[tuple[str, ...], DataFrame]]:
+    """(header, cells and their file) for each header among the files. Runs jobs."""
+    if multi_line:
+        return read_csv_records(spark, paths, SOURCE_FILE)
+    return [(names, read_csv(spark, group, names, encoding, multi_line)) for (encoding, names), group in csv_groups(spark, paths).items()]
+
+
 def read_cases(spark: SparkSession, location: str, multi_line: bool = True) -> DataFrame:
     """The newest file of every year under a folder or glob, local or remote."""
     return read_case_files(spark, chosen_files(spark, location), multi_line)
