@@ -117,13 +117,13 @@ def _disclosing(base: DataFrame, texts: DataFrame, scratch: Scratch, disclosure:
     rows = float(base.count())
     mentions = docs.select("doc", "copies", F.explode("values").alias("value"))
     values = mentions.groupBy("value").agg(*_documents_of("value")).where((F.col("different") >= support) & (F.col("n_value") < rows))
-    entities = scratch.store(values.select("value", "n_value", F.concat_ws(":", "where", "n_value").alias("value_class")), "entities")
+    entities = values.select("value", "n_value", F.concat_ws(":", "where", "n_value").alias("value_class"))
     doc_values = scratch.store(mentions.join(entities, "value").select("doc", "copies", "value_class", "n_value").distinct(), "doc-values")
     # terms move once for each different document that has a protected value
     near = docs.join(doc_values.select(F.col("doc").alias("of")).distinct(), F.col("doc") == F.col("of")).select("doc", "copies", F.explode("terms").alias("term"))
     known = near.groupBy("term").agg(*_documents_of("near")).where(F.col("different") >= support)
     term_count = texts.select(F.explode(_terms_of("text")).alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("n_term"))
-    terms = scratch.store(known.join(term_count, "term").select("term", "n_term", F.concat_ws(":", "where", "n_term").alias("term_class")), "terms")
+    terms = known.join(term_count, "term").select("term", "n_term", F.concat_ws(":", "where", "n_term").alias("term_class"))
     doc_terms = scratch.store(near.join(terms, "term").select("doc", "term", "n_term", "term_class"), "doc-terms")
     classes = doc_terms.select("doc", "n_term", "term_class").distinct()
     rare = F.col("n_term") <= F.pow(F.lit(rows), F.lit(1 - disclosure)) * F.pow("n_value", F.lit(disclosure)) * (1 + 1e-9)
@@ -131,11 +131,11 @@ def _disclosing(base: DataFrame, texts: DataFrame, scratch: Scratch, disclosure:
     both = pairs.groupBy("value_class", "term_class").agg(
         F.count(F.lit(1)).alias("different"), F.sum("copies").alias("n_both"), F.first("n_value").alias("n_value"), F.first("n_term").alias("n_term"))
     strength = F.log(F.lit(rows) * F.col("n_both") / (F.col("n_term") * F.col("n_value"))) / F.log(F.lit(rows) / F.col("n_value"))
-    strong = scratch.store(both.where(F.col("different") >= support).withColumn("strength", strength).where(F.col("strength") >= disclosure).select(
-        "value_class", "term_class", "strength"), "strong")
+    strong = both.where(F.col("different") >= support).withColumn("strength", strength).where(F.col("strength") >= disclosure).select(
+        "value_class", "term_class", "strength")
     told = pairs.select("doc", "value_class", "term_class").join(strong, ["value_class", "term_class"]).groupBy("doc", "term_class").agg(F.max("strength").alias("strength"))
     out = scratch.store(told.join(doc_terms.select("doc", "term_class", "term"), ["doc", "term_class"]).select("doc", "term", "strength"), "told")
-    scratch.drop("holders", "docs", "entities", "doc-values", "terms", "doc-terms", "strong")
+    scratch.drop("holders", "docs", "doc-values", "doc-terms")
     return out
 
 
