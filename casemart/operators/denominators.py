@@ -63,14 +63,18 @@ def no_population(cases: DataFrame) -> DataFrame:
 
 
 def yearly_reference(source: DataFrame, year_be: int, province: str = ref.CITY_PROVINCE) -> DataFrame:
-    """One year's reference table out of an official file, narrowed to a province, summed per district."""
+    """One year's reference table out of an official file, narrowed to a province, summed per district.
+
+    A file that states a year and has rows of another year, or of none, is not that year's reference: the query itself fails
+    with the years it found.
+    """
     spelled = ref.OFFICIAL_POPULATION_COLUMNS
     district = quoted(required_column(source, spelled["district_name"], "district"))
     people = quoted(required_column(source, spelled["population"], "population"))
     in_province = find_column(source, spelled["province"])
     local = source if in_province is None else source.where(quoted(in_province).contains(province))
     named = local.select(
-        official_year(source, year_be).alias("year_be"),
+        expected_year(source, year_be).alias("year_be"),
         standardize_name(district, DENOMINATOR_RULES).alias("district_name"),
         to_numeric(people).alias("population"),
     )
@@ -95,6 +99,18 @@ def official_year(source: DataFrame, year_be: int) -> Column:
     return F.lit(year_be) if found is None else to_numeric(quoted(found)).try_cast("int")
 
 
+def expected_year(source: DataFrame, year_be: int) -> Column:
+    """The year of every row, or an error at run time that every result depends on. A file whose years are all missing passes without years."""
+    if find_column(source, ref.OFFICIAL_POPULATION_COLUMNS["year"]) is None:
+        return F.lit(year_be)
+    stated = F.concat(F.coalesce(F.col("year_be").cast("string"), F.lit("none")), F.lit(" ("), F.col("rows").cast("string"), F.lit(" rows)"))
+    others = foreign_years(source, year_be).orderBy("year_be").limit(20)
+    found = others.agg(F.array_join(F.collect_list(stated), ", ")).scalar()
+    any_year = source.agg(F.count(official_year(source, year_be))).scalar()
+    message = F.concat(F.lit(f"expected the year {year_be}, found "), found)
+    return F.when((found != "") & (any_year > 0), F.raise_error(message).cast("int")).otherwise(official_year(source, year_be))
+
+
 def foreign_years(source: DataFrame, year_be: int) -> DataFrame:
     """Rows per year other than the expected one; a file with any of them is not that year's reference."""
     year = official_year(source, year_be)

@@ -22,10 +22,6 @@ PASS, FAIL, SKIP = "PASS", "FAIL", "SKIP"
 INFORMATIONAL = "informational"
 LINEAGE_COLUMNS = ("_source_file", "_record_id", "_id")
 REQUIRED_COLUMNS = ("year_be", "disease_name_raw", "district_name_raw", "case_count", "report_date", "age")
-REASONS = (
-    "district_not_in_bangkok", "invalid_age", "invalid_case_count", "invalid_or_missing_report_date", "invalid_year",
-    "missing_disease_name", "missing_district_name",
-)
 RATE_TOLERANCE = 0.01
 
 
@@ -53,15 +49,26 @@ def raw_metrics(raw: DataFrame) -> DataFrame:
 
 
 def case_metrics(tagged: DataFrame, settings: Settings) -> DataFrame:
-    clean = F.isnull(REASON)
+    """Counts of the tagged layer, and a map of rows by reason, whatever reasons its rules have. One scan, grouped by reason first."""
     date_year = F.year("report_date") + F.lit(BUDDHIST_OFFSET)
-    return tagged.agg(
-        F.count_if(clean).alias("clean_rows"),
-        F.count_if(~clean).alias("quarantined_rows"),
+    by_reason = tagged.groupBy(F.col(REASON).alias("reason")).agg(
+        F.count(F.lit(1)).alias("rows"),
         F.count_if(F.isnull("report_date")).alias("missing_dates"),
-        F.count_if(clean & ~F.col("age").between(0, settings.maximum_age)).alias("invalid_ages"),
-        F.count_if(clean & (F.col("year_be") != date_year)).alias("year_mismatches"),
-        *[F.count_if(F.col(REASON) == reason).alias(f"reason_{reason}") for reason in REASONS],
+        F.count_if(~F.col("age").between(0, settings.maximum_age)).alias("odd_ages"),
+        F.count_if(F.col("year_be") != date_year).alias("odd_years"),
+    )
+    clean = F.isnull("reason")
+
+    def total(counted: Column | str) -> Column:
+        return F.coalesce(F.sum(counted), F.lit(0))
+
+    return by_reason.agg(
+        total(F.when(clean, F.col("rows"))).alias("clean_rows"),
+        total(F.when(~clean, F.col("rows"))).alias("quarantined_rows"),
+        total("missing_dates").alias("missing_dates"),
+        total(F.when(clean, F.col("odd_ages"))).alias("invalid_ages"),
+        total(F.when(clean, F.col("odd_years"))).alias("year_mismatches"),
+        F.array_sort(F.collect_list(F.when(~clean, F.struct("reason", "rows")))).alias("reasons"),
     )
 
 
@@ -123,7 +130,7 @@ def one_wide_row(parts: list[DataFrame]) -> DataFrame:
 
 def report_row(layer: str, rule: str | Column, observed: Column, threshold: str, status: Column | str) -> Column:
     return F.struct(
-        F.lit(layer).alias("layer"), F.lit(rule).alias("rule"), observed.cast("string").alias("observed"),
+        F.lit(layer).alias("layer"), (rule if isinstance(rule, Column) else F.lit(rule)).alias("rule"), observed.cast("string").alias("observed"),
         F.lit(threshold).alias("threshold"), F.lit(status).alias("status"),
     )
 
@@ -195,7 +202,6 @@ def quality_report(
         count("clean", "quarantined_rows", c("quarantined_rows")),
         count("clean", "year_be_vs_report_date_mismatch_rows", c("year_mismatches")),
         count("raw", "identical_source_rows_kept", c("identical_rows")),
-        *[count("clean", f"quarantined_{reason}", F.nullif(c(f"reason_{reason}"), F.lit(0))) for reason in REASONS],
     ]
     if "filled_years" in present:
         years = F.coalesce(F.nullif(c("filled_years"), F.lit("")), F.lit("none"))
@@ -206,8 +212,10 @@ def quality_report(
             none("warehouse", "fact_primary_key_unique", c("fact_duplicate_keys")),
             none("warehouse", "fact_date_key_in_dim_date", c("unmatched_dates")),
         ]
-    # Reasons that never occurred have no observed value and no row.
-    return wide.select(F.inline(F.array(*rules))).where("observed is not null")
+    # One row for each reason that occurred; other rules without a value have no row.
+    by_reason = F.transform(c("reasons"), lambda found: report_row(
+        "clean", F.concat(F.lit("quarantined_"), found["reason"]), found["rows"], INFORMATIONAL, PASS))
+    return wide.select(F.inline(F.concat(F.array(*rules), by_reason))).where("observed is not null")
 
 
 def failing_rules(report: DataFrame) -> DataFrame:

@@ -111,6 +111,13 @@ def fact_population(population: DataFrame, dim_district: DataFrame) -> DataFrame
     )
 
 
+def stored_star(spark: SparkSession, domain: CaseDomain, folder: str) -> Star:
+    """The star that `build_star` has stored below `folder`."""
+    labels = {"dim_age_group": age_groups(spark, domain), "dim_sex": sexes(spark, domain)}
+    names = [field.name for field in fields(Star) if field.name not in labels]
+    return Star.of({**labels, **{name: spark.read.parquet(f"{folder}/{name}") for name in names}})
+
+
 def build_star(
     cases: DataFrame, population: DataFrame, domain: CaseDomain, folder: str, ids_unique: bool = False
 ) -> Star:

@@ -12,8 +12,8 @@ from casemart.operators.cases import SOURCE_FILE
 from casemart.operators.columns import clean_headers, find_column
 from casemart.functions import year_from_path
 from casemart.reference_values import POPULATION_COLUMNS
-from casemart.sources.files import csv_groups, read_csv
 from casemart.sources.paths import SourceNotFound, list_files
+from casemart.sources.records import read_csv_records
 
 
 def is_population(names: Sequence[str]) -> bool:
@@ -26,12 +26,8 @@ def read_population(spark: SparkSession, location: str) -> DataFrame:
     Files without a district and a population column are skipped; having none at all is `SourceNotFound`.
     """
     listed = list_files(spark, location).where(F.lower("path").endswith(".csv")).select("path").collect()
-    groups = csv_groups(spark, [row.path for row in listed]) if listed else {}
-    frames = [
-        clean_headers(read_csv(spark, paths, names, encoding))
-        for (encoding, names), paths in groups.items()
-        if is_population(names)
-    ]
+    tables = read_csv_records(spark, [row.path for row in listed], SOURCE_FILE) if listed else []
+    frames = [clean_headers(table) for names, table in tables if is_population(names)]
     if not frames:
         raise SourceNotFound(f"no population file with district and population columns at {location}")
     merged = reduce(lambda left, right: left.unionByName(right, allowMissingColumns=True), frames)
