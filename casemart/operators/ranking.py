@@ -2,11 +2,16 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType
 
+from casemart.operators.columns import quoted
+from casemart.operators.storage import materialize
+
 # Fixed number of ranges; it bounds what reaches the driver and the plan, not what is numbered.
 RANGES = 64
 
@@ -42,6 +47,21 @@ def dense_keys(values: DataFrame, column: str, key: str, ranges: int = RANGES) -
     )
 
 
+def positioned(df: DataFrame, order: Sequence[str | Column], path: str, position: str = "position") -> DataFrame:
+    """`df` with every row's place, from 1, in a total order of `order` (runs a job that writes `path`).
+
+    Rows are sorted within ranges; a row's position is its place within its range plus the number of rows in the ranges before it, of which
+    there is one for each task. The stored ranges are read back, so positions don't change when a task is retried.
+    """
+    ranged = df.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("_place", F.monotonically_increasing_id())
+    stored = materialize(ranged, path).withColumn("_range", F.shiftright("_place", 33))
+    sizes = stored.groupBy("_range").agg(F.count("*").alias("_size"))
+    before = W.orderBy("_range").rowsBetween(W.unboundedPreceding, -1)
+    starts = sizes.select("_range", F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_start"))
+    place = F.col("_place") - F.shiftleft("_range", 33) + F.col("_start") + 1
+    return stored.join(starts, "_range").select(*[quoted(name) for name in df.columns], place.alias(position))
+
+
 def dense_rank_desc(df: DataFrame, column: str, rank: str) -> DataFrame:
     """Add the dense rank of `column`, largest first; NULL ranks as zero would."""
     valued = df.withColumn("_negated", -F.coalesce(F.col(column), F.lit(0)))

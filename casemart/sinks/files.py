@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from casemart.operators.quality import failing_rules
+from casemart.operators.ranking import positioned
 
 # Text is written as it is: blanks kept, quotes doubled.
 CSV_OPTIONS = {
@@ -23,15 +24,15 @@ def write_parquet(df: DataFrame, path: str, partition_by: Sequence[str] = (), ov
 
 
 def write_export(df: DataFrame, path: str, fmt: str, overwrite: bool = True, single_file: bool = False) -> None:
-    """A directory at `path` with as many files as `df` has partitions or, if the caller asks for it, the one file `path`.
+    """CSV, Parquet or lines of text: a directory at `path` with as many files as `df` has partitions or, if the caller asks for it, the one file `path`.
 
     One file means one writing task, so it is for results whose size is bounded, such as reports and small dimensions.
     The file is written beside its target and renamed, on any file system that Spark reaches.
     """
-    if fmt not in ("csv", "parquet"):
+    if fmt not in ("csv", "parquet", "text"):
         raise ValueError(f"unsupported export format {fmt}")
     mode = "overwrite" if overwrite else "errorifexists"
-    options = CSV_OPTIONS if fmt == "csv" else {"compression": "snappy"}
+    options = {"csv": CSV_OPTIONS, "parquet": {"compression": "snappy"}, "text": {}}[fmt]
     if not single_file:
         df.write.mode(mode).options(**options).format(fmt).save(path)
         return
@@ -42,7 +43,7 @@ def write_export(df: DataFrame, path: str, fmt: str, overwrite: bool = True, sin
     if store.exists(target) and not overwrite:
         raise FileExistsError(f"{path} exists; pass overwrite=True to replace it")
     df.coalesce(1).write.mode("overwrite").options(**options).format(fmt).save(staging.toString())
-    part = store.globStatus(path_of(staging, f"part-*.{fmt}"))[0].getPath()
+    part = store.globStatus(path_of(staging, "part-*"))[0].getPath()
     store.delete(target, True)
     store.rename(part, target)
     store.delete(staging, True)
@@ -78,6 +79,11 @@ EXPORT_ORDER: dict[str, tuple[str, ...]] = {
 }
 
 
+def positioned_export(name: str, table: DataFrame, path: str) -> DataFrame:
+    """A table with the position of every row in its export order (runs a job that writes `path`)."""
+    return positioned(table, EXPORT_ORDER[name], path)
+
+
 def ordered_export(name: str, table: DataFrame) -> DataFrame:
     """A table in its export order; dates stay dates."""
     return table.orderBy(*EXPORT_ORDER[name])

@@ -8,7 +8,6 @@ import uuid
 from py4j.protocol import Py4JJavaError
 from pyspark.sql import SparkSession
 
-from casemart.sources.paths import SourceNotFound, list_files
 
 
 def _store_of(spark: SparkSession, path: str):
@@ -61,9 +60,8 @@ def write_text(spark: SparkSession, path: str, text: str) -> None:
 
 def read_text(spark: SparkSession, path: str) -> str | None:
     """A file's content, None if there is no file or nothing in it."""
-    try:
-        list_files(spark, path)
-    except SourceNotFound:
+    target, store = _store_of(spark, path)
+    if not store.exists(target):
         return None
     row = spark.read.text(path, wholetext=True).first()
     return row and row[0]

@@ -135,12 +135,13 @@ def table_constraints(kind):
     return run
 
 
-def constraint_sql(kind: str) -> str:
+def constraint_sql(kind: str, contracts=TABLE_CONTRACTS) -> str:
     parts = []
-    for name, rules in TABLE_CONTRACTS.items():
+    for name, rules in contracts.items():
         if kind == "UNIQUE":
-            parts += [(name, ", ".join(k), f"SELECT count(*) FROM (SELECT 1 FROM {name} GROUP BY {', '.join(k)} HAVING count(*) > 1)")
-                      for k in rules.unique]
+            # a key that isn't complete is a violation for each of its rows
+            parts += [(name, ", ".join(k), f"SELECT CAST(count(*) FILTER (c AND n > 1) + coalesce(sum(n) FILTER (NOT c), 0) AS BIGINT) FROM (SELECT {' AND '.join(f'{x} IS NOT NULL' for x in k)} AS c, "
+                                           f"count(*) AS n FROM {name} GROUP BY {', '.join(k)})") for k in rules.unique]
         if kind == "NOT NULL":
             parts += [(name, c, f"SELECT count(*) FROM {name} WHERE {c} IS NULL") for c in rules.required]
         if kind == "CHECK":
@@ -153,22 +154,39 @@ def constraint_sql(kind: str) -> str:
         f"CASE WHEN n = 0 THEN 'PASS' ELSE 'FAIL' END AS status FROM ({count}) t(n)" for name, label, count in parts)
 
 
+STAR_TABLES = {name: rules for name, rules in constraints.STAR_CONTRACTS.items() if name != "data_quality"}
+STAR_SQL = "SELECT kind, status, count(*) AS constraints, CAST(sum(violations) AS BIGINT) AS violations FROM (" + "\nUNION ALL ".join(
+    f"SELECT * FROM ({constraint_sql(kind, STAR_TABLES)})" for kind in constraints.KINDS) + ") GROUP BY kind, status"
+
+
 def star_constraints(spark, sf_dir):
-    return constraints.check_constraints(order_star(spark, sf_dir).tables()).groupBy("kind", "status").agg(
-        F.count("*").alias("constraints"))
+    return summed_constraints(order_star(spark, sf_dir).tables())
+
+
+def summed_constraints(tables):
+    return constraints.check_constraints(tables).groupBy("kind", "status").agg(
+        F.count("*").alias("constraints"), F.sum("violations").alias("violations"))
+
 
+def broken_star(spark, sf_dir):
+    """The star with copies of facts, counts below zero, unknown sexes and places, and diseases without a name."""
+    tables = order_star(spark, sf_dir).tables()
+    fact, odd = tables["fact_disease_cases"], F.col("disease_key") % 2 == 1
+    tables["fact_disease_cases"] = fact.withColumns({
+        "total_cases": F.when(F.col("date_key") % 5 == 0, -F.col("total_cases")).otherwise(F.col("total_cases")),
+        "sex": F.when(F.col("date_key") % 7 == 0, "?").otherwise(F.col("sex"))}).unionByName(fact.where("date_key % 11 = 0"))
+    tables["dim_disease"] = tables["dim_disease"].withColumn("disease_name", F.when(~odd, F.col("disease_name")))
+    tables["dim_district"] = tables["dim_district"].where("district_key % 4 <> 0")
+    return summed_constraints(tables)
 
-def count_by_kind() -> str:
-    from collections import Counter
 
-    kinds = Counter()
-    for name, rules in constraints.STAR_CONTRACTS.items():
-        if name != "data_quality":
-            kinds.update({"NOT NULL": len(rules.required), "CHECK": len(rules.checks), "UNIQUE": len(rules.unique),
-                          "FOREIGN KEY": len(rules.foreign)})
-    values = ", ".join(f"('{kind}', {n})" for kind, n in sorted(kinds.items()))
-    return (f"SELECT kind, 'PASS' AS status, CAST(n AS BIGINT) AS constraints FROM (VALUES {values}) t(kind, n) "
-            "WHERE (SELECT count(*) FROM orders) > 0")
+BROKEN_STAR_SQL = o.over_orders(
+    STAR_SQL.replace("fact_disease_cases", "broken_facts").replace("dim_disease", "broken_diseases").replace("dim_district", "broken_districts"),
+    """broken_facts AS (
+  SELECT * REPLACE (CASE WHEN date_key % 5 = 0 THEN -total_cases ELSE total_cases END AS total_cases, CASE WHEN date_key % 7 = 0 THEN '?' ELSE sex END AS sex)
+  FROM fact_disease_cases UNION ALL SELECT * FROM fact_disease_cases WHERE date_key % 11 = 0)""",
+    "broken_diseases AS (SELECT * REPLACE (CASE WHEN disease_key % 2 = 0 THEN disease_name END AS disease_name) FROM dim_disease)",
+    "broken_districts AS (SELECT * FROM dim_district WHERE district_key % 4 <> 0)")
 
 
 def names_apart(spark, sf_dir):
@@ -249,5 +267,6 @@ QUERIES = {
     "ck_foreign_key": (table_constraints("FOREIGN KEY"), constraint_sql("FOREIGN KEY")),
     "ck_check": (table_constraints("CHECK"), constraint_sql("CHECK")),
     "ck_not_null": (table_constraints("NOT NULL"), constraint_sql("NOT NULL")),
-    "ck_star": (star_constraints, count_by_kind()),
+    "ck_star": (star_constraints, o.over_orders(STAR_SQL)),
+    "ck_star_broken": (broken_star, BROKEN_STAR_SQL),
 }

@@ -14,7 +14,7 @@ from casemart.sources import catalog, contract, landing, profile
 from casemart.sources.files import csv_groups, flatten_envelope, read_case_files, read_csv
 from casemart.sources.paths import list_files
 from workload import oracle as o
-from workload.frames import DOMAIN, SETTINGS, feed, layers, order_gold, order_star, stored_feed, table
+from workload.frames import DOMAIN, SETTINGS, feed, layers, order_gold, order_layers, order_star, stored_feed, table
 
 # The feed's columns as the raw contract names them.
 FEED_FIELDS = ("_id", "วันที่เริ่มป่วย", "ปี", "ชื่อกลุ่มโรค", "อำเภอ/เขต", "เพศ", "อายุ (เต็ม) ปี", "จำนวน")
@@ -174,8 +174,8 @@ def found_columns(spark, sf_dir):
     """Columns resolved by spelling, shown as the counts of what they hold."""
     raw = feed(spark, sf_dir)
     spelled = DOMAIN.case_columns
-    picks = {name: find_column(raw, spelled[name]) for name in ("case_id", "report_date", "disease_name", "age")}
-    return raw.agg(*[F.count(f"`{column}`").alias(name) for name, column in picks.items()])
+    picks = {name: find_column(raw, spellings) for name, spellings in spelled.items()}
+    return raw.agg(*[F.count(f"`{column}`").alias(name) for name, column in picks.items() if column])
 
 
 def parquet_round_trip(spark, sf_dir):
@@ -221,9 +221,8 @@ PUBLISH_SQL = o.over_feed(
 
 
 def order_snapshot(spark, sf_dir):
-    star = order_star(spark, sf_dir)
-    quality = spark.createDataFrame([], "layer string, rule string, observed string, threshold string, status string")
-    return snapshot.snapshot(star, quality)
+    found = order_layers(spark, sf_dir)
+    return snapshot.snapshot(found.star, quality_report(found, SETTINGS, DOMAIN))
 
 
 def section_sql(name, source, payload, order, chunk):
@@ -256,7 +255,8 @@ SNAPSHOT_SQL = o.over_orders("\nUNION ALL ".join([
                 "district_key", "year_be || '-' || (district_key // 1000)"),
     section_sql("period", "vw_year_period", record_sql(y=("year_be", 0), months=("months_covered", 0), label=("period_label", 1)),
                 "year_be", "'all'"),
-]))
+    section_sql("dq", "report", record_sql(**{name: (name, 1) for name in ("layer", "rule", "observed", "threshold", "status")}), "layer, rule", "'all'"),
+]), o.GOLD, o.ORDER_LAYERS, o.quality())
 
 
 # -- profiles --------------------------------------------------------------------------------------
@@ -268,13 +268,16 @@ def profile_sql(name: str, columns: list[str]) -> str:
             f"count(*) - (SELECT count(*) FROM (SELECT DISTINCT {', '.join(columns)} FROM {name})) AS duplicate_rows FROM {name}")
 
 
+DOCUMENT_COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
+
+
 def labelled_documents(spark, sf_dir):
     """Documents with their labels where they have any."""
     return table(spark, sf_dir, "documents").join(table(spark, sf_dir, "labels"), "doc_id", "left").select(
-        "text", "lang", "source", "quality", "toxic")
+        *DOCUMENT_COLUMNS, "quality", "toxic")
 
 
-LABELLED_SQL = "labelled AS (SELECT text, lang, source, quality, toxic FROM documents LEFT JOIN labels USING (doc_id))"
+LABELLED_SQL = "labelled AS (SELECT doc_id, text, lang, source, n_chars, quality, toxic FROM documents LEFT JOIN labels USING (doc_id))"
 VALUE_COUNTS_SQL = "\nUNION ALL ".join(
     f"SELECT '{c}' AS column_name, CAST({c} AS VARCHAR) AS value, count(*) AS rows FROM labelled GROUP BY ALL" for c in ("lang", "source", "quality"))
 
@@ -301,7 +304,7 @@ QUERIES = {
         o.query(o.FEED, select=f"SELECT {FILE_YEAR.replace('file_year', 'year_be')}, count(*) AS records, TRUE AS complete FROM feed GROUP BY ALL")),
     "raw_profile": (
         lambda s, d: profile.table_profile(labelled_documents(s, d)),
-        o.query(LABELLED_SQL, select=profile_sql("labelled", ["text", "lang", "source", "quality", "toxic"]))),
+        o.query(LABELLED_SQL, select=profile_sql("labelled", [*DOCUMENT_COLUMNS, "quality", "toxic"]))),
     "raw_value_counts": (
         lambda s, d: profile.value_counts(labelled_documents(s, d), ["lang", "source", "quality"]),
         o.query(LABELLED_SQL, select=VALUE_COUNTS_SQL)),
@@ -312,7 +315,7 @@ QUERIES = {
     "raw_missing": (
         lambda s, d: profile.missing_cells(labelled_documents(s, d)),
         o.query(LABELLED_SQL, select=" UNION ALL ".join(
-            f"SELECT '{c}' AS column_name, count(*) - count({c}) AS missing_cells FROM labelled" for c in ("text", "lang", "source", "quality", "toxic")))),
+            f"SELECT '{c}' AS column_name, count(*) - count({c}) AS missing_cells FROM labelled" for c in (*DOCUMENT_COLUMNS, "quality", "toxic")))),
     "raw_date_range": (
         raw_date_range,
         o.query(o.FEED, select=f"SELECT min(x) AS earliest, max(x) AS latest, count(*) - count(x) AS unreadable FROM (SELECT {o.date('onset')} AS x FROM feed)")),
@@ -322,7 +325,8 @@ QUERIES = {
         "FROM lineitem WHERE l_returnflag IN ('A', 'N')"),
     "src_columns": (
         found_columns,
-        o.query(o.FEED, select="SELECT count(id) AS case_id, count(onset) AS report_date, count(disease) AS disease_name, count(age) AS age FROM feed")),
+        o.query(o.FEED, select="SELECT count(id) AS case_id, count(onset) AS report_date, count(stated_year) AS year, count(disease) AS disease_name, "
+                               "count(district) AS district_name, count(sex) AS sex, count(age) AS age, count(cases) AS case_count FROM feed")),
     "src_envelope": (
         envelope,
         "SELECT o_orderkey AS id, o_orderpriority AS kind, 'f' || (o_orderkey % 10) AS _source_file FROM orders "

@@ -14,7 +14,7 @@ from casemart.operators.denominators import carry_forward, clean_population
 from casemart.operators.gold import gold_table
 from casemart.operators.identity import assign_case_id, keep_latest
 from casemart.operators.quality import Layers, quality_report
-from casemart.operators.rules import case_rules, clean_rows, tag
+from casemart.operators.rules import REASON, case_rules, clean_rows, tag
 from casemart.operators.star import Star, build_star
 from casemart.operators.storage import materialize, scratch_path
 
@@ -95,6 +95,16 @@ def order_star(spark: SparkSession, sf_dir: str) -> Star:
     return build_star(cases, carry_forward(order_population(spark, sf_dir), years), DOMAIN, scratch_path(spark, "star"), ids_unique=True)
 
 
+def order_layers(spark: SparkSession, sf_dir: str) -> Layers:
+    """The layers of orders, which are clean from the start."""
+    cases = order_cases(spark, sf_dir)
+    named = cases.withColumns({"disease_name_raw": F.col("disease_name"), "district_name_raw": F.col("district_name")})
+    population = materialize(carry_forward(order_population(spark, sf_dir), cases.select("year_be")), scratch_path(spark, "population"))
+    gold = materialize(gold_table(cases, population, ids_unique=True), scratch_path(spark, "gold"))
+    star = build_star(cases, population, DOMAIN, scratch_path(spark, "star"), ids_unique=True)
+    return Layers(cases, named.withColumn(REASON, F.lit(None).cast("string")), cases, cases, gold, star, population)
+
+
 # -- line items as untidy raw records --------------------------------------------------------------
 
 

@@ -390,6 +390,12 @@ def over_orders(select: str, *extra: str) -> str:
     return query(ORDER_CASES, ORDER_POPULATION, FILLED, STAR, VIEWS, *extra, select=select)
 
 
+#: The layers of orders under the names that the report uses.
+ORDER_LAYERS = """feed AS (SELECT case_id AS onset, report_date AS stated_year, disease_name AS disease, district_name AS district, sex, age, case_count AS cases FROM cases),
+tagged AS (SELECT *, CAST(NULL AS VARCHAR) AS _quarantine_reason FROM cases),
+identified AS (SELECT * FROM cases)"""
+
+
 def over_feed(select: str, *extra: str) -> str:
     return query(FEED, CANONICAL, TAGGED, IDENTIFIED, DEDUPLICATED, STANDARDIZED, FEED_POPULATION, FILLED, GOLD, STAR,
                  *extra, select=select)
