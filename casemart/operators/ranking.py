@@ -62,6 +62,17 @@ def positioned(df: DataFrame, order: Sequence[str | Column], path: str, position
     return stored.join(starts, "_range").select(*[quoted(name) for name in df.columns], place.alias(position))
 
 
+def running_total(df: DataFrame, position: str, value: str, total: str, block: int = 4096) -> DataFrame:
+    """Add the sum of `value` over all rows of a smaller position: inside blocks of positions, plus the blocks before."""
+    blocked = df.withColumn("_block", F.floor(F.col(position) / block))
+    sums = blocked.groupBy("_block").agg(F.sum(value).alias("_sum"))
+    before = W.orderBy("_block").rowsBetween(W.unboundedPreceding, -1)
+    starts = sums.select("_block", F.coalesce(F.sum("_sum").over(before), F.lit(0)).alias("_start"))
+    inside = W.partitionBy("_block").orderBy(position).rowsBetween(W.unboundedPreceding, -1)
+    summed = blocked.join(starts, "_block").withColumn(total, F.col("_start") + F.coalesce(F.sum(value).over(inside), F.lit(0)))
+    return summed.drop("_block", "_start")
+
+
 def dense_rank_desc(df: DataFrame, column: str, rank: str) -> DataFrame:
     """Add the dense rank of `column`, largest first; NULL ranks as zero would."""
     valued = df.withColumn("_negated", -F.coalesce(F.col(column), F.lit(0)))

@@ -15,11 +15,13 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from casemart.operators.constraints import check_constraints
-from casemart.operators.star import Star
+from casemart.operators.star import FACT_KEY, Star
 from casemart.sinks.files import write_parquet
 from casemart.sinks.small_files import create_exclusively
 from casemart.sources.paths import found, list_files
 
+#: Facts lie in a folder for each month, so that a filter on the calendar reads the folders of its months only.
+STORED_BY_MONTH = ("fact_disease_cases",)
 ENTRY_SCHEMA = "run_id string, loaded_at timestamp, source string, row_counts map<string,long>"
 AUDIT_SCHEMA = f"load_id long, {ENTRY_SCHEMA}"
 
@@ -64,7 +66,10 @@ def publish(star: Star, quality: DataFrame, root: str, source: str) -> dict[str,
     for name, table in tables.items():
         seen = Observation()
         path = run_path(root, run_id, name)
-        write_parquet(table.observe(seen, F.count(F.lit(1)).alias("rows")), path, overwrite=False)
+        by_month = name in STORED_BY_MONTH
+        # months are cut where they are large, and places lie together within them
+        ordered = table.hint("rebalance", "date_key").sortWithinPartitions("date_key", "district_key") if by_month else table
+        write_parquet(ordered.observe(seen, F.count(F.lit(1)).alias("rows")), path, ["date_key"] if by_month else (), overwrite=False)
         written[name] = seen.get["rows"]
         stored[name] = spark.read.schema(table.schema).parquet(path)
     verify(stored, written)
@@ -110,4 +115,6 @@ def current_mart(spark: SparkSession, root: str) -> tuple[Star, DataFrame]:
         raise FileNotFoundError(f"nothing has been published under {root}")
     names = [*Star.__dataclass_fields__, "data_quality"]
     tables = {name: spark.read.parquet(run_path(root, newest, name)) for name in names}
+    fact = tables["fact_disease_cases"]
+    tables["fact_disease_cases"] = fact.select(*FACT_KEY, *[name for name in fact.columns if name not in FACT_KEY])
     return Star.of(tables), tables["data_quality"]

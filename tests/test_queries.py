@@ -15,7 +15,8 @@ FAST = (
     "gold_incidence", "fn_month", "fn_standardize_name", "fn_age_band", "quarantine_reasons", "dedup_latest",
     "record_identity", "population_clean", "population_contract", "ck_primary_key", "ck_foreign_key",
     "vw_monthly_trend", "vw_year_disease", "demo_top10", "me_mom", "me_district_rank", "rp_share_matrix",
-    "raw_versions", "raw_landing_status", "raw_profile", "raw_contract_csv", "src_csv", "json_snapshot",
+    "raw_versions", "raw_landing_status", "raw_profile", "raw_contract_csv", "src_csv", "json_snapshot", "json_document",
+    "raw_contract_csv_faults", "raw_contract_json_files", "src_mixed_files", "src_population_scan", "run_resumed", "ck_star_broken", "so_gold_positions",
 )
 PLANNED = ("vw_monthly_trend", "vw_year_disease", "population_fill_years", "dedup_items", "me_case_share", "demo_age_sex")
 

@@ -177,6 +177,33 @@ def test_snapshot_sections_add_up(published, tmp_path):
     assert (tmp_path / "snapshot" / "section=fact").is_dir()
 
 
+def test_pieces_join_to_one_document(spark, lake, published, tmp_path):
+    _, star, quality = published
+    audit = publish.read_audit(spark, Layout(str(lake)).mart)
+    pieces = snapshot.document(star, quality, audit, str(tmp_path / "pieces"))
+    snapshot.write_document(pieces, str(tmp_path / "document"))
+    text = "".join(part.read_text(encoding="utf-8") for part in sorted((tmp_path / "document").glob("part-*")))
+    for piece in pieces.collect():
+        assert text.encode()[piece.offset:].startswith(piece.text.encode() + b"\n")
+    found = json.loads(text)
+    assert list(found) == [*snapshot.SECTIONS, "loaded_at"] and len(found["dq"]) == quality.count()
+    assert sum(r[5] for r in found["fact"]) == 802 and found["fact"] == sorted(found["fact"])
+    assert [d["k"] for d in found["dim_district"]] == list(range(1, 51)) and len(found["loaded_at"]) == 16
+    none = publish.Star.of({**star.tables(), "fact_population": star.fact_population.limit(0)})
+    empty = json.loads("\n".join(r.text for r in snapshot.document(none, quality, audit.limit(0), str(tmp_path / "other")).orderBy("position").collect()))
+    assert empty["population"] is None and empty["loaded_at"] is None
+    with pytest.raises(snapshot.EmptyMart):
+        snapshot.document(publish.Star.of({**star.tables(), "fact_disease_cases": star.fact_disease_cases.limit(0)}), quality, audit, str(tmp_path / "none"))
+
+
+def test_a_filter_on_years_reaches_the_files_of_the_facts(published):
+    _, star, quality = published
+    asked = measures.Mart(star, quality).measure("total_cases", {"year_be": [2568]}, ["disease_name"])
+    plan = asked._jdf.queryExecution().executedPlan().toString()
+    assert "dynamicpruning" in plan and "PartitionFilters: [isnotnull(date_key" in plan
+    assert asked.agg(F.sum("total_cases")).first()[0] == 401
+
+
 def test_time_of_the_newest_load(spark):
     audit = spark.createDataFrame([(0,), (86_400,)], "t long").select(F.timestamp_seconds("t").alias("loaded_at"))
     assert snapshot.loaded_at(audit).first().loaded_at == "1970-01-02 07:00"

@@ -93,7 +93,7 @@ def test_envelope_keys_in_order(spark):
 
 
 def test_population_files_in_three_encodings(spark, tmp_path):
-    text = "ปี,เขต,ประชากรรวม\n{},บางกะปิ,140000\n{},ทุ่งครุ,110000\n"
+    text = "ปี,เขต,ประชากรรวม\n{},หนองจอก,7301\n{},สายไหม,9417\n"
     folder = tmp_path / "my data"
     folder.mkdir()
     for year, encoding in ((2566, "cp874"), (2567, "utf-8"), (2568, "utf-8-sig")):
@@ -101,7 +101,7 @@ def test_population_files_in_three_encodings(spark, tmp_path):
     (folder / "other_2569.csv").write_text("a,b\n1,2\n", encoding="utf-8")
     out = read_population(spark, str(folder / "*.csv"))
     assert {tuple(r) for r in out.select("ปี", "เขต", "_source_year", "_source_file").collect()} == {
-        (str(y), d, y, f"population_summary_{y}.csv") for y in (2566, 2567, 2568) for d in ("บางกะปิ", "ทุ่งครุ")}
+        (str(y), d, y, f"population_summary_{y}.csv") for y in (2566, 2567, 2568) for d in ("หนองจอก", "สายไหม")}
 
 
 def test_thai_code_page_rule():

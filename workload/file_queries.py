@@ -225,6 +225,13 @@ def order_snapshot(spark, sf_dir):
     return snapshot.snapshot(found.star, quality_report(found, SETTINGS, DOMAIN))
 
 
+def order_document(spark, sf_dir):
+    """The pieces of one JSON document; the newest order stands for the newest load."""
+    found = order_layers(spark, sf_dir)
+    audit = table(spark, sf_dir, "orders").select(F.to_timestamp_ltz(F.max("o_orderdate").cast("date").cast("string")).alias("loaded_at"))
+    return snapshot.document(found.star, quality_report(found, SETTINGS, DOMAIN), audit, scratch_path(spark, "document"))
+
+
 def section_sql(name, source, payload, order, chunk):
     return (f"SELECT '{name}' AS section, {chunk} AS chunk, count(*) AS records, "
             f"'[' || string_agg({payload}, ',' ORDER BY {order}) || ']' AS payload FROM {source} GROUP BY 2")
@@ -259,6 +266,20 @@ SNAPSHOT_SQL = o.over_orders("\nUNION ALL ".join([
 ]), o.GOLD, o.ORDER_LAYERS, o.quality())
 
 
+DOCUMENT_SQL = f"""WITH parts AS (
+  SELECT *, list_position([{', '.join(f"'{name}'" for name in snapshot.SECTIONS)}], section) AS number,
+         list_transform(string_split(chunk, '-'), lambda x: try_cast(x AS BIGINT)) AS keys FROM ({SNAPSHOT_SQL})),
+placed AS (
+  SELECT *, row_number() OVER (ORDER BY number, keys) AS position, row_number() OVER (PARTITION BY number ORDER BY keys) AS n,
+         count(*) OVER (PARTITION BY number) AS of_section FROM parts),
+pieces AS (
+  SELECT position, CASE WHEN n = 1 THEN CASE WHEN number = 1 THEN '{{' ELSE ',' END || '"' || section || '":[' ELSE ',' END || substr(payload, 2, length(payload) - 2)
+         || CASE WHEN n = of_section THEN ']' ELSE '' END
+         || CASE WHEN n = of_section AND number = {len(snapshot.SECTIONS)} THEN ',"loaded_at":"' || (SELECT strftime(max(o_orderdate), '%Y-%m-%d') FROM orders) || ' 07:00"}}' ELSE '' END AS text
+  FROM placed)
+SELECT position, CAST(coalesce(sum(strlen(text) + 1) OVER (ORDER BY position ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS "offset", text FROM pieces"""
+
+
 # -- profiles --------------------------------------------------------------------------------------
 
 
@@ -345,4 +366,5 @@ QUERIES = {
     "sink_publish": (publish_audit, PUBLISH_SQL),
     "sink_published_view": (view_of_published, o.over_feed("SELECT * FROM vw_year_disease", o.VIEWS)),
     "json_snapshot": (order_snapshot, SNAPSHOT_SQL),
+    "json_document": (order_document, DOCUMENT_SQL),
 }
