@@ -11,7 +11,8 @@ less than independent ones. Equal bands of `rows` slots propose pairs; a pair is
 Scale. Equal texts are merged before all else. A bucket of equal bands never gives all its pairs: each member is compared
 with the bucket's leader, the text that shares most buckets with others. Members outside of the leader's component are then compared with a leader
 of their own, and at last with those members of other components to which set sizes, known distances and 512-byte sketches allow
-a link. That last sifting goes over blocks of a bucket inside of tasks, and only pairs that pass leave them. So groups of near copies
+a link. That last sifting goes over blocks of a bucket inside of tasks, and only pairs that pass leave them; members of large buckets that have too many
+shingles of their own to be linked with anyone drop out before it, so families of one template don't cost their pairs. So groups of near copies
 take about as many comparisons as they have members, and no proposed link between different texts is lost, but for a chance
 of about one in a million where sketches differ by more than five standard deviations. Links, components and signatures stay in stored tables.
 
@@ -158,14 +159,16 @@ def near_duplicates(docs: DataFrame, percent: int = 80, words: int = 5, bands: i
 def keep_one_of_each(docs: DataFrame, percent: int = 80, words: int = 5, bands: int = 16, rows: int = 4) -> DataFrame:
     """One row of each group of near-duplicates, the one with the smallest id, with all columns; texts without words all stay."""
     scratch = Scratch(docs.sparkSession, "minhash")
-    numbered = scratch.store(docs.withColumn("__row", F.monotonically_increasing_id()), "numbered")
+    whole = F.struct(*[F.col(f"`{name}`") for name in docs.columns])
+    numbered = scratch.store(docs.select(F.monotonically_increasing_id().alias("number"), "doc_id", "text", whole.alias("row")), "numbered")
     texts = _groups(numbered, scratch, percent, words, bands, rows)
-    keyed = numbered.select("__row", "doc_id", text_key(F.col("text")).alias("key"))
-    named = scratch.store(keyed.join(texts, "key").select("__row", "doc_id", "n_shingles", "component"), "named")
-    first = F.min(F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "__row"))
-    chosen = named.where("n_shingles > 0").groupBy("component").agg(first.alias("first")).select(F.col("first.__row").alias("__row"))
-    chosen = scratch.store(chosen.unionAll(named.where("n_shingles = 0").select("__row")), "chosen")
-    return numbered.join(chosen, "__row", "left_semi").drop("__row")
+    keyed = numbered.select("number", "doc_id", text_key(F.col("text")).alias("key"))
+    named = scratch.store(keyed.join(texts, "key").select("number", "doc_id", "n_shingles", "component"), "named")
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "number"))
+    chosen = named.where("n_shingles > 0").groupBy("component").agg(first.alias("first")).select(F.col("first.number").alias("number"))
+    chosen = scratch.store(chosen.unionAll(named.where("n_shingles = 0").select("number")), "chosen")
+    kept = numbered.join(chosen, "number", "left_semi")
+    return kept.select(*[F.col(f"row.`{name}`").alias(name) for name in docs.columns])
 
 
 def _groups(docs: DataFrame, scratch: Scratch, percent: int, words: int, bands: int, rows: int) -> DataFrame:
@@ -201,7 +204,8 @@ def _groups(docs: DataFrame, scratch: Scratch, percent: int, words: int, bands:
     star = outside.join(lead, "bucket").select(F.col("lead.key").alias("u"), F.col("key").alias("v")).where("u <> v").distinct()
     second = compare(star.join(first, ["u", "v"], "left_anti"), "compared-2")
     label = linked(first, second)
-    crossing = _crossing(_outside(buckets, label), first, signed.select("key", "bands", "sketch"), percent)
+    mixed = scratch.store(_mixed(_outside(buckets, label), texts, words, percent), "mixed")
+    crossing = _crossing(mixed, first, signed.select("key", "bands", "sketch"), percent)
     known = first.select("u", "v").unionAll(second.select("u", "v"))
     third = compare(crossing.join(known, ["u", "v"], "left_anti"), "compared-3")
     label = linked(first, second, third)
@@ -219,16 +223,54 @@ def _outside(buckets: DataFrame, label: DataFrame) -> DataFrame:
     return named.select("bucket", "band", "size", "first", "key", "n_shingles", "weight", F.coalesce("own", "key").alias("own"), F.coalesce("main", "first").alias("main"))
 
 
+class _Shingler:
+    def __init__(self, words: int):
+        self.words = words
+
+    def __call__(self, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """(key, text) to one row for each distinct shingle."""
+        for batch in batches:
+            texts = batch.column(1).to_pylist()
+            for a, b in split_batches(texts, _CHUNK):
+                doc, h = shingles(texts[a:b], self.words)
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a).take(pa.array(doc)), pa.array(h.view(np.int64))], names=["key", "shingle"])
+
+
+def _mixed(members: DataFrame, texts: DataFrame, words: int, percent: int) -> DataFrame:
+    """Members of the buckets that hold several components, without those that no other member of a large bucket can be linked to.
+
+    Shingles that only one text of all large buckets holds can't be shared. If a text of s shingles has h others, two texts share at most c = min(h, h') of s + s' - c, so
+    families that share a template and differ in the rest drop out whole, without a look at their pairs. Texts are
+    compared as classes of s and h (steps of 2 %, the bound taken at the ends that allow more), of which a bucket has few.
+    """
+    mixed = members.where("own <> main").select("bucket").distinct()
+    placed = members.join(mixed, "bucket", "left_semi")
+    large = placed.where(F.col("size") > _BLOCK)
+    held = texts.join(large.select("key").distinct(), "key").select("key", "text").mapInArrow(_Shingler(words), "key binary, shingle bigint")
+    alone = held.groupBy("shingle").agg(F.count(F.lit(1)).alias("n"), F.min("key").alias("key")).where("n = 1").groupBy("key").agg(F.count(F.lit(1)).alias("alone"))
+    step, shared = float(np.log(1.02)), F.greatest(F.col("n_shingles") - F.coalesce("alone", F.lit(0)), F.lit(1))
+    classed = large.join(alone, "key", "left").withColumns({
+        "s": F.floor(F.log("n_shingles") / step), "h": F.floor(F.log(shared.cast("double")) / step)}).drop("alone")
+    classes = classed.groupBy("bucket", "s", "h").agg(F.count(F.lit(1)).alias("n"))
+    other = classes.select(F.col("bucket").alias("of"), F.col("s").alias("s2"), F.col("h").alias("h2"))
+    most = F.exp((F.least("h", "h2") + 1) * step)
+    least = F.exp(F.col("s") * step) + F.exp(F.col("s2") * step)
+    can = (most * (100 + percent) * (1 + 1e-9) >= least * percent) & ((F.col("n") > 1) | (F.col("s") != F.col("s2")) | (F.col("h") != F.col("h2")))
+    open_ = classes.join(other, F.col("bucket") == F.col("of")).where(can).select("bucket", "s", "h").distinct()
+    left = classed.join(open_, ["bucket", "s", "h"], "left_semi").drop("s", "h", "size")
+    sizes = left.groupBy("bucket").agg(F.count(F.lit(1)).alias("size"))
+    return placed.where(F.col("size") <= _BLOCK).unionByName(left.join(sizes, "bucket"))
+
+
 def _crossing(members: DataFrame, star: DataFrame, signed: DataFrame, percent: int) -> DataFrame:
-    """Pairs of a bucket's members in different components that may still be linked.
+    """Pairs of a mixed bucket's members in different components that may still be linked.
 
     A link needs set sizes in proportion and, as 1 - similarity is a metric, about equal distances to the bucket's first member, which are known; and sketches
     must agree as much as linked texts do but for five standard deviations. Members meet in blocks of `_BLOCK`, and only pairs
     that pass all this leave the task, each in the first of the buckets that it shares.
     """
-    mixed = members.where("own <> main").select("bucket").distinct()
     distance = star.select(F.col("u").alias("first"), F.col("v").alias("key"), (1 - F.col("similarity")).alias("distance"))
-    placed = members.join(mixed, "bucket", "left_semi").join(distance, ["first", "key"], "left").join(signed, "key")
+    placed = members.join(distance, ["first", "key"], "left").join(signed, "key")
     blocks = F.ceil(F.col("size") / _BLOCK).cast("int")
     own = F.pmod(F.xxhash64("key"), blocks).cast("int")
     paired = placed.withColumn("block", own).withColumn("with", F.explode(F.sequence(F.lit(0), blocks - 1)))
