@@ -7,8 +7,9 @@ takes the response's body and headers, with those header fields of the revisit p
 
 outcome: `resolved`, `unchecked` (resolved without a common validator), `mismatch` or `no_response`; the last two have no body.
 
-Scale. The as-of join has two levels: the last full response of each (URL, day) is combined before the shuffle and carried over days, one row
-for each; within a day a window looks at light columns only. A URL with a third of all captures is thus spread over its days.
+Scale. The as-of join has three levels: the last full response of each second (of 4,096 ids where there is no time) is combined before the shuffle and carried over
+the seconds of a day and over days, one row for each; within a second a window looks at light columns only. A URL with a third of all captures, also all on
+one day or without a time, is thus spread; what stays in one task are one URL's captures of one second, and without a time also those without an integer id.
 Full responses and revisits are stored once with a number each; bodies move once, in an equi-join on the number that was found.
 
 Edge cases. A null or unparsable URL never matches. Records at the same time are ordered by record id; null times and null ids
@@ -20,6 +21,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from casemart.llm.storage import Scratch
 
@@ -54,21 +56,32 @@ def resolve_revisits(records: DataFrame) -> DataFrame:
     light = rows.select(
         "row", "record_id", "canonical_url", "captured_at", "full", F.col("headers")["etag"].alias("etag"), F.col("headers")["last-modified"].alias("modified"),
         F.when(~F.col("full"), F.col("headers")).alias("own_headers"))
-    wanted = light.where("canonical_url IS NOT NULL").withColumn("day", F.date_trunc("day", "captured_at"))
+    # a second of the day, or 4,096 ids where there is no time
+    by_id = F.floor(F.col("record_id") / 4096) if isinstance(records.schema["record_id"].dataType, T.IntegralType) else F.lit(None).cast("bigint")
+    time = F.hour("captured_at") * 3600 + F.minute("captured_at") * 60 + F.second("captured_at")
+    wanted = light.where("canonical_url IS NOT NULL").withColumns({
+        "day": F.date_trunc("day", "captured_at"), "slot": F.when(F.col("captured_at").isNotNull(), time.cast("bigint")).otherwise(by_id)})
     # in this order unknown times and ids come last
     response = F.struct(
         F.col("captured_at").isNull().alias("no_time"), "captured_at", F.col("record_id").isNull().alias("no_id"), "record_id", "row", "etag", "modified")
-    by_day = wanted.where("full").groupBy("canonical_url", "day").agg(F.max(response).alias("latest"))
-    days = wanted.groupBy("canonical_url", "day").agg(F.lit(True).alias("known")).alias("d").join(
-        by_day.alias("b"), (F.col("d.canonical_url") == F.col("b.canonical_url")) & F.col("d.day").eqNullSafe(F.col("b.day")), "left").select("d.canonical_url", "d.day", "latest")
-    earlier_days = Window.partitionBy("canonical_url").orderBy(F.col("day").asc_nulls_last()).rowsBetween(Window.unboundedPreceding, -1)
-    carried = days.select("canonical_url", "day", F.last("latest", ignorenulls=True).over(earlier_days).alias("carried"))
-    same_day = Window.partitionBy("canonical_url", "day").orderBy(
+    slots = wanted.groupBy("canonical_url", "day", "slot").agg(F.max(F.when(F.col("full"), response)).alias("latest"))
+    days = slots.groupBy("canonical_url", "day").agg(F.max("latest").alias("latest"))
+
+    def before(table: DataFrame, within: list[str], order: str, out: str) -> DataFrame:
+        """The latest response of the groups that come earlier, carried to each group."""
+        earlier = Window.partitionBy(*within).orderBy(F.col(order).asc_nulls_last()).rowsBetween(Window.unboundedPreceding, -1)
+        return table.withColumn(out, F.last("latest", ignorenulls=True).over(earlier)).drop("latest")
+
+    of_days = before(days, ["canonical_url"], "day", "earlier_day").select(F.col("canonical_url").alias("url"), F.col("day").alias("on_day"), "earlier_day")
+    of_slots = before(slots, ["canonical_url", "day"], "slot", "earlier_slot")
+    carried = of_slots.join(of_days, (F.col("canonical_url") == F.col("url")) & F.col("day").eqNullSafe(F.col("on_day"))).select(
+        "canonical_url", "day", "slot", F.coalesce("earlier_slot", "earlier_day").alias("carried"))
+    same_slot = Window.partitionBy("canonical_url", "day", "slot").orderBy(
         F.col("captured_at").asc_nulls_last(), F.col("record_id").asc_nulls_last(), "row").rowsBetween(Window.unboundedPreceding, -1)
-    within = wanted.withColumn("within", F.last(F.when(F.col("full"), response), ignorenulls=True).over(same_day)).where("NOT full")
+    within = wanted.withColumn("within", F.last(F.when(F.col("full"), response), ignorenulls=True).over(same_slot)).where("NOT full")
     found = within.alias("w").join(
-        carried.alias("c"), (F.col("w.canonical_url") == F.col("c.canonical_url")) & F.col("w.day").eqNullSafe(F.col("c.day")), "left").select(
-        "w.*", F.coalesce("within", "carried").alias("response"))
+        carried.alias("c"), (F.col("w.canonical_url") == F.col("c.canonical_url")) & F.col("w.day").eqNullSafe(F.col("c.day")) & F.col("w.slot").eqNullSafe(F.col("c.slot")),
+        "left").select("w.*", F.coalesce("within", "carried").alias("response"))
 
     tags = F.col("etag").isNotNull() & F.col("response.etag").isNotNull()
     dates = F.col("modified").isNotNull() & F.col("response.modified").isNotNull()
