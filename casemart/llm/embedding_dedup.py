@@ -8,7 +8,7 @@ probes with about as many links (1, 2-3, 4-7, ...). Every probe of a class weigh
 Pairs that meet are verified by cosine in double precision. A link counts for both ends, whichever of the two visited.
 
 Scale. Equal vectors are one row with a count. Codebooks are fitted on a bounded sample (`fit_rows`) and hold 2 x `codes` half vectors, which go along
-with the tasks; `codes` follows the square root of the rows. Cells with many members or visitors are cut into blocks of `block` rows, so no
+with the tasks; `codes` follows the square root of the rows up to 1,024, as the sample supports no more, so beyond some 50 million vectors cells grow with them. Cells with many members or visitors are cut into blocks of `block` rows, so no
 task holds more than two blocks. A task returns sums and the links' spanning edges, not pairs.
 
 Edge cases. Vectors that are null, zero, or hold null or non-finite components link with nothing: n_links 0, a component of their own. Shorter vectors

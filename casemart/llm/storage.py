@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import tempfile
+import threading
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -21,6 +23,29 @@ def shared_folder(spark: SparkSession) -> str:
     return folder.rstrip("/")
 
 
+_lock = threading.Lock()
+_writers: dict[int, tuple[int, str]] = {}
+
+
+@contextmanager
+def _shuffle_files_removed(spark: SparkSession):
+    """The setting for as long as any thread of the session writes; the last one puts back what was there."""
+    session = id(spark._jsparkSession)
+    with _lock:
+        count, before = _writers.get(session, (0, spark.conf.get(_CLEANUP, "false")))
+        _writers[session] = count + 1, before
+        spark.conf.set(_CLEANUP, "true")
+    try:
+        yield
+    finally:
+        with _lock:
+            count, before = _writers.pop(session)
+            if count > 1:
+                _writers[session] = count - 1, before
+            else:
+                spark.conf.set(_CLEANUP, before)
+
+
 class Scratch:
     """Tables that one operator call writes; each can be dropped as soon as nothing reads it any more."""
 
@@ -31,12 +56,8 @@ class Scratch:
     def store(self, df: DataFrame, table: str) -> DataFrame:
         """Write `df` and read it back: lineage ends here and the shuffle files of the job are removed with it."""
         path = f"{self.root}/{table}"
-        before = self.spark.conf.get(_CLEANUP, "false")
-        self.spark.conf.set(_CLEANUP, "true")
-        try:
+        with _shuffle_files_removed(self.spark):
             df.write.mode("overwrite").parquet(path)
-        finally:
-            self.spark.conf.set(_CLEANUP, before)
         return self.spark.read.schema(df.schema).parquet(path)
 
     def drop(self, *tables: str) -> None:

@@ -128,6 +128,25 @@ def test_the_run_gives_what_its_stages_give(spark, stages):
     assert Counter(map(tuple, whole.collect())) == Counter(map(tuple, stages[0][5].select(*columns).collect()))
 
 
+#: Names that operators use inside.
+INNER = ("key", "row", "size", "hash", "label", "found", "marked", "target", "base", "limit", "own", "source_size", "copy", "number", "component", "score", "rid", "content",
+         "times", "held_out", "predicted", "n_shingles", "__row", "budget", "doc", "of", "id", "first")
+
+
+def test_stages_pass_columns_of_any_name(spark, stages, tmp_path):
+    rows, _ = corpus()
+    schema = DOCS + ", " + ", ".join(f"{name} string" for name in INNER)
+    docs = spark.createDataFrame([(*row, *[f"{name} of {row[0]}" for name in INNER]) for row in rows], schema)
+    kinds, plain = docs.dtypes, stages[0]
+    for number, (_, stage) in enumerate(corpus_pipeline.STAGES):
+        stage(spark, docs, stages[2]).write.parquet(f"{tmp_path}/{number}")
+        docs = spark.read.parquet(f"{tmp_path}/{number}")
+        if number < 4:
+            assert docs.dtypes == kinds
+            assert all(row[name] == f"{name} of {row.doc_id}" for row in docs.collect() for name in INNER)
+            assert Counter(row.doc_id for row in docs.collect()) == Counter(row.doc_id for row in plain[number + 1].collect())
+
+
 def test_empty_tables(spark, tmp_path):
     spark.createDataFrame([], DOCS).write.parquet(f"{tmp_path}/documents.parquet")
     spark.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
