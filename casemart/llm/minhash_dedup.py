@@ -239,13 +239,14 @@ class _Shingler:
 def _mixed(members: DataFrame, texts: DataFrame, words: int, percent: int) -> DataFrame:
     """Members of the buckets that hold several components, without those that no other member of a large bucket can be linked to.
 
+    A bucket is large if more than `_BLOCK` of its members are outside of its first member's component: only their pairs can be many.
     Shingles that only one text of all large buckets holds can't be shared. If a text of s shingles has h others, two texts share at most c = min(h, h') of s + s' - c, so
     families that share a template and differ in the rest drop out whole, without a look at their pairs. Texts are
     compared as classes of s and h (steps of 2 %, the bound taken at the ends that allow more), of which a bucket has few.
     """
-    mixed = members.where("own <> main").select("bucket").distinct()
-    placed = members.join(mixed, "bucket", "left_semi")
-    large = placed.where(F.col("size") > _BLOCK)
+    outside = members.where("own <> main").groupBy("bucket").agg(F.count(F.lit(1)).alias("outside"))
+    placed = members.join(outside, "bucket")
+    large = placed.where(F.col("outside") > _BLOCK).drop("outside")
     held = texts.join(large.select("key").distinct(), "key").select("key", "text").mapInArrow(_Shingler(words), "key binary, shingle bigint")
     alone = held.groupBy("shingle").agg(F.count(F.lit(1)).alias("n"), F.min("key").alias("key")).where("n = 1").groupBy("key").agg(F.count(F.lit(1)).alias("alone"))
     step, shared = float(np.log(1.02)), F.greatest(F.col("n_shingles") - F.coalesce("alone", F.lit(0)), F.lit(1))
@@ -259,7 +260,7 @@ def _mixed(members: DataFrame, texts: DataFrame, words: int, percent: int) -> Da
     open_ = classes.join(other, F.col("bucket") == F.col("of")).where(can).select("bucket", "s", "h").distinct()
     left = classed.join(open_, ["bucket", "s", "h"], "left_semi").drop("s", "h", "size")
     sizes = left.groupBy("bucket").agg(F.count(F.lit(1)).alias("size"))
-    return placed.where(F.col("size") <= _BLOCK).unionByName(left.join(sizes, "bucket"))
+    return placed.where(F.col("outside") <= _BLOCK).drop("outside").unionByName(left.join(sizes, "bucket"))
 
 
 def _crossing(members: DataFrame, star: DataFrame, signed: DataFrame, percent: int) -> DataFrame:
