@@ -160,14 +160,15 @@ def keep_one_of_each(docs: DataFrame, percent: int = 80, words: int = 5, bands:
     """One row of each group of near-duplicates, the one with the smallest id, with all columns; texts without words all stay."""
     scratch = Scratch(docs.sparkSession, "minhash")
     whole = F.struct(*[F.col(f"`{name}`") for name in docs.columns])
-    numbered = scratch.store(docs.select(F.monotonically_increasing_id().alias("number"), "doc_id", "text", whole.alias("row")), "numbered")
+    stored = scratch.store(docs.select(F.monotonically_increasing_id().alias("number"), whole.alias("row")), "numbered")
+    numbered = stored.select("number", "row.doc_id", "row.text")
     texts = _groups(numbered, scratch, percent, words, bands, rows)
     keyed = numbered.select("number", "doc_id", text_key(F.col("text")).alias("key"))
     named = scratch.store(keyed.join(texts, "key").select("number", "doc_id", "n_shingles", "component"), "named")
     first = F.min(F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "number"))
     chosen = named.where("n_shingles > 0").groupBy("component").agg(first.alias("first")).select(F.col("first.number").alias("number"))
     chosen = scratch.store(chosen.unionAll(named.where("n_shingles = 0").select("number")), "chosen")
-    kept = numbered.join(chosen, "number", "left_semi")
+    kept = stored.join(chosen, "number", "left_semi")
     return kept.select(*[F.col(f"row.`{name}`").alias(name) for name in docs.columns])
 
 
