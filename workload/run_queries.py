@@ -108,8 +108,12 @@ RESUMED_SQL = o.over_feed("\nUNION ALL ".join(
 
 
 def write_lines(lines, path):
-    """Rows of `kind, bucket, ord, value` as one text file for each kind and bucket, in order of `ord`."""
-    ordered = lines.repartition("kind", "bucket").sortWithinPartitions("kind", "bucket", "ord")
+    """Rows of `kind, bucket, ord, value` as one text file for each kind and bucket, in order of `ord`.
+
+    They are dealt out by a hash of both: a repartition by the columns themselves is left out where joins below it are planned with that partitioning,
+    which is lost when AQE turns such a join into a broadcast one.
+    """
+    ordered = lines.repartition(F.xxhash64("kind", "bucket")).sortWithinPartitions("kind", "bucket", "ord")
     ordered.select("kind", "bucket", "value").write.partitionBy("kind", "bucket").text(path)
     return [row.path for row in list_files(lines.sparkSession, path, "part-*", recursive=True).select("path").collect()]
 
