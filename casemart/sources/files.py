@@ -120,8 +120,8 @@ def read_case_files(spark: SparkSession, paths: Sequence[str], multi_line: bool
     frames = []
     for names, frame in csv_tables(spark, csv_paths, multi_line) if csv_paths else []:
         # Folder and name: files of one name in several folders stay apart, and ids survive a move of the whole lake.
-        named = frame.withColumn("_file", F.substring_index(SOURCE_FILE, "/", -2))
-        frames.append(record_identity(named, names, "_file").drop("_file", "_print", "_occurrence"))
+        file = F.substring_index(SOURCE_FILE, "/", -2)
+        frames.append(record_identity(frame, names, file).drop("_print", "_occurrence"))
     if json_paths:
         arrays, others = read_json_arrays(spark, json_paths, SOURCE_FILE)
         frames += [arrays] if arrays is not None else []

@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from casemart.operators.storage import materialize, scratch_path
-from casemart.sources.ranges import before_piece, before_range, file_pieces, in_range, summed_before, whole_file, whole_records
+from casemart.sources.ranges import before_range, file_pieces, summed_before, whole_file, whole_line_records
 
 CORRUPT = "_corrupt_record"
 # Cells as they are, blanks kept.
@@ -59,14 +59,12 @@ def file_ranges(lines: DataFrame) -> DataFrame:
 
 
 def csv_records(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
-    """`path, line, text, is_utf8, closed`: every record with the number of its first line, from 1. Blank lines are records without a character. Runs jobs."""
+    """`path, line, text, is_utf8, closed`: every record with the number of its first line, from 1. Blank lines are records without a character.
+
+    Runs jobs; the records are read from a stored table, so what follows may read them several times.
+    """
     lines = file_pieces(spark, paths).withColumn("quotes", quotes_of("piece"))
-    ranges = materialize(file_ranges(lines), scratch_path(spark, "csv-ranges"))
-    placed = lines.join(ranges, ["path", "block"])
-    starts = ~F.col("closed") | ((summed_before("quotes", before_piece()) + F.col("inside")) % 2 == 0)
-    pieces = placed.select("path", "block", "place", (F.col("first") + F.row_number().over(in_range())).alias("at"), starts.alias("starts"), "piece")
-    files = ranges.select("path", "is_utf8", "closed").distinct()
-    records = whole_records(pieces, "\n").join(files, "path")
+    records = whole_line_records(lines, materialize(file_ranges(lines), scratch_path(spark, "csv-ranges")))
     text = F.when(F.col("is_utf8"), F.col("text")).otherwise(single_byte_text(F.col("text")))
     plain = F.when(F.col("at") == 1, F.regexp_replace(text, "^\ufeff", "")).otherwise(text)
     return records.select("path", F.col("at").alias("line"), plain.alias("text"), "is_utf8", "closed")
@@ -88,7 +86,8 @@ def cells(records: DataFrame, names: Sequence[str]) -> DataFrame:
 
 def tables_by_header(records: DataFrame) -> dict[tuple[str, ...], DataFrame]:
     """Records below each header, for each distinct header (which alone come to the driver, not one row for each file). Runs a job."""
-    heads = records.where("line = 1").select("path", F.col("text").alias("head"))
+    # stored, so that its size is known and records aren't shuffled for it
+    heads = materialize(records.where("line = 1").select("path", F.col("text").alias("head")), scratch_path(records.sparkSession, "csv-heads"))
     known = [row["head"] for row in heads.select("head").distinct().orderBy("head").collect()]
     by_names: dict[tuple[str, ...], list[str]] = {}
     for head in known:
@@ -99,7 +98,7 @@ def tables_by_header(records: DataFrame) -> dict[tuple[str, ...], DataFrame]:
 
 def read_csv_records(spark: SparkSession, paths: Sequence[str], source: str) -> list[tuple[tuple[str, ...], DataFrame]]:
     """(header, cells with the path in the column `source`) for each distinct header. Blank lines are left out; short and long records stay. Runs jobs."""
-    records = materialize(csv_records(spark, paths), scratch_path(spark, "csv-records"))
+    records = csv_records(spark, paths)
     return [(names, table.select(*[F.col(f"`{name}`") for name in names], F.col("path").alias(source))) for names, table in tables_by_header(records).items()]
 
 
@@ -108,7 +107,7 @@ def csv_faults(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
 
     `first_fault` is the line of the first record that has another number of cells than the header or none.
     """
-    records = materialize(csv_records(spark, paths), scratch_path(spark, "csv-records"))
+    records = csv_records(spark, paths)
     reports = []
     for names, table in tables_by_header(records).items():
         marked = table.toDF("path", "line", *[f"c{n}" for n in range(len(names))], CORRUPT)
