@@ -11,6 +11,15 @@ def held_out(id_column: str) -> Column:
     return F.coalesce(F.crc32(F.col(id_column).cast("string").cast("binary")) % 5 == 0, F.lit(False))
 
 
+def usable_labels(labels: DataFrame, label: str, values: list[int]) -> DataFrame:
+    """`id, label` of the ids that may be learned from: not held out, not null, labelled with one of `values` and nothing else."""
+    return (
+        labels.select(F.col("doc_id").alias("id"), F.col(label).cast("int").alias("label"))
+        .where(F.col("id").isNotNull() & F.col("label").isin(values)).where(~held_out("id"))
+        .groupBy("id").agg(F.min("label").alias("label"), F.max("label").alias("other")).where("label = other").drop("other")
+    )
+
+
 def labelled_sample(
     docs: DataFrame, labels: DataFrame, label: str, most: dict[int, int], longest: int = 1 << 18,
 ) -> tuple[dict[int, list[str]], dict[int, int]]:
@@ -20,11 +29,7 @@ def labelled_sample(
     (such texts are scored like all others, they only don't teach): both bounds are parameters. Of repeated ids, the smallest text is taken.
     Rows without a label or an id take no part, nor do ids whose rows contradict each other.
     """
-    usable = (
-        labels.select(F.col("doc_id").alias("id"), F.col(label).cast("int").alias("label"))
-        .where(F.col("id").isNotNull() & F.col("label").isin(list(most))).where(~held_out("id"))
-        .groupBy("id").agg(F.min("label").alias("label"), F.max("label").alias("other")).where("label = other").drop("other")
-    )
+    usable = usable_labels(labels, label, list(most))
     counts = {row["label"]: row["count"] for row in usable.groupBy("label").count().collect()}
     order = F.xxhash64("id", F.lit(label))
     drawn = None

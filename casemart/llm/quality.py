@@ -4,11 +4,13 @@ A preference pair says that a text labelled 1 is better than one labelled 0. Eac
 capitals, digits, repeated words and so on). Weights minimise the logistic loss of feature differences over pairs. The
 cut is the quantile of the labelled scores at the share of label 0; `score` is a logistic curve through that cut.
 
-Fitting uses a bounded sample (`per_label` texts of each label, `pairs` pairs with a fixed seed); scoring reads every
-whole text in one pass without a shuffle.
+Every labelled text that isn't held out is learned from. Texts become feature rows where they are read; rows are dealt into blocks of about 512 by a hash of
+their id, and all pairs inside of a block count, so each text is compared with hundreds of the other label (texts of a rare label stand in several blocks).
+Newton steps sum gradients and Hessians over stored blocks; the cut is an exact order statistic of all scores, found by narrowing histograms. Only sums
+come to the driver, one row for each task. Scoring reads every whole text in one pass without a shuffle.
 
 Edge cases. Null and empty texts count as no words and are scored as such. Without both labels, every score
-is 0.5. Rows with null or repeated ids each get a row. Other columns are ignored.
+is 0.5. Rows with null or repeated ids each get a row; of the texts of a repeated id, one teaches. Other columns are ignored.
 """
 
 from __future__ import annotations
@@ -21,7 +23,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from casemart.llm.labelled import held_out, labelled_sample
+from casemart.llm.labelled import held_out, usable_labels
+from casemart.llm.storage import Scratch
 from casemart.llm.words import mix, sequences, split, split_batches
 
 _CHUNK = 2 << 20
@@ -110,41 +113,185 @@ def _constant(width: int) -> QualityModel:
     return QualityModel(np.zeros(width), np.ones(width), np.zeros(width), 0.0, 0.0, 0.5)
 
 
-def fit_bradley_terry(better: np.ndarray, worse: np.ndarray, better_rows: int, worse_rows: int, level: float,
-                      pairs: int = 40_000, steps: int = 400, penalty: float = 1e-3, seed: int = 7) -> QualityModel:
-    """Weights from random preference pairs; `better_rows` and `worse_rows` weigh the two samples when the cut is found."""
-    if not len(better) or not len(worse):
-        return _constant(features([""]).shape[1])
-    both = np.concatenate([better, worse])
-    mean, scale = both.mean(0), both.std(0) + 1e-6
-    better, worse = (better - mean) / scale, (worse - mean) / scale
-    draw = np.random.default_rng(seed)
-    difference = better[draw.integers(len(better), size=pairs)] - worse[draw.integers(len(worse), size=pairs)]
-    w, first, second = np.zeros(better.shape[1]), 0.0, 0.0
-    for step in range(1, steps + 1):
-        wrong = 1 / (1 + np.exp(np.clip(difference @ w, -30, 30)))
-        gradient = penalty * w - difference.T @ wrong / pairs
-        first, second = 0.9 * first + 0.1 * gradient, 0.999 * second + 0.001 * gradient ** 2
-        w = w - 0.05 * (first / (1 - 0.9 ** step)) / (np.sqrt(second / (1 - 0.999 ** step)) + 1e-8)
-    raw = np.concatenate([worse @ w, better @ w])
-    weight = np.concatenate([np.full(len(worse), worse_rows / len(worse)), np.full(len(better), better_rows / len(better))])
-    order = np.argsort(raw)
-    below = np.searchsorted(np.cumsum(weight[order]), worse_rows * (1 - 1e-9))
-    below = min(below, len(order) - 2)
-    cut = (raw[order[below]] + raw[order[below + 1]]) / 2
-    label = np.concatenate([np.zeros(len(worse)), np.ones(len(better))])
-    slopes = np.geomspace(0.05, 20, 40) / (raw.std() + 1e-9)
-    start = np.log(level / (1 - level))
-    loss = [np.sum(weight * np.logaddexp(0, (1 - 2 * label) * (start + k * (raw - cut)))) for k in slopes]
-    return QualityModel(mean, scale, w, float(cut), float(slopes[int(np.argmin(loss))]), level)
-
-
-def train_quality(docs: DataFrame, labels: DataFrame, per_label: int = 3000, level: float = 0.3) -> QualityModel:
-    """A model from at most `per_label` texts of each label of rows that aren't held out."""
-    sample, rows = labelled_sample(docs, labels, "quality", {0: per_label, 1: per_label})
-    if not sample[0] or not sample[1]:
-        return _constant(features([""]).shape[1])
-    return fit_bradley_terry(_all_features(sample[1]), _all_features(sample[0]), rows[1], rows[0], level)
+_BLOCK = 512
+_RARE = 64
+_SLOPES = 40
+
+
+class _Featurer:
+    """(id, text) to (id, features as bytes)."""
+
+    def __call__(self, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = batch.column(1).to_pylist()
+            for a, b in split_batches(texts, _CHUNK):
+                rows = [row.tobytes() for row in features(texts[a:b])]
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), pa.array(rows, pa.binary())], names=["id", "x"])
+
+
+def _matrix(column: pa.Array) -> np.ndarray:
+    return np.frombuffer(b"".join(column.to_pylist()), dtype=np.float64).reshape(len(column), -1)
+
+
+def _one_row(values: np.ndarray) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array([values.tolist()], pa.list_(pa.float64()))], names=["sums"])
+
+
+def _total(rows: DataFrame, per_task) -> np.ndarray:
+    """The sum of what the tasks return, one row each, added in order of their values so that reruns agree."""
+    found = sorted(row["sums"] for row in rows.mapInArrow(per_task, "sums array<double>").collect())
+    return np.sum(np.array(found), axis=0)
+
+
+class _Moments:
+    """Sums of features and of their squares over each text once."""
+
+    def __call__(self, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(2 * features([""]).shape[1])
+        for batch in batches:
+            if batch.num_rows:
+                x = _matrix(batch.column("x"))
+                total += np.concatenate([x.sum(0), (x * x).sum(0)])
+        yield _one_row(total)
+
+
+class _Pairs:
+    """Loss, number of pairs, gradient and Hessian over all pairs of each block; rows come by block."""
+
+    def __init__(self, mean: np.ndarray, scale: np.ndarray, weights: np.ndarray):
+        self.mean, self.scale, self.weights = mean, scale, weights
+
+    def of_block(self, label: np.ndarray, x: np.ndarray) -> np.ndarray:
+        x = (x - self.mean) / self.scale
+        better, worse = x[label == 1], x[label == 0]
+        z = (better @ self.weights)[:, None] - (worse @ self.weights)[None, :]
+        wrong = 1 / (1 + np.exp(np.clip(z, -30, 30)))
+        curve = wrong * (1 - wrong)
+        gradient = worse.T @ wrong.sum(0) - better.T @ wrong.sum(1)
+        crossed = better.T @ (curve @ worse)
+        hessian = better.T @ (better * curve.sum(1)[:, None]) + worse.T @ (worse * curve.sum(0)[:, None]) - crossed - crossed.T
+        return np.concatenate([[np.logaddexp(0, -z).sum(), z.size], gradient, hessian.ravel()])
+
+    def __call__(self, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        width = len(self.mean)
+        total, now, held = np.zeros(2 + width + width * width), None, []
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            block, label, x = batch.column("block").to_numpy(), batch.column("label").to_numpy(), _matrix(batch.column("x"))
+            bounds = [0, *(np.flatnonzero(block[1:] != block[:-1]) + 1).tolist(), len(block)]
+            for a, b in zip(bounds, bounds[1:]):
+                if block[a] != now and held:
+                    total += self.of_block(*(np.concatenate(part) for part in zip(*held)))
+                    held = []
+                now = block[a]
+                held.append((label[a:b], x[a:b]))
+        if held:
+            total += self.of_block(*(np.concatenate(part) for part in zip(*held)))
+        yield _one_row(total)
+
+
+class _RawScores:
+    """Rows of features to (label, raw)."""
+
+    def __init__(self, mean: np.ndarray, scale: np.ndarray, weights: np.ndarray):
+        self.mean, self.scale, self.weights = mean, scale, weights
+
+    def __call__(self, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                raw = ((_matrix(batch.column("x")) - self.mean) / self.scale) @ self.weights
+                yield pa.RecordBatch.from_arrays([batch.column("label"), pa.array(raw)], names=["label", "raw"])
+
+
+class _Losses:
+    """The loss of every slope."""
+
+    def __init__(self, cut: float, start: float, slopes: np.ndarray):
+        self.cut, self.start, self.slopes = cut, start, slopes
+
+    def __call__(self, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(len(self.slopes))
+        for batch in batches:
+            sign, raw = 1 - 2 * batch.column("label").to_numpy(), batch.column("raw").to_numpy()
+            total += [np.logaddexp(0, sign * (self.start + k * (raw - self.cut))).sum() for k in self.slopes]
+        yield _one_row(total)
+
+
+def _cut_after(scores: DataFrame, rank: int, low: float, high: float, bins: int = 1024) -> float:
+    """The middle between the `rank`-th smallest score and the next one. Every round keeps one bin of the last."""
+    before = 0
+    while low < high:
+        place = F.least(F.floor((F.col("raw") - low) / (high - low) * bins), F.lit(bins - 1))
+        counted = scores.where(F.col("raw").between(low, high)).groupBy(place.alias("bin")).agg(
+            F.count(F.lit(1)).alias("n"), F.min("raw").alias("low"), F.max("raw").alias("high"))
+        for row in counted.orderBy("bin").collect():
+            if before + row["n"] >= rank:
+                break
+            before += row["n"]
+        low, high = row["low"], row["high"]
+    known = scores.agg(F.count_if(F.col("raw") <= low).alias("n"), F.min(F.when(F.col("raw") > low, F.col("raw"))).alias("above")).first()
+    return low if known["n"] > rank or known["above"] is None else (low + known["above"]) / 2
+
+
+def fit_bradley_terry(rows: DataFrame, scratch: Scratch, level: float, steps: int = 12, penalty: float = 1e-3) -> QualityModel:
+    """Weights from all pairs of a block, the cut and slope from the scores of all rows (`id, label, x`, stored)."""
+    width = features([""]).shape[1]
+    counts = {row["label"]: row["count"] for row in rows.groupBy("label").count().collect()}
+    if len(counts) < 2:
+        return _constant(width)
+    total = sum(counts.values())
+    sums = _total(rows.select("x"), _Moments())
+    mean = sums[:width] / total
+    scale = np.sqrt(np.maximum(sums[width:] / total - mean * mean, 0)) + 1e-6
+
+    blocks = -(-total // _BLOCK)
+    copies = {label: min(blocks, -(-_RARE * blocks // count)) for label, count in counts.items()}
+    many = F.when(F.col("label") == 1, copies[1]).otherwise(copies[0])
+    number = F.explode(F.sequence(F.lit(0), many - 1)).alias("number")
+    placed = rows.select("label", "x", F.xxhash64("id", F.lit("quality")).alias("hash"), many.alias("many"), number)
+    block = F.pmod(F.pmod("hash", F.lit(blocks)) + F.floor(F.col("number") * blocks / F.col("many")), F.lit(blocks)).cast("long")
+    placed = placed.select(block.alias("block"), "label", "x").repartition("block").sortWithinPartitions("block", "label", "x")
+    placed = scratch.store(placed, "blocks")
+
+    w, best, least = np.zeros(width), np.zeros(width), np.inf
+    step = np.zeros(width)
+    for _ in range(steps):
+        found = _total(placed, _Pairs(mean, scale, w))
+        if not found[1]:
+            return _constant(width)
+        loss = found[0] / found[1] + penalty / 2 * w @ w
+        if loss > least:  # too far
+            step = step / 2
+            w = best + step
+            continue
+        done = least - loss < 1e-9
+        best, least = w, loss
+        if done:
+            break
+        gradient = found[2:2 + width] / found[1] + penalty * w
+        hessian = found[2 + width:].reshape(width, width) / found[1] + penalty * np.eye(width)
+        step = -np.linalg.solve(hessian, gradient)
+        w = best + step
+    scores = scratch.store(rows.select("label", "x").mapInArrow(_RawScores(mean, scale, best), "label int, raw double"), "scores")
+    ends = scores.agg(F.min("raw").alias("low"), F.max("raw").alias("high"), F.stddev_pop("raw").alias("spread")).first()
+    cut = _cut_after(scores, counts[0], ends["low"], ends["high"])
+    slopes = np.geomspace(0.05, 20, _SLOPES) / (ends["spread"] + 1e-9)
+    loss = _total(scores, _Losses(cut, np.log(level / (1 - level)), slopes))
+    scratch.drop("blocks", "scores")
+    return QualityModel(mean, scale, best, float(cut), float(slopes[int(np.argmin(loss))]), level)
+
+
+def train_quality(docs: DataFrame, labels: DataFrame, level: float = 0.3) -> QualityModel:
+    """A model from the texts of all rows that have a label and aren't held out. Runs jobs."""
+    scratch = Scratch(docs.sparkSession, "quality")
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    teaching = docs.where(F.col("doc_id").isNotNull() & ~held_out("doc_id")).select(F.col("doc_id").alias("id"), "text")
+    found = teaching.mapInArrow(_Featurer(), f"id {kind}, x binary").join(usable_labels(labels, "quality", [0, 1]), "id")
+    rows = scratch.store(found.groupBy("id", "label").agg(F.min("x").alias("x")), "rows")
+    model = fit_bradley_terry(rows, scratch, level)
+    scratch.drop("rows")
+    return model
 
 
 def score_quality(docs: DataFrame, model: QualityModel, threshold: float = 0.3) -> DataFrame:
