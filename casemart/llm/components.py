@@ -38,3 +38,13 @@ def components(edges: DataFrame, scratch: Scratch, name: str = "component") -> D
         now = scratch.store(small.where("u <> v").distinct(), f"{name}-{step}")
         scratch.drop(f"{name}-large-{step}", f"{name}-{step - 1}")
     return now.select(F.col("u").alias("node"), F.col("v").alias("component")).unionAll(now.select("v", "v").distinct())
+
+
+def merged_components(label: DataFrame, edges: DataFrame, scratch: Scratch, name: str) -> DataFrame:
+    """`label`, as `components` gives it, after more edges: only edges between known components are contracted, and the result is stored."""
+    of_u, of_v = (label.select(F.col("node").alias(end), F.col("component").alias(f"of_{end}")) for end in ("u", "v"))
+    between = edges.join(of_u, "u", "left").join(of_v, "v", "left").select(F.coalesce("of_u", "u").alias("u"), F.coalesce("of_v", "v").alias("v"))
+    found = components(between, scratch, name)
+    moved = label.join(found.select(F.col("node").alias("component"), F.col("component").alias("to")), "component", "left")
+    new = found.join(label.select("node"), "node", "left_anti")
+    return scratch.store(moved.select("node", F.coalesce("to", "component").alias("component")).unionAll(new.select("node", "component")), f"{name}-all")

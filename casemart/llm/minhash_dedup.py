@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from casemart.llm.components import components
+from casemart.llm.components import components, merged_components
 from casemart.llm.storage import Scratch
 from casemart.llm.texts import distinct_texts, text_key
 from casemart.llm.words import chain, mix, sequences, split, split_batches
@@ -193,23 +193,21 @@ def _groups(docs: DataFrame, scratch: Scratch, percent: int, words: int, bands:
         both = of_v.join(texts.select(F.col("key").alias("u"), F.col("text").alias("text_u")), "u").select("u", "v", "text_u", "text_v")
         return scratch.store(both.mapInArrow(verify, "u binary, v binary, linked boolean, similarity double"), table)
 
-    def linked(*compared: DataFrame) -> DataFrame:
-        found = compared[0]
-        for more in compared[1:]:
-            found = found.unionAll(more)
-        return components(found.where("linked").select("u", "v"), scratch, f"component-{len(compared)}")
+    def links(compared: DataFrame) -> DataFrame:
+        return compared.where("linked").select("u", "v")
 
     first = compare(buckets.where("key <> first").select(F.col("first").alias("u"), F.col("key").alias("v")).distinct(), "compared-1")
-    outside = scratch.store(_outside(buckets, linked(first)).where("own <> main"), "outside-1")
+    label = scratch.store(components(links(first), scratch, "component-1"), "component-1-all")
+    outside = scratch.store(_outside(buckets, label).where("own <> main"), "outside-1")
     lead = outside.groupBy("bucket").agg(F.max(F.struct("weight", "key")).alias("lead"))
     star = outside.join(lead, "bucket").select(F.col("lead.key").alias("u"), F.col("key").alias("v")).where("u <> v").distinct()
     second = compare(star.join(first, ["u", "v"], "left_anti"), "compared-2")
-    label = linked(first, second)
+    label = merged_components(label, links(second), scratch, "component-2")
     mixed = scratch.store(_mixed(_outside(buckets, label), texts, words, percent), "mixed")
     crossing = _crossing(mixed, first, signed.select("key", "bands", "sketch"), percent)
     known = first.select("u", "v").unionAll(second.select("u", "v"))
     third = compare(crossing.join(known, ["u", "v"], "left_anti"), "compared-3")
-    label = linked(first, second, third)
+    label = merged_components(label, links(third), scratch, "component-3")
     named = signed.select("key", "n_shingles").join(label.withColumnRenamed("node", "key"), "key", "left")
     groups = scratch.store(named.withColumn("component", F.coalesce("component", "key")), "groups")
     scratch.drop("texts", "signed", "buckets")
