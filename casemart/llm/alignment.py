@@ -7,10 +7,14 @@ Method. For a batch of texts, `pandas.merge_asof`, keyed by document, finds for
 directions together give all overlaps, and overlaps that end alike end the groups. Within a group, links are counted by
 id: the number of links is a product, and pairs of ids are made of distinct ids, never of token occurrences.
 
-Scale. One row holds a chunk of documents (about `chunk` characters): what is needed of each document, and the chunk's distinct pairs of ids with
-the number of its documents that hold them. Only these pairs are counted over the corpus and looked up again, so a pair moves once for each chunk
-that holds it instead of once for each document; pairs that all documents hold cost a row a chunk, and sums are combined before the shuffle. Texts
-are tokenised once and never shuffled. No table of pairs is sent to all tasks.
+Scale. A chunk is a number of documents (about `chunk` characters) with their distinct pairs of ids and the number of its documents that hold each. Only
+these pairs are counted over the corpus and looked up again, so a pair moves once for each chunk that holds it instead of once for each document; pairs
+that all documents hold cost a row a chunk, and sums are combined before the shuffle. Texts are tokenised once and never shuffled. No table of pairs is
+sent to all tasks.
+
+Memory. Texts are aligned in parts of about `part` bytes, which is all that a task holds as strings, tokens and frames. A part is a row of its own with what is
+needed of each of its documents and its share of the chunk's pairs, so rows stay small where they are written, sorted and sent to Python, whatever
+the size of a chunk. Parts and looked-up pairs meet by chunk as sorted rows (cogroup), not as collected arrays. A text longer than a part is a part.
 
 Edge cases. Null and empty texts, and texts whose joined A or B bytes differ from the blank and the text (characters that a piece model rewrites), have no
 tokens: zeros and an empty digest. Special tokens' strings are plain text. Null and repeated ids each get a row; repeated rows count as documents of
@@ -24,20 +28,26 @@ import json
 import os
 from collections.abc import Iterator
 from contextlib import suppress
-from functools import lru_cache
+from functools import cached_property, lru_cache
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 from casemart.llm.packing import load_encoding
 from casemart.llm.storage import Scratch
-from casemart.llm.words import split_batches
 
 _FIGURES = ("n_a", "n_b", "n_groups", "n_links")
 _SIDE = 32  # bits of an id within the code of a pair
+_CHUNK = 2 << 20
+_PART = 128 << 10
+_DOC = 64  # what a text counts besides its length: its digest
+#: Row groups of the stored parts, which writers and columnar readers hold as a whole; their size is looked at from the first row on.
+_ROW_GROUPS = {"parquet.block.size": str(4 << 20), "parquet.page.size.row.check.min": "1"}
 
 
 def _byte_of_letter() -> dict[str, int]:
@@ -51,15 +61,11 @@ class ByteSide:
     """Ids and bytes of a byte-level BPE from its JSON file.
 
     Where its file of ranks lies beside it, ids come from there: they are the same (compared for every character and by tests) in a sixth of the time. Texts on
-    which that library gives up (about a million blanks in a row) go through the JSON form.
+    which that library gives up (about a million blanks in a row) go through the JSON form, which is read when the first of them comes.
     """
 
     def __init__(self, path: str):
-        from tokenizers import Tokenizer
-
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has its own core
-        self.model = Tokenizer.from_file(path)
-        self.model.encode_special_tokens = True
+        self.path = path
         ranks = path.removesuffix(".json") + ".tiktoken"
         self.fast = load_encoding(ranks) if os.path.exists(ranks) else None
         byte = _byte_of_letter()
@@ -69,6 +75,15 @@ class ByteSide:
         for entry, number in entries.items():
             self.bytes_of[number] = bytes(byte[c] for c in entry) if all(c in byte for c in entry) else entry.encode()
 
+    @cached_property
+    def model(self):
+        from tokenizers import Tokenizer
+
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has its own core
+        model = Tokenizer.from_file(self.path)
+        model.encode_special_tokens = True
+        return model
+
     def encode(self, texts: list[str]) -> list[list[int]]:
         return [self._ids(" " + text) for text in texts]
 
@@ -165,22 +180,34 @@ def _written(a: pd.DataFrame, b: pd.DataFrame, group_a: np.ndarray, group_b: np.
     return decimal[mark * (len(decimal) // 4) + ids]
 
 
+def _parts(sizes: np.ndarray, most: int) -> Iterator[tuple[int, int]]:
+    """Index ranges of texts that have about `most` bytes together (one text at least)."""
+    begin, upto = 0, np.r_[0, np.cumsum(sizes)]
+    while begin < len(sizes):
+        end = max(begin + 1, int(np.searchsorted(upto, upto[begin] + most, side="right")) - 1)
+        yield begin, end
+        begin = end
+
+
 class _Chunks:
-    def __init__(self, byte_model: str, piece_model: str, chunk: int):
-        self.byte_model, self.piece_model, self.chunk = byte_model, piece_model, chunk
+    def __init__(self, byte_model: str, piece_model: str, chunk: int, part: int = _PART):
+        self.byte_model, self.piece_model, self.chunk, self.part = byte_model, piece_model, chunk, min(part, chunk)
 
     def __call__(self, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """(doc_id, text) to one row for each chunk of documents."""
+        """(doc_id, text) to the rows of each chunk of documents, one for each part; chunks are numbered within the task."""
+        number, held, parts = 0, 0, []
         for batch in batches:
-            texts = batch.column(1).to_pylist()
-            for begin, end in split_batches(texts, self.chunk):
-                figures, digests, pairs, holders, ends, links, times = self.align([text or "" for text in texts[begin:end]])
-                yield pa.RecordBatch.from_pydict({
-                    "doc_ids": pa.array([batch.column(0).slice(begin, end - begin).to_pylist()], pa.list_(batch.schema.field(0).type)),
-                    **{name: pa.array([column], pa.list_(pa.int64())) for name, column in zip(_FIGURES, figures, strict=True)},
-                    "digests": pa.array([digests], pa.list_(pa.string())), "pairs": pa.array([pairs], pa.list_(pa.int64())),
-                    "holders": pa.array([holders], pa.list_(pa.int64())), "ends": pa.array([ends], pa.list_(pa.int32())),
-                    "links": pa.array([links], pa.list_(pa.int32())), "times": pa.array([times], pa.list_(pa.int64()))})
+            sizes = pc.fill_null(pc.binary_length(batch.column(1)), 0).to_numpy(zero_copy_only=False).astype(np.int64) + _DOC
+            for begin, end in _parts(sizes, self.part):
+                texts = [text or "" for text in batch.column(1).slice(begin, end - begin).to_pylist()]
+                # a copy: what is kept mustn't hold the batch
+                parts.append((pa.array([batch.column(0).slice(begin, end - begin).to_pylist()], pa.list_(batch.schema.field(0).type)), *self.align(texts)))
+                held += sum(map(len, texts)) + _DOC * len(texts)
+                if held >= self.chunk:
+                    yield from _rows_of_chunk(number, parts)
+                    number, held, parts = number + 1, 0, []
+        if parts:
+            yield from _rows_of_chunk(number, parts)
 
     def align(self, texts: list[str]):
         sides, lengths, decimal = _sides(self.byte_model, self.piece_model)
@@ -215,37 +242,56 @@ class _Chunks:
         return figures, digests, pairs, np.bincount(link, minlength=len(pairs)), ends, link, times
 
 
+def _rows_of_chunk(number: int, parts: list[tuple]) -> Iterator[pa.RecordBatch]:
+    """Parts with pairs of their own to rows that share the chunk's: each holds a range of them, and links are places among all."""
+    pairs = np.unique(np.concatenate([part[3] for part in parts]))
+    places, holders = [np.searchsorted(pairs, part[3]) for part in parts], np.zeros(len(pairs), np.int64)
+    for place, part in zip(places, parts, strict=True):
+        holders[place] += part[4]
+    cut = np.linspace(0, len(pairs), len(parts) + 1).astype(np.int64)
+    for k, (doc_ids, figures, digests, _, _, ends, links, times) in enumerate(parts):
+        own = slice(cut[k], cut[k + 1])
+        yield pa.RecordBatch.from_pydict({
+            "chunk": pa.array([number], pa.int64()), "doc_ids": doc_ids,
+            **{name: pa.array([column], pa.list_(pa.int64())) for name, column in zip(_FIGURES, figures, strict=True)},
+            "digests": pa.array([digests], pa.list_(pa.string())), "pairs": pa.array([pairs[own]], pa.list_(pa.int64())),
+            "holders": pa.array([holders[own]], pa.list_(pa.int64())), "ends": pa.array([ends], pa.list_(pa.int32())),
+            "links": pa.array([places[k][links]], pa.list_(pa.int32())), "times": pa.array([times], pa.list_(pa.int64()))})
+
+
 def _chunk_schema(kind: str) -> str:
     figures = ", ".join(f"{name} array<bigint>" for name in _FIGURES)
-    return (f"doc_ids array<{kind}>, {figures}, digests array<string>, pairs array<bigint>, holders array<bigint>, "
+    return (f"chunk bigint, doc_ids array<{kind}>, {figures}, digests array<string>, pairs array<bigint>, holders array<bigint>, "
             "ends array<int>, links array<int>, times array<bigint>")
 
 
-def _rated(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Chunks with the corpus counts of their pairs to one row for each document."""
-    for batch in batches:
-        for k in range(batch.num_rows):
-            row = {name: batch.column(name)[k] for name in batch.schema.names}
-            links, ends = row["links"].values.to_numpy(), row["ends"].values.to_numpy()
-            times, rated = row["times"].values.to_numpy(), row["rated"].values
-            wanted = row["pairs"].values.to_numpy()
-            count, best = np.zeros(len(wanted), np.int64), np.zeros(len(wanted), np.int64)
-            if rated is not None and len(rated):
-                at = np.searchsorted(wanted, rated.field("pair").to_numpy())
-                count[at], best[at] = rated.field("n").to_numpy(), rated.field("best").to_numpy(zero_copy_only=False)
-            starts = np.r_[0, ends[:-1]].astype(np.int64)
-            sums = [np.r_[0, np.cumsum(times * of[links])] for of in (best, count)]
-            yield pa.RecordBatch.from_arrays(
-                [row["doc_ids"].values, *(row[name].values for name in _FIGURES), *(pa.array(s[ends] - s[starts]) for s in sums), row["digests"].values],
-                names=["doc_id", *_FIGURES, "n_best", "count_sum", "groups_sha256"])
-
-
-def align_documents(docs: DataFrame, byte_model: str, piece_model: str, chunk: int = 2 << 20) -> tuple[DataFrame, DataFrame]:
-    """The aligned chunks of `docs`, and the table of id pairs (a_id, b_id, n documents, best of its A id). Runs jobs."""
+def _rated(id_type: pa.DataType):
+    """The function from the parts of a chunk and the corpus counts of its pairs to one row for each document."""
+    def rate(parts: pa.Table, known: pa.Table) -> pa.Table:
+        order = np.argsort(known["pair"].to_numpy())
+        rates = [known[name].to_numpy()[order].astype(np.int64) for name in ("best", "n")]
+        done = []
+        for batch in parts.to_batches():
+            for k in range(batch.num_rows):
+                row = {name: batch.column(name)[k].values for name in batch.schema.names if name != "chunk"}
+                ends, links, times = (row[name].to_numpy() for name in ("ends", "links", "times"))
+                starts = np.r_[0, ends[:-1]].astype(np.int64)
+                sums = [np.r_[0, np.cumsum(times * of[links])] for of in rates]
+                done.append(pa.Table.from_arrays(
+                    [row["doc_ids"].cast(id_type), *(row[name] for name in _FIGURES), *(pa.array(s[ends] - s[starts]) for s in sums), row["digests"].cast(pa.string())],
+                    names=["doc_id", *_FIGURES, "n_best", "count_sum", "groups_sha256"]))
+        return pa.concat_tables(done)
+
+    return rate
+
+
+def align_documents(docs: DataFrame, byte_model: str, piece_model: str, chunk: int = _CHUNK, part: int = _PART) -> tuple[DataFrame, DataFrame]:
+    """The aligned parts of `docs` by chunk, and the table of id pairs (a_id, b_id, n documents, best of its A id). Runs jobs."""
     scratch = Scratch(docs.sparkSession, "alignment")
     kind = docs.schema["doc_id"].dataType.simpleString()
-    aligned = docs.select("doc_id", "text").mapInArrow(_Chunks(byte_model, piece_model, chunk), _chunk_schema(kind))
-    chunks = scratch.store(aligned.withColumn("chunk", F.monotonically_increasing_id()), "chunks")
+    aligned = docs.select("doc_id", "text").mapInArrow(_Chunks(byte_model, piece_model, chunk, part), _chunk_schema(kind))
+    task = F.shiftleft(F.spark_partition_id().cast("bigint"), 33)
+    chunks = scratch.store(aligned.withColumn("chunk", task + F.col("chunk")), "chunks", **_ROW_GROUPS)
     held = chunks.select(F.explode(F.arrays_zip("pairs", "holders")).alias("held")).select(F.col("held.pairs").alias("pair"), F.col("held.holders").alias("n"))
     counts = scratch.store(held.groupBy("pair").agg(F.sum("n").alias("n")), "counts")
     a_id = F.shiftright("pair", _SIDE)
@@ -255,13 +301,13 @@ def align_documents(docs: DataFrame, byte_model: str, piece_model: str, chunk: i
     return chunks, scratch.store(rated, "rated")
 
 
-def alignment_report(docs: DataFrame, byte_model: str, piece_model: str, chunk: int = 2 << 20) -> DataFrame:
+def alignment_report(docs: DataFrame, byte_model: str, piece_model: str, chunk: int = _CHUNK, part: int = _PART) -> DataFrame:
     """Figures of the alignment of every row, with the corpus counts of its links. Runs jobs."""
-    chunks, rated = align_documents(docs, byte_model, piece_model, chunk)
-    asked = chunks.select("chunk", F.explode("pairs").alias("pair"))
-    known = asked.join(rated, "pair").groupBy(F.col("chunk").alias("of")).agg(F.collect_list(F.struct("pair", "n", F.col("best").cast("bigint").alias("best"))).alias("rated"))
-    whole = chunks.join(known, F.col("chunk") == F.col("of"), "left").select(
-        "doc_ids", *_FIGURES, "digests", "pairs", "ends", "links", "times", F.coalesce("rated", F.array().cast("array<struct<pair:bigint,n:bigint,best:bigint>>")).alias("rated"))
-    kind = docs.schema["doc_id"].dataType.simpleString()
+    chunks, rated = align_documents(docs, byte_model, piece_model, chunk, part)
+    asked = chunks.select(F.col("chunk").alias("of"), F.explode("pairs").alias("pair"))
+    known = asked.join(rated, "pair").select("of", "pair", "n", "best")
+    parts = chunks.select("chunk", "doc_ids", *_FIGURES, "digests", "ends", "links", "times")
+    doc_id = docs.schema["doc_id"].dataType
     figures = ", ".join(f"{name} bigint" for name in (*_FIGURES, "n_best", "count_sum"))
-    return whole.mapInArrow(_rated, f"doc_id {kind}, {figures}, groups_sha256 string")
+    return parts.groupBy("chunk").cogroup(known.groupBy("of")).applyInArrow(
+        _rated(to_arrow_type(doc_id)), f"doc_id {doc_id.simpleString()}, {figures}, groups_sha256 string")

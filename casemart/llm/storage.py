@@ -53,11 +53,11 @@ class Scratch:
         self.spark = spark
         self.root = f"{shared_folder(spark)}/llm/{name}-{uuid.uuid4().hex}"
 
-    def store(self, df: DataFrame, table: str) -> DataFrame:
-        """Write `df` and read it back: lineage ends here and the shuffle files of the job are removed with it."""
+    def store(self, df: DataFrame, table: str, **options: str) -> DataFrame:
+        """Write `df` and read it back: lineage ends here and the shuffle files of the job are removed with it. `options`: of the Parquet writer."""
         path = f"{self.root}/{table}"
         with _shuffle_files_removed(self.spark):
-            df.write.mode("overwrite").parquet(path)
+            df.write.mode("overwrite").options(**options).parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
     def drop(self, *tables: str) -> None:

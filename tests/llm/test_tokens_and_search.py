@@ -8,7 +8,9 @@ from collections import Counter
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from casemart.llm import alignment, byte_bpe, lexical
 
@@ -128,6 +130,42 @@ def test_alignment_takes_long_texts_and_empty_tables(spark):
     assert {r.n_links for r in alignment.alignment_report(docs(spark, [(1, None), (2, "")]), JSON, PIECES).collect()} == {0}
 
 
+def test_alignment_rows_stay_small_in_large_chunks():
+    draw = random.Random(5)
+    texts = [" ".join("".join(draw.choices("aeinorst", k=draw.randrange(1, 9))) for _ in range(600)) for _ in range(700)]
+    batch = pa.RecordBatch.from_pydict({"doc_id": pa.array([None, *range(1, len(texts))], pa.int64()), "text": pa.array(texts)})
+    out = list(alignment._Chunks(JSON, PIECES, 2 << 20)(iter([batch.slice(0, 100), batch.slice(100)])))
+    assert sum(map(len, texts)) > 2 << 20 and max(row.nbytes for row in out) < 1 << 20
+    assert [i for row in out for i in row.column("doc_ids")[0].as_py()] == [None, *range(1, len(texts))]
+    # a chunk goes on from batch to batch, and its parts share its distinct pairs
+    chunks = Counter(row.column("chunk")[0].as_py() for row in out)
+    assert list(chunks) == [0, 1] and chunks[0] > 10
+    pairs = [p for row in out if row.column("chunk")[0].as_py() == 0 for p in row.column("pairs")[0].as_py()]
+    assert pairs == sorted(set(pairs)) and max(max(row.column("links")[0].as_py(), default=0) for row in out[:chunks[0]]) < len(pairs)
+
+
+def test_alignment_does_not_depend_on_parts(spark):
+    rows = docs(spark, [row for row in ODD if len(row[1] or "") < 1000] + [(20 + k, text) for k, text in enumerate(mixed(150, 3))]).withColumn("doc_id", F.col("doc_id").cast("string"))
+    sizes = [{"chunk": 1 << 20, "part": 1 << 20}, {"chunk": 6000, "part": 500}, {"chunk": 1, "part": 1}]
+    whole, *cut = (sorted(map(tuple, alignment.alignment_report(rows.repartition(2), JSON, PIECES, **size).collect()), key=str) for size in sizes)
+    assert [whole, whole] == cut and any(row[1] for row in whole)
+    chunks, _ = alignment.align_documents(rows.coalesce(1), JSON, PIECES, **sizes[1])
+    found = [row["count"] for row in chunks.groupBy("chunk").count().collect()]
+    assert len(found) > 1 and max(found) > 5
+
+
+def test_alignment_keeps_ids_of_other_types(spark):
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "Asia/Bangkok")
+    try:
+        stamped = docs(spark, [(1, "one two"), (2, None), (2, "three")]).selectExpr("timestamp_seconds(doc_id) AS doc_id", "text")
+        out = alignment.alignment_report(stamped, JSON, PIECES)
+        assert out.dtypes[0] == ("doc_id", "timestamp")
+        assert sorted((r[0], r.n_a > 0) for r in out.selectExpr("unix_seconds(doc_id)", "n_a").collect()) == [(1, True), (2, False), (2, True)]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+
+
 def test_overlaps_join_both_directions():
     lengths = np.array([1, 2, 3, 4])
     a, b = alignment.token_frame([np.array([3, 1]), np.array([0])], lengths, "a"), alignment.token_frame([np.array([1, 2, 0]), np.array([0])], lengths, "b")
